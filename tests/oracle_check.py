@@ -29,6 +29,9 @@ SPARK_TO_SQL = {
 }
 
 
+SPARK_SECONDS = 0.0
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -54,8 +57,11 @@ def _rows(columns: list[str], rows) -> list[tuple]:
 
 def compare(spark, con, folder: str, build, sql: str) -> str | None:
     """None if equal, else what differs."""
+    global SPARK_SECONDS
+    start = time.time()
     df = build(spark, folder)
     mine = _rows(df.columns, [tuple(r) for r in df.collect()])
+    SPARK_SECONDS = time.time() - start
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     types = {d[0]: str(d[1]) for d in result.description}
@@ -102,7 +108,7 @@ def main() -> int:
                 raise
             problem = note = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += problem is not None
-        print(f"{'FAIL' if problem else 'pass'} {time.time() - start:6.1f}s {name}: {note}", flush=True)
+        print(f"{'FAIL' if problem else 'pass'} {time.time() - start:6.1f}s (spark {SPARK_SECONDS:.1f}s) {name}: {note}", flush=True)
     print(f"{failed} failed")
     return 1 if failed else 0
 

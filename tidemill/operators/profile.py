@@ -55,6 +55,10 @@ def correlation_with(
     return long.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
+def _bins(bins: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
+
+
 def histogram(
     df: DataFrame, columns: Sequence[str], bins: int = 15, series_cols: Sequence[str] = ()
 ) -> DataFrame:
@@ -82,7 +86,7 @@ def histogram(
 
     def bin_of(c: str) -> Column:
         raw = F.floor((F.col(c) - low(c)) / (high(c) - low(c)) * bins)
-        return F.least(raw, F.lit(bins - 1)).cast("bigint")
+        return F.when(raw.isNotNull(), F.least(raw, F.lit(bins - 1))).cast("bigint")
 
     counted = (
         ranged.select(*series_cols, *[bin_of(c).alias(c) for c in columns])
@@ -96,7 +100,7 @@ def histogram(
     ]
     spine = (
         found.select(*series_cols, F.explode(F.array(*edges)).alias("e"))
-        .select(*series_cols, "e.*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
+        .select(*series_cols, "e.*", F.explode(_bins(bins)).alias("bin"))
         .filter(F.col("lo").isNotNull())
     )
     width = (F.col("hi") - F.col("lo")) / bins

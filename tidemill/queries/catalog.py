@@ -1,6 +1,6 @@
 """Imports every query module, so that they register themselves."""
 
-from . import basics, flows
+from . import analysis, basics, flows, forecasts
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "basics", "flows"]
+__all__ = ["ORACLES", "QUERIES", "analysis", "basics", "flows", "forecasts"]
