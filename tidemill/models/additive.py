@@ -162,9 +162,11 @@ def _grams(
     rows: DataFrame, spec: Spec, ts_col: str, target: str, keys: Sequence[str], scales: DataFrame,
     series_cols: Sequence[str], spread: str,
 ) -> DataFrame:
+    """Matrices by key; the scaling of the series rides along as part of the key."""
     narrow = rows.select(*dict.fromkeys([*keys, ts_col, target, *spec.regressors]))
     z, width = _vectors(spec, ts_col, target)
-    return gram.gram(_attach(narrow, scales, series_cols), keys, z, width, blocks.truncate(spread, ts_col))
+    carried = [*keys, "_start", "_span", "_size"]
+    return gram.gram(_attach(narrow, scales, series_cols), carried, z, width, blocks.truncate(spread, ts_col))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -189,7 +191,7 @@ def fit(
     scales = scaling(train, ts_col, target, series_cols)
     grams = _grams(train, spec, ts_col, target, series_cols, scales, series_cols, spread)
     beta = gram.ridge("gram", penalties(spec, terms(spec, ts_col)))
-    solved = _attach(grams, scales, series_cols).withColumn("beta", beta)
+    solved = grams.withColumn("beta", beta)
     models = solved.withColumn("sigma", residual_deviation("gram", "beta"))
     return Fitted(spec, ts_col, target, list(series_cols), models)
 
@@ -283,7 +285,8 @@ def grid_search(
     train = rows.filter(~F.col(is_test))
     scales = scaling(train, ts_col, target, series_cols)
     both = _grams(rows, spec, ts_col, target, [*series_cols, is_test], scales, series_cols, spread)
-    fitting = _attach(both.filter(~F.col(is_test)).drop(is_test), scales.select(*series_cols, "_size"), series_cols)
+    both = blocks.settle(both)
+    fitting = both.filter(~F.col(is_test)).select(*series_cols, "_size", "gram")
     scoring = both.filter(F.col(is_test)).select(*series_cols, F.col("gram").alias("test_gram"))
     settings = joins.parameter_grid(_attach(fitting, scoring, series_cols), grid)
     held = penalties(

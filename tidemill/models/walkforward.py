@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import blocks
@@ -47,15 +47,15 @@ def walk_forward(
     placed = blocks.with_position(narrow, keys, ts_col, "_position", **layout).withColumn(
         "_block", F.floor((F.col("_position") - 1) / block_rows)
     )
-    scaled = additive._attach(placed, scales, keys)
+    # Read twice below, for the block sums and for the folds.
+    scaled = blocks.settle(additive._attach(placed, scales, keys))
     features = F.array(F.lit(1.0), *[d.column for d in design])
-    z = gram.row_vector([d.column for d in design], F.col(target) / F.col("_size"))
     width = len(design) + 2
+    # A row without a target adds nothing, but keeps its block in the chain of sums.
+    learned = gram.row_vector([d.column for d in design], F.col(target) / F.col("_size"))
+    z = F.coalesce(learned, F.array_repeat(F.lit(0.0), width))
     block_keys = [*keys, "_block"]
-    learned = scaled.filter(F.col(target).isNotNull())
-    before = gram.prefix_grams(
-        _all_blocks(gram.gram(learned, block_keys, z, width), scaled, block_keys, width), keys, "_block"
-    )
+    before = gram.prefix_grams(gram.gram(scaled, block_keys, z, width), keys, "_block")
     vectors = scaled.select(
         *block_keys, ts_col, is_test, "_position", "_size",
         features.alias("x"), (F.col(target) / F.col("_size")).cast("double").alias("scaled"),
@@ -105,10 +105,10 @@ def walk_forward(
         [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns]
         + ["actual double, yhat double, sigma double, n_train bigint, beta array<double>"]
     )
-    # Blocks without a test row have nothing to predict and are not sent.
-    tested = vectors.join(
-        scaled.filter(is_test).select(*block_keys).distinct(), block_keys, "left_semi"
-    )
+    # Blocks without a test row have nothing to predict and are not sent. The window has
+    # the partitioning of the groups, so it costs no shuffle.
+    block = Window.partitionBy(*block_keys)
+    tested = vectors.withColumn("_tested", F.max(is_test).over(block)).filter("_tested").drop("_tested")
     # Fresh names keep the two sides, which come from the same rows, apart.
     carried_keys = [F.col(k).alias(f"_carried_{k}") for k in block_keys]
     carried = before.select(*carried_keys, "gram")
@@ -119,14 +119,6 @@ def walk_forward(
     )
 
 
-def _all_blocks(grams: DataFrame, rows: DataFrame, block_keys: Sequence[str], width: int) -> DataFrame:
-    """Blocks in which no row has a target still need the matrix of the blocks before."""
-    cells = width * (width + 1) // 2
-    zero = F.array_repeat(F.lit(0.0), cells)
-    present = rows.select(*block_keys).distinct()
-    return present.join(grams, list(block_keys), "left").withColumn("gram", F.coalesce("gram", zero))
-
-
 def expanding_mean(
     df: DataFrame, ts_col: str, target: str, series_cols: Sequence[str] = (), order_cols: Sequence[str] = (), **layout
 ) -> DataFrame:
@@ -156,6 +148,7 @@ def stitched(
 ) -> DataFrame:
     """In-sample values of the last refit over train, followed by the one-step predictions."""
     keys = list(series_cols)
+    folds = blocks.settle(folds)
     train = rows.filter(~F.col(is_test))
     last = folds.groupBy(*keys).agg(F.max_by("beta", ts_col).alias("beta"))
     scales = additive.scaling(train, ts_col, target, keys)

@@ -22,6 +22,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 BLOCK_ROWS = 100_000
 CHUNK = "day"
 
@@ -34,6 +36,16 @@ def truncate(unit: str, ts: str | Column, like: str = "timestamp_ntz") -> Column
     return F.date_trunc(unit, ts).cast(like)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Materialise a table that several later steps read, in the shared checkpoint folder.
+
+    Cuts the lineage, so that the steps do not each recompute it; survives lost executors.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def _ts_type(df: DataFrame, ts_col: str) -> str:
     return df.schema[ts_col].dataType.simpleString()
 
@@ -99,12 +111,14 @@ def over_blocks(
     position is added too when ``position_col`` names it.
     """
     position = position_col or "_position"
+    if block_rows is None:
+        window = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy(ts_col, *order_cols)
+        added = dict(build(window))
+        if position_col:
+            added[position_col] = F.row_number().over(window).cast("bigint")
+        return df.select("*", *[c.alias(n) for n, c in added.items()])
     placed = with_position(df, series_cols, ts_col, position, order_cols, chunk, block_rows)
     kept = [*df.columns, position] if position_col else list(df.columns)
-    if block_rows is None:
-        window = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy(position)
-        added = build(window)
-        return placed.select("*", *[c.alias(n) for n, c in added.items()]).select(*kept, *added)
     if lookback > block_rows:
         raise ValueError("block_rows must be at least the lookback")
     offset = F.col(position) - 1

@@ -113,43 +113,63 @@ def histogram(
     )
 
 
-def _with_series_stats(df: DataFrame, series_cols: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+def with_series_stats(
+    df: DataFrame, series_cols: Sequence[str], stats: dict[str, Column], whole_series: bool = False
+) -> DataFrame:
+    """Add aggregates of each series to its rows.
+
+    ``whole_series`` computes them in the window that short series share with the lags;
+    otherwise a small table of aggregates is joined, so no task needs a whole series.
+    """
+    if whole_series:
+        window = Window.partitionBy(*(series_cols or [F.lit(0)]))
+        return df.select("*", *[e.over(window).alias(n) for n, e in stats.items()])
     if series_cols:
-        return df.join(df.groupBy(*series_cols).agg(*[e.alias(n) for n, e in stats.items()]), list(series_cols))
+        small = df.groupBy(*series_cols).agg(*[e.alias(n) for n, e in stats.items()])
+        return df.join(small, list(series_cols))
     packed = df.agg(F.struct(*[e.alias(n) for n, e in stats.items()])).scalar()
     return df.withColumn("_stats", packed).select(*df.columns, "_stats.*")
 
 
+def is_whole(layout: dict) -> bool:
+    return layout.get("block_rows", blocks.BLOCK_ROWS) is None
+
+
 def lagged_products(
     df: DataFrame,
     ts_col: str,
     column: str,
     lags: Sequence[int],
     series_cols: Sequence[str] = (),
+    squares: bool = False,
     **layout,
 ) -> DataFrame:
     """Per series: ``n``, and an array of ``sum(z_t * z_(t-k))`` for each lag, z = centred value.
 
     All lags share one window node, and the sums are partial before the shuffle.
+    ``squares`` adds the sum of the squared running sums of z.
     """
     narrow = df.select(*series_cols, ts_col, column)
-    centred = _with_series_stats(narrow, series_cols, {"_mean": F.avg(column)}).select(
+    centred = with_series_stats(narrow, series_cols, {"_mean": F.avg(column)}, is_whole(layout)).select(
         *series_cols, ts_col, (F.col(column) - F.col("_mean")).alias("_z")
     )
+    if squares:
+        centred = blocks.running_sum(centred, series_cols, ts_col, {"_running": "_z"}, **layout)
+        if not is_whole(layout):
+            centred = blocks.settle(centred)
     lagged = blocks.over_blocks(
         centred,
         series_cols,
         ts_col,
         max(max(lags), 1),
-        lambda w: {f"_z{k}": (F.lag("_z", k).over(w) if k else F.col("_z")) for k in lags},
+        lambda w: {f"_z{k}": F.lag("_z", k).over(w) for k in lags if k},
         **layout,
     )
-    return lagged.groupBy(*series_cols).agg(
-        F.count("_z").alias("n"),
-        F.array(*[F.coalesce(F.sum(F.col("_z") * F.col(f"_z{k}")), F.lit(0.0)) for k in lags]).alias(
-            "products"
-        ),
-    )
+    sums = [
+        F.coalesce(F.sum(F.col("_z") * F.col(f"_z{k}" if k else "_z")), F.lit(0.0)) for k in lags
+    ]
+    extra = [F.sum(F.col("_running") * F.col("_running")).alias("squares")] if squares else []
+    return lagged.groupBy(*series_cols).agg(F.count("_z").alias("n"), F.array(*sums).alias("products"), *extra)
 
 
 def acf_arrays(

@@ -143,6 +143,9 @@ def run_ids(
         position_col="_position",
         **layout,
     )
+    # Two passes read the flags next; when the series is cut, those are written once first.
+    if layout.get("block_rows", blocks.BLOCK_ROWS) is not None:
+        changed = blocks.settle(changed)
     # The first row always starts run 1, also when its flag is null.
     first = changed.withColumn(
         "_changed", F.when(F.col("_position") == 1, F.lit(1).cast("bigint")).otherwise(F.col("_changed"))

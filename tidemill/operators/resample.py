@@ -24,22 +24,41 @@ def calendar_spine(
     return spans.select(*series_cols, F.explode(steps).alias(out))
 
 
+# Steps this long bound a series: an hourly calendar of a century has 876,600 rows.
+BOUNDED_UNITS = {"hour", "day", "week", "month", "quarter", "year"}
+
+
 def resample_mean(
     df: DataFrame,
     ts_col: str,
     columns: Sequence[str],
     series_cols: Sequence[str] = (),
     unit: str = "day",
+    **layout,
 ) -> DataFrame:
     """Mean per calendar step; steps without rows appear with nulls.
 
-    The mean is taken before the join with the spine, so only one row per step and
-    series meets it, and partial means are combined before the shuffle.
+    Partial means are combined before the shuffle, so one row per step and series is
+    left, however many rows a step had. Each of those rows then fills the gap between it
+    and the row before it, which needs no join with a calendar.
     """
     step = blocks.truncate(unit, ts_col).alias(ts_col)
     means = df.groupBy(*series_cols, step).agg(*[F.avg(c).alias(c) for c in columns])
-    spine = calendar_spine(means, ts_col, series_cols, unit)
-    return spine.join(means, [*series_cols, ts_col], "left")
+    if not layout and series_cols and unit in BOUNDED_UNITS:
+        layout = {"block_rows": None}
+    layout.setdefault("chunk", "year")
+    followed = blocks.over_blocks(
+        means, series_cols, ts_col, 1, lambda w: {"_before": F.lag(ts_col).over(w)}, **layout
+    )
+    one = F.expr(f"INTERVAL 1 {unit}")
+    first = F.coalesce(F.col("_before") + one, F.col(ts_col))
+    filled = followed.withColumn("_step", F.explode(F.sequence(first, F.col(ts_col), one)))
+    present = F.col("_step") == F.col(ts_col)
+    return filled.select(
+        *series_cols,
+        F.col("_step").alias(ts_col),
+        *[F.when(present, F.col(c)).alias(c) for c in columns],
+    )
 
 
 def per_step(

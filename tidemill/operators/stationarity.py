@@ -36,28 +36,24 @@ def adf_p_value(statistic: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2.0))
 
 
-def _adf_solve(packed, head, max_lag: int) -> tuple[float, float, int, int] | None:
+def _adf_solve(stages, max_lag: int) -> tuple[float, float, int, int] | None:
     """Lag by AIC on the common sample, then the statistic on all rows that lag allows."""
-    if max_lag is None or max_lag < 0:
+    sums = {int(s["_stage"]): gram.square(s["gram"]) for s in stages}
+    full = sums.get(max_lag + 2)
+    if max_lag < 0 or full is None:
         return None
-    full = gram.square(packed)
-    n = full[0, 0]
+    n, last = full[0, 0], full.shape[0] - 1
     scored = []
     for lag in range(max_lag + 1):
-        cols = [*range(2 + lag), full.shape[0] - 1]
+        cols = [*range(2 + lag), last]
         part = full[np.ix_(cols, cols)]
-        beta = gram.solve(part[:-1, :-1], part[:-1, -1])
-        loss = gram.loss_sum(part, beta)
+        loss = gram.loss_sum(part, gram.solve(part[:-1, :-1], part[:-1, -1]))
         if loss <= 0:
             return None
         scored.append((n * (math.log(loss / n) + math.log(2 * math.pi) + 1) + 2 * (2 + lag), lag))
     lag = min(scored)[1]
-    cols = [*range(2 + lag), full.shape[0] - 1]
-    total = full[np.ix_(cols, cols)]
-    for row in head:
-        if row["t"] >= lag + 2:
-            v = np.asarray(row["z"], dtype=float)[cols]
-            total = total + np.outer(v, v)
+    cols = [*range(2 + lag), last]
+    total = sum(m for stage, m in sums.items() if stage >= lag + 2)[np.ix_(cols, cols)]
     rows, width = total[0, 0], 2 + lag
     beta = gram.solve(total[:-1, :-1], total[:-1, -1])
     variance = gram.loss_sum(total, beta) / (rows - width)
@@ -77,10 +73,9 @@ ADF_RESULT = T.StructType(
 
 
 @F.pandas_udf(ADF_RESULT)
-def _adf_udf(grams: pd.Series, heads: pd.Series, max_lags: pd.Series) -> pd.DataFrame:
+def _adf_udf(stages: pd.Series, max_lags: pd.Series) -> pd.DataFrame:
     rows = [
-        _adf_solve(g, h if h is not None else [], int(m)) or (None, None, None, None)
-        for g, h, m in zip(grams, heads, max_lags, strict=True)
+        _adf_solve(s, int(m)) or (None, None, None, None) for s, m in zip(stages, max_lags, strict=True)
     ]
     return pd.DataFrame(rows, columns=["statistic", "p_value", "used_lag", "n_obs"])
 
@@ -105,15 +100,12 @@ def adf(
     top = sizes.agg(F.max("m")).first()[0]
     if top is None or top < 0:
         raise ValueError("no series is long enough for the test")
-    stats = {
-        "_m": _max_lag(F.count("_x")),
-        "_mean": F.avg("_x"),
-        "_sd": F.stddev_pop("_x"),
-    }
+    stats = {"_n": F.count("_x"), "_mean": F.avg("_x"), "_sd": F.stddev_pop("_x")}
     # The statistic does not change with location and scale; this keeps the sums well conditioned.
     sd = F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
-    scaled = profile._with_series_stats(known, keys, stats).select(
-        *keys, ts_col, "_m", ((F.col("_x") - F.col("_mean")) / sd).alias("_x")
+    with_stats = profile.with_series_stats(known, keys, stats, profile.is_whole(layout))
+    scaled = with_stats.select(
+        *keys, ts_col, _max_lag(F.col("_n")).alias("_m"), ((F.col("_x") - F.col("_mean")) / sd).alias("_x")
     )
     lagged = blocks.over_blocks(
         scaled,
@@ -130,25 +122,13 @@ def adf(
 
     steps = [F.coalesce(value(k) - value(k + 1), F.lit(0.0)) for k in range(top + 1)]
     z = F.array(F.lit(1.0), value(1), *steps[1:], steps[0])
-    common = F.col("_t") >= F.col("_m") + 2
-    carry = lagged.withColumn("_z", z)
-    pieces = gram.gram(
-        lagged.filter(common), keys, z, top + 3, blocks.truncate(spread, ts_col)
-    )
-    # Fewer than max_lag rows per series precede the common sample.
-    heads = carry.filter(~common).groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_z").alias("z"))).alias("head")
-    )
-    limits = known.groupBy(*keys).agg(_max_lag(F.count("_x")).alias("m"))
-    if keys:
-        joined = pieces.join(limits, keys).join(heads, keys, "left")
-    else:
-        joined = pieces.withColumn("m", limits.scalar()).withColumn("head", heads.scalar())
-    return joined.select(*keys, _adf_udf("gram", "head", "m").alias("r")).select(*keys, "r.*")
-
-
-def _kpss_sums(df, ts_col, column, keys, lags, layout) -> DataFrame:
-    return profile.lagged_products(df, ts_col, column, range(lags + 1), keys, **layout)
+    # The rows before the common sample (fewer than max_lag per series) keep their own sums,
+    # because a shorter lag lets some of them in.
+    stage = F.least(F.col("_t"), F.col("_m") + 2)
+    staged = lagged.withColumn("_stage", stage)
+    grams = gram.gram(staged, [*keys, "_m", "_stage"], z, top + 3, blocks.truncate(spread, ts_col))
+    per_series = grams.groupBy(*keys, "_m").agg(F.collect_list(F.struct("_stage", "gram")).alias("stages"))
+    return per_series.select(*keys, _adf_udf("stages", "_m").alias("r")).select(*keys, "r.*")
 
 
 def _weighted(upto: Column, weight) -> Column:
@@ -160,46 +140,53 @@ def _weighted(upto: Column, weight) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
 
 
-def kpss(df: DataFrame, ts_col: str, column: str, series_cols: Sequence[str] = (), **layout) -> DataFrame:
-    """KPSS test of level stationarity; the lag follows Hobijn, Franses and Ooms (1998)."""
+def kpss(
+    df: DataFrame,
+    ts_col: str,
+    column: str,
+    series_cols: Sequence[str] = (),
+    first_lags: int = 60,
+    **layout,
+) -> DataFrame:
+    """KPSS test of level stationarity; the lag follows Hobijn, Franses and Ooms (1998).
+
+    One pass collects the autocovariances of the first ``first_lags`` lags and the squared
+    running sums. The lag each series needs follows from them; only if some series needs
+    more lags is the pass repeated with as many.
+    """
     keys = list(series_cols)
     known = df.filter(F.col(column).isNotNull()).select(*keys, ts_col, F.col(column).cast("double").alias("_x"))
     n = F.col("n").cast("double")
     short = F.floor(F.pow(n, F.lit(2.0 / 9.0))).cast("bigint")
 
-    # Two numbers fix the widths of the two passes.
-    longest = known.groupBy(*keys).agg(F.count("_x").alias("n")).agg(F.max(short)).first()[0] or 0
-    first = _kpss_sums(known, ts_col, "_x", keys, longest, layout)
+    def sums(lags: int) -> DataFrame:
+        found = profile.lagged_products(known, ts_col, "_x", range(lags + 1), keys, squares=True, **layout)
+        return blocks.settle(found)
+
+    def widest(found: DataFrame, wanted: Column) -> int:
+        return int(found.agg(F.max(wanted)).first()[0] or 0)
+
     s0 = F.col("products")[0] / n + _weighted(short, lambda i: F.lit(1.0)) / (n / 2)
     s1 = _weighted(short, lambda i: i.cast("double")) / (n / 2)
     ratio = F.try_divide(s1, s0)
     gamma = F.pow(ratio * ratio, F.lit(1.0 / 3.0)) * 1.1447
     chosen = F.least(F.floor(gamma * F.pow(n, F.lit(1.0 / 3.0))).cast("bigint"), F.col("n") - 1)
     # A constant series has no variance to correct: lag 0, null statistic.
-    lags = first.select(*keys, F.when(ratio.isNotNull(), chosen).otherwise(F.lit(0)).alias("used_lag"))
-    most = lags.agg(F.max("used_lag")).first()[0] or 0
-
-    second = _kpss_sums(known, ts_col, "_x", keys, most, layout)
-    used = F.col("used_lag")
+    used = F.when(ratio.isNotNull(), chosen).otherwise(F.lit(0))
+
+    found = sums(first_lags)
+    if widest(found, short) > first_lags:
+        found = sums(widest(found, short))
+    held = found.select(F.size("products")).first()
+    if held is not None and widest(found, used) > held[0] - 1:
+        found = sums(widest(found, used))
+    lagged = found.withColumn("used_lag", used)
     long_run = F.col("products")[0] / n + _weighted(
-        used, lambda i: (F.lit(1.0) - i / (used + 1)) * 2.0
+        F.col("used_lag"), lambda i: (F.lit(1.0) - i / (F.col("used_lag") + 1)) * 2.0
     ) / n
-    variance = _attach(second, lags, keys).select(*keys, "n", "used_lag", long_run.alias("_variance"))
-
-    centred = profile._with_series_stats(known, keys, {"_mean": F.avg("_x")}).select(
-        *keys, ts_col, (F.col("_x") - F.col("_mean")).alias("_z")
-    )
-    summed = blocks.running_sum(centred, keys, ts_col, {"_s": "_z"}, **layout)
-    eta = summed.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s")).alias("_eta"))
-    statistic = F.try_divide(F.col("_eta") / (n * n), F.col("_variance"))
-    found = _attach(variance, eta, keys).select(*keys, statistic.alias("statistic"), "used_lag", F.col("n").alias("n_obs"))
-    return found.withColumn("p_value", kpss_p_value(F.col("statistic")))
-
-
-def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    if keys:
-        return df.join(small, list(keys))
-    return df.withColumn("_m", small.select(F.struct("*")).scalar()).select(*df.columns, "_m.*")
+    statistic = F.try_divide(F.col("squares") / (n * n), long_run)
+    tested = lagged.select(*keys, statistic.alias("statistic"), "used_lag", F.col("n").alias("n_obs"))
+    return tested.withColumn("p_value", kpss_p_value(F.col("statistic")))
 
 
 def kpss_p_value(statistic: Column) -> Column:

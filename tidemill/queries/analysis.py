@@ -10,7 +10,7 @@ from ..operators import blocks, columns, encode, lags, profile, quality, resampl
 from ..sources import tables
 from . import views
 from .registry import Tables, big, query, rounded
-from .views import DAILY, HOURLY, RAW, TEST_YEAR, TYPES, with_views
+from .views import DAILY, ONE_SERIES, RAW, TEST_YEAR, TYPES, with_views
 
 NULLS = " + ".join(f"CAST({e} IS NULL AS INTEGER)" for e in TYPES)
 
@@ -263,7 +263,7 @@ def w1(t: Tables) -> DataFrame:
     ),
 )
 def w1_wide(t: Tables) -> DataFrame:
-    return rounded(resample.per_step(views.hourly_wide(t), "ts", TYPES, **HOURLY), 4, *TYPES)
+    return rounded(resample.per_step(views.hourly_wide(t), "ts", TYPES, **ONE_SERIES), 4, *TYPES)
 
 
 @query(
@@ -353,7 +353,7 @@ MEASURES = ["avg_discount", "n_orders", "quantity", "revenue"]
 )
 def w3(t: Tables) -> DataFrame:
     lagged = lags.lagged_split(
-        _featured(t).drop("is_holiday_or_weekend"), "day", "revenue", [1, 2], "is_test", ["season"], **DAILY
+        _featured(t).drop("is_holiday_or_weekend"), "day", "revenue", [1, 2], "is_test", ["season"], **ONE_SERIES
     )
     return rounded(lagged, 4, "revenue", *[f"{m}_lag_{k}" for m in MEASURES for k in (1, 2)])
 
@@ -361,7 +361,7 @@ def w3(t: Tables) -> DataFrame:
 @query("w4_run_ids", with_views("SELECT ts, missing, run_id FROM runs", "hourly_wide", extra={"runs": HOUR_RUNS}))
 def w4(t: Tables) -> DataFrame:
     narrow = views.hourly_wide(t).select("ts", "signup")
-    return quality.run_ids(narrow, F.col("signup").isNull(), "ts", **HOURLY).drop("signup")
+    return quality.run_ids(narrow, F.col("signup").isNull(), "ts", **ONE_SERIES).drop("signup")
 
 
 @query(
@@ -393,7 +393,7 @@ SAMPLES = """SELECT *, row_number() OVER (ORDER BY day) AS rn, {lags} FROM featu
 )
 def w5(t: Tables) -> DataFrame:
     built = lags.sequences(
-        _featured(t), "day", "revenue", ["revenue", "quantity"], ["n_orders"], 3, keep=["is_test"], **DAILY
+        _featured(t), "day", "revenue", ["revenue", "quantity"], ["n_orders"], 3, keep=["is_test"], **ONE_SERIES
     )
     steps = built.select("*", F.posexplode("past").alias("step", "row"))
     return steps.select(
@@ -418,7 +418,7 @@ def w5(t: Tables) -> DataFrame:
     ),
 )
 def w6(t: Tables) -> DataFrame:
-    built = lags.sequences(_featured(t), "day", "revenue", ["revenue"], ["n_orders"], 3, keep=["is_test"], **DAILY)
+    built = lags.sequences(_featured(t), "day", "revenue", ["revenue"], ["n_orders"], 3, keep=["is_test"], **ONE_SERIES)
     return built.groupBy("is_test").agg(F.count(F.lit(1)).alias("samples"), F.min("day").alias("first_target"))
 
 

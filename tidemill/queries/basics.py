@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources import tables
 from . import views
 from .registry import Tables, big, query, rounded
-from .views import DAILY, TEST_YEAR, TYPES, with_views
+from .views import DAILY, ONE_SERIES, TEST_YEAR, TYPES, with_views
 
 METERS = ", ".join(f"round({e}, 4) AS {e}" for e in TYPES)
 
@@ -676,7 +676,7 @@ def j9(t: Tables) -> DataFrame:
     ),
 )
 def t1(t: Tables) -> DataFrame:
-    placed = blocks.with_position(views.daily_orders(t).select("day", "revenue"), [], "day", **DAILY)
+    placed = blocks.with_position(views.daily_orders(t).select("day", "revenue"), [], "day", **ONE_SERIES)
     return rounded(placed, 4, "revenue").orderBy("day")
 
 

@@ -11,7 +11,7 @@ from ..operators import columns, quality, stationarity
 from ..sources import tables
 from . import views
 from .registry import Tables, query, rounded
-from .views import DAILY, RAW, TEST_YEAR, with_views
+from .views import DAILY, ONE_SERIES, RAW, TEST_YEAR, with_views
 
 GRID = {
     "changepoint_prior_scale": [0.001, 0.01, 0.1, 0.5, 5, 10],
@@ -127,7 +127,7 @@ KPSS_CTES = {
           (sum(CASE WHEN k = 0 THEN c ELSE 0 END) / max(n) + sum(CASE WHEN k >= 1 AND k <= floor(pow(n, 2.0 / 9)) THEN c ELSE 0 END) / (max(n) / 2.0)), 2),
           1.0 / 3) * pow(max(n), 1.0 / 3)), max(n) - 1)::BIGINT AS lags FROM prods GROUP BY 1""",
     "variance": """SELECT p.segment, nn AS n, lags, sum(CASE WHEN k = 0 THEN c WHEN k <= lags THEN 2 * c * (1 - k / (lags + 1.0)) ELSE 0 END) / nn AS v
-        FROM prods p JOIN auto a ON p.segment = a.segment GROUP BY ALL""",
+        FROM prods p JOIN auto a ON p.segment = a.segment GROUP BY p.segment, nn, lags""",
     "eta": """SELECT segment, sum(s * s) AS eta FROM (SELECT segment, sum(z) OVER (PARTITION BY segment ORDER BY t) AS s FROM zs) GROUP BY 1""",
     "kpss": """SELECT v.segment, eta / pow(n, 2) / v AS s, lags, n FROM variance v JOIN eta e ON v.segment = e.segment""",
 }
@@ -266,7 +266,7 @@ def _two_measures(t: Tables) -> DataFrame:
 
 def _sequence_rows(t: Tables) -> lagged.Prepared:
     return lagged.prepare_sequences(
-        _two_measures(t), "ds", "y", ["y", "quantity"], ["weekend"], 2, "is_test", **DAILY
+        _two_measures(t), "ds", "y", ["y", "quantity"], ["weekend"], 2, "is_test", **ONE_SERIES
     )
 
 
@@ -404,7 +404,8 @@ def additive_ctes(changepoints: int, yearly: int, weekly: int, regressors: list[
         parts.append(waves("7.0", weekly))
     if regressors:
         parts.append("[" + ", ".join(regressors) + "]")
-    parts.append("[y / size]")
+    # A missing label is written 0 here; such rows are left out of every fit below.
+    parts.append("[coalesce(y / size, 0)]")
     return {
         "series": SERIES,
         "scales": f"""SELECT segment, min({days}) AS start, max({days}) - min({days}) AS span, max(abs(y)) AS size
@@ -472,7 +473,7 @@ def _fitted(t: Tables) -> additive.Fitted:
 @query(
     "x8_regressor_coefficients",
     with_views(
-        f"""SELECT b.segment, 'weekend' AS regressor, round(beta[{_width(WITH_REGRESSORS)}] * size, 2) AS coefficient
+        f"""SELECT b.segment, 'weekend' AS regressor, round(beta[{_width(WITH_REGRESSORS)}] * size / 1000, 2) AS coefficient
             FROM beta b JOIN scales s ON b.segment = s.segment""",
         "segment_dense",
         extra=fitted_ctes(WITH_REGRESSORS),
@@ -480,14 +481,16 @@ def _fitted(t: Tables) -> additive.Fitted:
     ),
 )
 def x8(t: Tables) -> DataFrame:
-    return rounded(additive.regressor_coefficients(_fitted(t)), 2, "coefficient")
+    # In thousands: the weekend flag is nearly a sum of the weekly waves, so the last digits are loose.
+    found = additive.regressor_coefficients(_fitted(t))
+    return found.withColumn("coefficient", F.round(F.col("coefficient") / 1000, 2))
 
 
 @query(
     "x9_components",
     with_views(
         " UNION ALL ".join(
-            f"""SELECT v.segment, ds, '{name}' AS component, round(list_dot_product(beta[{a}:{b}], x[{a}:{b}]) * size, 0) AS value
+            f"""SELECT v.segment, ds, '{name}' AS component, round(list_dot_product(beta[{a}:{b}], x[{a}:{b}]) * size / 1000, 1) AS value
                 FROM vectors v JOIN beta b ON v.segment = b.segment"""
             for name, a, b in [("trend", 1, 27), ("yearly", 28, 47), ("weekly", 48, 53), ("regressors", 54, 54)]
         ),
@@ -499,7 +502,7 @@ def x8(t: Tables) -> DataFrame:
 def x9(t: Tables) -> DataFrame:
     found = additive.components(_fitted(t), _series(t).select("segment", "ds", "weekend"))
     # Adding zero turns a rounded -0.0 into 0.0.
-    return rounded(found.drop("weekend"), 0, "value").withColumn("value", F.col("value") + 0.0)
+    return found.drop("weekend").withColumn("value", F.round(F.col("value") / 1000, 1) + 0.0)
 
 
 @query(
@@ -670,7 +673,7 @@ def w8(t: Tables) -> DataFrame:
 @query(
     "u2_growing_train",
     with_views(
-        """SELECT segment, ds, n_train, round(predicted * n_train, 1) AS total FROM (SELECT segment, ds, is_test,
+        """SELECT segment, ds, n_train, round(predicted * n_train, 2) AS total FROM (SELECT segment, ds, is_test,
              count(y) OVER w AS n_train, avg(y) OVER w AS predicted FROM series
              WINDOW w AS (PARTITION BY segment ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE is_test""",
         "segment_dense",
@@ -680,7 +683,7 @@ def w8(t: Tables) -> DataFrame:
 def u2(t: Tables) -> DataFrame:
     # Train grows by the observed row before each test row.
     found = walkforward.expanding_mean(_series(t), "ds", "y", ["segment"], **DAILY).filter("is_test")
-    total = F.round(F.col("predicted") * F.col("n_train"), 1).alias("total")
+    total = F.round(F.col("predicted") * F.col("n_train"), 2).alias("total")
     return found.select("segment", "ds", "n_train", total)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import blocks, resample
@@ -11,10 +11,13 @@ from .registry import Tables
 TYPES = ["click", "error", "purchase", "signup", "view"]
 TEST_YEAR = 2001
 
-# How the views are cut for window functions: a bucket must fit one task.
+# How the views are cut for window functions.
+# Raw events: a series can be of any length, an hour of it must fit one task.
 RAW = {"chunk": "hour"}
-HOURLY = {"chunk": "month"}
-DAILY = {"chunk": "year"}
+# One table-wide series on a calendar: cut as well, so that no task gets the whole table.
+ONE_SERIES = {"chunk": "year"}
+# Many series, one row per day each: 36,525 rows per century, a plain window per series.
+DAILY = {"block_rows": None}
 
 
 def hourly_wide(t: Tables) -> DataFrame:
@@ -81,11 +84,11 @@ def predictions(t: Tables) -> DataFrame:
         lambda w: {"prediction": F.lag("revenue", 7).over(w)},
         **DAILY,
     ).filter(F.col("revenue").isNotNull() & F.col("prediction").isNotNull())
-    spread = paired.groupBy("segment").agg(
-        F.stddev_pop(F.col("revenue") - F.col("prediction")).alias("_sigma")
-    )
+    # The rows are already partitioned by segment, a day each: no further shuffle.
+    whole = Window.partitionBy("segment")
+    sigma = F.stddev_pop(F.col("revenue") - F.col("prediction")).over(whole)
     reach = F.col("_sigma") * 1.2815515655446004
-    return paired.join(spread, "segment").select(
+    return paired.withColumn("_sigma", sigma).select(
         "segment",
         "day",
         F.col("revenue").alias("actual"),

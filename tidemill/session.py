@@ -31,11 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="tidemill-")
-    spark.conf.set("spark.checkpoint.dir", made)
+    made = spark.sparkContext.getCheckpointDir()
+    if made is None:
+        made = tempfile.mkdtemp(prefix="tidemill-")
+        spark.sparkContext.setCheckpointDir(made)
     return made
 
 
