@@ -16,7 +16,7 @@ def remove_text(column: str | Column, text: str) -> Column:
 
 def words(column: str | Column) -> Column:
     """Whitespace-separated words; edge and repeated blanks give no empty word."""
-    return F.filter(F.split(column, r"\s+"), lambda word: word != "")
+    return F.array_remove(F.split(column, r"\s+"), "")
 
 
 def contains_ignoring_case(column: str | Column, text: str) -> Column:

@@ -57,32 +57,56 @@ class Spec:
 
 @dataclass(frozen=True)
 class Term:
+    """A column of the design, as SQL over rows that carry ``_days``, ``_start`` and ``_span``."""
+
     component: str
     name: str
-    column: Column
+    sql: str
     knot: float | None = None
 
 
-def terms(spec: Spec, ts_col: str, beyond: float = 1.0) -> list[Term]:
-    """The columns of the design, after the intercept, over rows that carry ``_start`` and ``_span``."""
-    epoch_days = _epoch_seconds(ts_col) / SECONDS_PER_DAY
-    t = (epoch_days - F.col("_start")) / F.col("_span")
+def terms(spec: Spec, beyond: float = 1.0) -> list[Term]:
+    """The columns of the design after the intercept."""
+    t = "((_days - _start) / _span)"
     out = [Term("trend", "slope", t)]
     for i, knot in enumerate(spec.knots(beyond), 1):
-        out.append(Term("trend", f"knot_{i}", F.greatest(t - F.lit(knot), F.lit(0.0)), knot))
+        out.append(Term("trend", f"knot_{i}", f"greatest({t} - {knot!r}D, 0.0D)", knot))
     for component, period, order in (
         ("yearly", 365.25, spec.yearly_order),
         ("weekly", 7.0, spec.weekly_order),
         ("daily", 1.0, spec.daily_order),
     ):
         for k in range(1, order + 1):
-            angle = epoch_days * (2.0 * math.pi * k / period)
-            out.append(Term(component, f"{component}_sin_{k}", F.sin(angle)))
-            out.append(Term(component, f"{component}_cos_{k}", F.cos(angle)))
-    out += [Term("regressors", r, F.col(r).cast("double")) for r in spec.regressors]
+            turn = 2.0 * math.pi * k / period
+            for wave in ("sin", "cos"):
+                out.append(Term(component, f"{component}_{wave}_{k}", f"{wave}(_days * {turn!r}D)"))
+    out += [Term("regressors", r, f"CAST(`{r}` AS DOUBLE)") for r in spec.regressors]
     return out
 
 
+def with_days(df: DataFrame, ts_col: str) -> DataFrame:
+    """Add ``_days``: days since 1970, with fraction."""
+    return df.withColumn("_days", _epoch_seconds(ts_col) / SECONDS_PER_DAY)
+
+
+def features(design: Sequence[Term]) -> Column:
+    return F.expr("array(1.0D, " + ", ".join(d.sql for d in design) + ")")
+
+
+def vector(spec: Spec, design: Sequence[Term], target: str) -> Column:
+    """``[1, features..., scaled target]``, null when the target or a regressor is."""
+    present = " AND ".join(f"`{c}` IS NOT NULL" for c in (target, *spec.regressors))
+    parts = ", ".join(["1.0D", *[d.sql for d in design], f"CAST(`{target}` / _size AS DOUBLE)"])
+    return F.expr(f"CASE WHEN {present} THEN array({parts}) END")
+
+
+def linear(design: Sequence[Term], chosen: Sequence[int], intercept: bool) -> Column:
+    """Part of the prediction: the chosen terms (1-based) times their coefficients."""
+    parts = ["beta[0]"] if intercept else []
+    parts += [f"beta[{i}] * {design[i - 1].sql}" for i in chosen]
+    return F.expr("(" + " + ".join(parts) + ") * _size")
+
+
 def _epoch_seconds(ts_col: str) -> Column:
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("SECOND", origin, F.col(ts_col).cast("timestamp_ntz")).cast("double")
@@ -149,13 +173,12 @@ class Fitted:
     models: DataFrame  # series, _start, _span, _size, gram, beta, sigma
 
     def terms(self) -> list[Term]:
-        return terms(self.spec, self.ts_col)
+        return terms(self.spec)
 
-
-def _vectors(spec: Spec, ts_col: str, target: str, beyond: float = 1.0) -> tuple[Column, int]:
-    design = terms(spec, ts_col, beyond)
-    z = gram.row_vector([d.column for d in design], F.col(target) / F.col("_size"))
-    return z, len(design) + 2
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """Rows with the model of their series."""
+        small = self.models.select(*self.series_cols, "_start", "_span", "_size", "beta", "sigma")
+        return with_days(_attach(rows, small, self.series_cols), self.ts_col)
 
 
 def _grams(
@@ -164,9 +187,11 @@ def _grams(
 ) -> DataFrame:
     """Matrices by key; the scaling of the series rides along as part of the key."""
     narrow = rows.select(*dict.fromkeys([*keys, ts_col, target, *spec.regressors]))
-    z, width = _vectors(spec, ts_col, target)
+    design = terms(spec)
+    z = vector(spec, design, target)
     carried = [*keys, "_start", "_span", "_size"]
-    return gram.gram(_attach(narrow, scales, series_cols), carried, z, width, blocks.truncate(spread, ts_col))
+    placed = with_days(_attach(narrow, scales, series_cols), ts_col)
+    return gram.gram(placed, carried, z, len(design) + 2, blocks.truncate(spread, ts_col))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -190,7 +215,7 @@ def fit(
     """One model per series; lazy, and one pass over the rows after the scaling."""
     scales = scaling(train, ts_col, target, series_cols)
     grams = _grams(train, spec, ts_col, target, series_cols, scales, series_cols, spread)
-    beta = gram.ridge("gram", penalties(spec, terms(spec, ts_col)))
+    beta = gram.ridge("gram", penalties(spec, terms(spec)))
     solved = grams.withColumn("beta", beta)
     models = solved.withColumn("sigma", residual_deviation("gram", "beta"))
     return Fitted(spec, ts_col, target, list(series_cols), models)
@@ -198,10 +223,8 @@ def fit(
 
 def predict(fitted: Fitted, rows: DataFrame, interval: bool = False) -> DataFrame:
     """``yhat`` for each row (train, test or future), with p10 and p90 if asked."""
-    small = fitted.models.select(*fitted.series_cols, "_start", "_span", "_size", "beta", "sigma")
-    joined = _attach(rows, small, fitted.series_cols)
-    yhat = gram.dot(F.col("beta"), [d.column for d in fitted.terms()]) * F.col("_size")
-    out = joined.withColumn("yhat", yhat)
+    design = fitted.terms()
+    out = fitted.attach(rows).withColumn("yhat", linear(design, range(1, len(design) + 1), True))
     if interval:
         reach = F.col("sigma") * F.col("_size") * Z80
         out = out.withColumns({"p10": F.col("yhat") - reach, "p90": F.col("yhat") + reach})
@@ -211,18 +234,16 @@ def predict(fitted: Fitted, rows: DataFrame, interval: bool = False) -> DataFram
 
 def components(fitted: Fitted, rows: DataFrame) -> DataFrame:
     """Long ``(component, value)`` rows per row; the values add up to ``yhat``."""
-    small = fitted.models.select(*fitted.series_cols, "_start", "_span", "_size", "beta")
-    joined = _attach(rows, small, fitted.series_cols)
     design = fitted.terms()
-    sums: dict[str, Column] = {"trend": F.col("beta")[0]}
+    members: dict[str, list[int]] = {}
     for i, term in enumerate(design, 1):
-        part = F.col("beta")[i] * term.column
-        sums[term.component] = sums[term.component] + part if term.component in sums else part
+        members.setdefault(term.component, []).append(i)
     cells = [
-        F.struct(F.lit(name).alias("component"), (total * F.col("_size")).alias("value"))
-        for name, total in sums.items()
+        F.struct(F.lit(name).alias("component"), linear(design, chosen, name == "trend").alias("value"))
+        for name, chosen in members.items()
     ]
-    return joined.select(*rows.columns, F.explode(F.array(*cells)).alias("c")).select(*rows.columns, "c.*")
+    exploded = fitted.attach(rows).select(*rows.columns, F.explode(F.array(*cells)).alias("c"))
+    return exploded.select(*rows.columns, "c.*")
 
 
 def _cells(fitted: Fitted, chosen: list[tuple[int, Term]], *extra: str) -> DataFrame:
@@ -291,7 +312,7 @@ def grid_search(
     settings = joins.parameter_grid(_attach(fitting, scoring, series_cols), grid)
     held = penalties(
         spec,
-        terms(spec, ts_col),
+        terms(spec),
         F.col("changepoint_prior_scale") if "changepoint_prior_scale" in grid else None,
         F.col("seasonality_prior_scale") if "seasonality_prior_scale" in grid else None,
     )

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import arrays
+
 
 def row_vector(features: Sequence[Column], label: Column) -> Column:
     """``[1, features..., label]``, or null when anything in it is null."""
@@ -83,19 +85,6 @@ def _partials(keys: Sequence[str], width: int):
     return run
 
 
-def _add_up(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Element-wise sum of the arrays per key, combined before the shuffle."""
-    cells = partials.select(*keys, F.posexplode("gram").alias("cell", "value"))
-    sums = cells.groupBy(*keys, "cell").agg(F.sum("value").alias("value"))
-    return _collect_cells(sums, keys)
-
-
-def _collect_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # One array element per cell of the matrix: its length depends on the features only.
-    ordered = F.sort_array(F.collect_list(F.struct("cell", "value")))
-    return cells.groupBy(*keys).agg(F.transform(ordered, lambda c: c["value"]).alias("gram"))
-
-
 def gram(df: DataFrame, keys: Sequence[str], z: Column, width: int, spread: Column | None = None) -> DataFrame:
     """One ``(keys, gram)`` row per key over the rows whose vector is not null.
 
@@ -108,7 +97,7 @@ def gram(df: DataFrame, keys: Sequence[str], z: Column, width: int, spread: Colu
         placed = df.repartition(*by).sortWithinPartitions(*keys)
     vectors = placed.select(*keys, z.alias("z")).filter(F.col("z").isNotNull())
     partials = vectors.mapInArrow(_partials(list(keys), width), _arrow_schema(df, keys))
-    return _add_up(partials, keys)
+    return arrays.add_up(partials, keys, "gram")
 
 
 def prefix_grams(grams: DataFrame, series_cols: Sequence[str], block_col: str) -> DataFrame:
@@ -117,12 +106,12 @@ def prefix_grams(grams: DataFrame, series_cols: Sequence[str], block_col: str) -
     Each cell is summed on its own, so the window is spread over series times cells.
     """
     keys = [*series_cols, block_col]
-    cells = grams.select(*keys, F.posexplode("gram").alias("cell", "value"))
+    cells = arrays.cells_of(grams, keys, "gram")
     earlier = (
         Window.partitionBy(*series_cols, "cell").orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
     )
     before = cells.withColumn("value", F.coalesce(F.sum("value").over(earlier), F.lit(0.0)))
-    return _collect_cells(before, keys)
+    return arrays.from_cells(before, keys, "gram")
 
 
 def solve(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray | float = 0.0) -> np.ndarray:

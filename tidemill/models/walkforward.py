@@ -42,23 +42,22 @@ def walk_forward(
     """
     keys = list(series_cols)
     scales = additive.scaling(rows.filter(~F.col(is_test)), ts_col, target, keys)
-    design = additive.terms(spec, ts_col, horizon)
+    design = additive.terms(spec, horizon)
     narrow = rows.select(*dict.fromkeys([*keys, ts_col, is_test, target, *spec.regressors]))
     placed = blocks.with_position(narrow, keys, ts_col, "_position", **layout).withColumn(
         "_block", F.floor((F.col("_position") - 1) / block_rows)
     )
     # Read twice below, for the block sums and for the folds.
-    scaled = blocks.settle(additive._attach(placed, scales, keys))
-    features = F.array(F.lit(1.0), *[d.column for d in design])
+    scaled = blocks.settle(additive.with_days(additive._attach(placed, scales, keys), ts_col))
     width = len(design) + 2
     # A row without a target adds nothing, but keeps its block in the chain of sums.
-    learned = gram.row_vector([d.column for d in design], F.col(target) / F.col("_size"))
-    z = F.coalesce(learned, F.array_repeat(F.lit(0.0), width))
+    nothing = F.array_repeat(F.lit(0.0), width)
+    z = F.coalesce(additive.vector(spec, design, target), nothing)
     block_keys = [*keys, "_block"]
     before = gram.prefix_grams(gram.gram(scaled, block_keys, z, width), keys, "_block")
     vectors = scaled.select(
         *block_keys, ts_col, is_test, "_position", "_size",
-        features.alias("x"), (F.col(target) / F.col("_size")).cast("double").alias("scaled"),
+        additive.features(design).alias("x"), (F.col(target) / F.col("_size")).cast("double").alias("scaled"),
     )
     knots = [(i, d.knot) for i, d in enumerate(design, 1) if d.knot is not None]
     fixed = [i for i, d in enumerate(design, 1) if d.knot is None]
@@ -152,9 +151,9 @@ def stitched(
     train = rows.filter(~F.col(is_test))
     last = folds.groupBy(*keys).agg(F.max_by("beta", ts_col).alias("beta"))
     scales = additive.scaling(train, ts_col, target, keys)
-    fitted = additive._attach(additive._attach(train, scales, keys), last, keys)
-    design = additive.terms(spec, ts_col, horizon)
-    yhat = gram.dot(F.col("beta"), [d.column for d in design]) * F.col("_size")
+    fitted = additive.with_days(additive._attach(additive._attach(train, scales, keys), last, keys), ts_col)
+    design = additive.terms(spec, horizon)
+    yhat = additive.linear(design, range(1, len(design) + 1), True)
     inside = fitted.select(*keys, ts_col, F.col(target).alias("actual"), yhat.alias("yhat"), F.lit("train").alias("part"))
     outside = folds.select(*keys, ts_col, "actual", "yhat", F.lit("test").alias("part"))
     return inside.unionByName(outside)

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -94,6 +96,18 @@ def with_position(
     return carried.withColumn(out, position).select(*df.columns, out)
 
 
+def _with_copies(placed: DataFrame, position: str, lookback: int, block_rows: int) -> DataFrame:
+    """Assign rows to blocks; the last ``lookback`` rows of a block also go to the next one."""
+    if lookback > block_rows:
+        raise ValueError("block_rows must be at least the lookback")
+    offset = F.col(position) - 1
+    in_tail = F.pmod(offset, F.lit(block_rows)) >= block_rows - lookback
+    both = F.array("_home", F.col("_home") + 1)
+    return placed.withColumn("_home", F.floor(offset / block_rows).cast("bigint")).withColumn(
+        "_block", F.explode(F.when(in_tail, both).otherwise(F.array("_home")))
+    )
+
+
 def over_blocks(
     df: DataFrame,
     series_cols: Sequence[str],
@@ -119,17 +133,7 @@ def over_blocks(
         return df.select("*", *[c.alias(n) for n, c in added.items()])
     placed = with_position(df, series_cols, ts_col, position, order_cols, chunk, block_rows)
     kept = [*df.columns, position] if position_col else list(df.columns)
-    if lookback > block_rows:
-        raise ValueError("block_rows must be at least the lookback")
-    offset = F.col(position) - 1
-    home = F.floor(offset / block_rows).cast("bigint")
-    in_tail = F.pmod(offset, F.lit(block_rows)) >= block_rows - lookback
-    blocked = placed.withColumn("_home", home).withColumn(
-        "_block",
-        F.explode(
-            F.when(in_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
-        ),
-    )
+    blocked = _with_copies(placed, position, lookback, block_rows)
     window = Window.partitionBy(*series_cols, "_block").orderBy(position)
     added = build(window)
     return (
@@ -139,6 +143,56 @@ def over_blocks(
     )
 
 
+def is_whole(layout: Mapping) -> bool:
+    """Whether the layout declares series short enough for one task each."""
+    return layout.get("block_rows", BLOCK_ROWS) is None
+
+
+def map_blocks(
+    df: DataFrame,
+    series_cols: Sequence[str],
+    ts_col: str,
+    lookback: int,
+    reduce_block: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame],
+    schema: str,
+    order_cols: Sequence[str] = (),
+    chunk: str = CHUNK,
+    block_rows: int | None = BLOCK_ROWS,
+) -> DataFrame:
+    """Reduce each block, in time order, with a numpy function on the executors.
+
+    ``reduce_block(rows, own)`` gets the block's rows with their ``_position`` and a mask of
+    the rows that are its own (the others are copies from the block before), and returns
+    rows of ``schema``; the series keys are put in front.
+    """
+    keys = list(series_cols)
+    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    out = f"{types}, {schema}" if keys else schema
+
+    def with_keys(found: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        for i, k in enumerate(keys):
+            found.insert(i, k, rows[k].iloc[0])
+        return found
+
+    if block_rows is None:
+
+        def whole(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values([ts_col, *order_cols])
+            rows["_position"] = np.arange(1, len(rows) + 1)
+            return with_keys(reduce_block(rows, np.ones(len(rows), dtype=bool)), rows)
+
+        return df.groupBy(*keys).applyInPandas(whole, out)
+
+    def part(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_position")
+        own = (rows["_block"] == rows["_home"]).to_numpy()
+        return with_keys(reduce_block(rows, own), rows)
+
+    placed = with_position(df, keys, ts_col, "_position", order_cols, chunk, block_rows)
+    copied = _with_copies(placed, "_position", lookback, block_rows)
+    return copied.groupBy(*keys, "_block").applyInPandas(part, out)
+
+
 def running_sum(
     df: DataFrame,
     series_cols: Sequence[str],

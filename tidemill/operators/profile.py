@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import blocks
+from . import arrays, blocks
 
 
 def safe_corr(a: str, b: str) -> Column:
@@ -114,16 +116,9 @@ def histogram(
 
 
 def with_series_stats(
-    df: DataFrame, series_cols: Sequence[str], stats: dict[str, Column], whole_series: bool = False
+    df: DataFrame, series_cols: Sequence[str], stats: dict[str, Column]
 ) -> DataFrame:
-    """Add aggregates of each series to its rows.
-
-    ``whole_series`` computes them in the window that short series share with the lags;
-    otherwise a small table of aggregates is joined, so no task needs a whole series.
-    """
-    if whole_series:
-        window = Window.partitionBy(*(series_cols or [F.lit(0)]))
-        return df.select("*", *[e.over(window).alias(n) for n, e in stats.items()])
+    """Add aggregates of each series to its rows by joining a small table of them."""
     if series_cols:
         small = df.groupBy(*series_cols).agg(*[e.alias(n) for n, e in stats.items()])
         return df.join(small, list(series_cols))
@@ -131,52 +126,53 @@ def with_series_stats(
     return df.withColumn("_stats", packed).select(*df.columns, "_stats.*")
 
 
-def is_whole(layout: dict) -> bool:
-    return layout.get("block_rows", blocks.BLOCK_ROWS) is None
-
-
 def lagged_products(
-    df: DataFrame,
-    ts_col: str,
-    column: str,
-    lags: Sequence[int],
-    series_cols: Sequence[str] = (),
-    squares: bool = False,
-    **layout,
+    df: DataFrame, ts_col: str, column: str, max_lag: int, series_cols: Sequence[str] = (), squares: bool = False, **layout
 ) -> DataFrame:
-    """Per series: ``n``, and an array of ``sum(z_t * z_(t-k))`` for each lag, z = centred value.
+    """Per series: ``n``, and ``products``: sum(z_t * z_(t-k)) for k = 0..max_lag, z = centred value.
 
-    All lags share one window node, and the sums are partial before the shuffle.
-    ``squares`` adds the sum of the squared running sums of z.
+    ``squares`` adds the sum of the squared running sums of z. Each block is reduced to one
+    short array by vector products, and the arrays are added up; a pair with a null counts
+    as nothing.
     """
-    narrow = df.select(*series_cols, ts_col, column)
-    centred = with_series_stats(narrow, series_cols, {"_mean": F.avg(column)}, is_whole(layout)).select(
-        *series_cols, ts_col, (F.col(column) - F.col("_mean")).alias("_z")
-    )
-    if squares:
-        centred = blocks.running_sum(centred, series_cols, ts_col, {"_running": "_z"}, **layout)
-        if not is_whole(layout):
-            centred = blocks.settle(centred)
-    lagged = blocks.over_blocks(
-        centred,
-        series_cols,
-        ts_col,
-        max(max(lags), 1),
-        lambda w: {f"_z{k}": F.lag("_z", k).over(w) for k in lags if k},
-        **layout,
+    keys = list(series_cols)
+    rows = df.select(*keys, ts_col, F.col(column).cast("double").alias("_x"))
+    whole = blocks.is_whole(layout)
+    if not whole:
+        rows = with_series_stats(rows, keys, {"_mean": F.avg("_x")})
+        if squares:
+            rows = rows.withColumn("_z", F.col("_x") - F.col("_mean"))
+            rows = blocks.settle(blocks.running_sum(rows, keys, ts_col, {"_running": "_z"}, **layout))
+
+    def reduce_block(part: pd.DataFrame, own: np.ndarray) -> pd.DataFrame:
+        x = part["_x"].to_numpy(dtype=float)
+        known = own & ~np.isnan(x)
+        z = x - (np.nanmean(x) if known.any() else 0.0) if whole else x - part["_mean"].to_numpy(dtype=float)
+        z = np.nan_to_num(z)
+        mine = np.where(own, z, 0.0)
+        sums = [float(mine[k:] @ z[: len(z) - k]) if k < len(z) else 0.0 for k in range(max_lag + 1)]
+        total = 0.0
+        if squares:
+            running = np.cumsum(z) if whole else np.where(own, part["_running"].to_numpy(dtype=float), 0.0)
+            total = float(np.nansum(running * running))
+        return pd.DataFrame({"cells": [[float(known.sum()), total, *sums]]})
+
+    partials = blocks.map_blocks(rows, keys, ts_col, max(max_lag, 1), reduce_block, "cells array<double>", **layout)
+    summed = partials if whole else arrays.add_up(partials, keys, "cells")
+    extra = [F.col("cells")[1].alias("squares")] if squares else []
+    return summed.select(
+        *keys,
+        F.col("cells")[0].cast("bigint").alias("n"),
+        F.slice("cells", 3, max_lag + 1).alias("products"),
+        *extra,
     )
-    sums = [
-        F.coalesce(F.sum(F.col("_z") * F.col(f"_z{k}" if k else "_z")), F.lit(0.0)) for k in lags
-    ]
-    extra = [F.sum(F.col("_running") * F.col("_running")).alias("squares")] if squares else []
-    return lagged.groupBy(*series_cols).agg(F.count("_z").alias("n"), F.array(*sums).alias("products"), *extra)
 
 
 def acf_arrays(
     df: DataFrame, ts_col: str, column: str, max_lag: int = 100, series_cols: Sequence[str] = (), **layout
 ) -> DataFrame:
     """Per series: ``n`` and the biased autocorrelations of lags 0 to ``max_lag``."""
-    sums = lagged_products(df, ts_col, column, range(max_lag + 1), series_cols, **layout)
+    sums = lagged_products(df, ts_col, column, max_lag, series_cols, **layout)
     scaled = F.transform("products", lambda p: F.try_divide(p, F.col("products")[0]))
     return sums.select(*series_cols, "n", scaled.alias("r"))
 

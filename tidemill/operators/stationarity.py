@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalar
 from ..models import gram
-from . import blocks, profile
+from . import arrays, blocks, profile
 
 # MacKinnon (1994) response surface for the Dickey-Fuller t, constant only.
 ADF_MIN, ADF_MAX, ADF_STAR = -18.83, 2.74, -1.61
@@ -38,7 +38,7 @@ def adf_p_value(statistic: float) -> float:
 
 def _adf_solve(stages, max_lag: int) -> tuple[float, float, int, int] | None:
     """Lag by AIC on the common sample, then the statistic on all rows that lag allows."""
-    sums = {int(s["_stage"]): gram.square(s["gram"]) for s in stages}
+    sums = {int(s["stage"]): gram.square(s["cells"]) for s in stages}
     full = sums.get(max_lag + 2)
     if max_lag < 0 or full is None:
         return None
@@ -80,13 +80,12 @@ def _adf_udf(stages: pd.Series, max_lags: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["statistic", "p_value", "used_lag", "n_obs"])
 
 
-def _max_lag(n: Column) -> Column:
-    rule = F.ceil(F.pow(n / 100.0, F.lit(0.25)) * 12.0)
-    return F.least(F.floor(n / 2) - 2, rule).cast("bigint")
+def _max_lag(n: int) -> int:
+    return int(min(n // 2 - 2, math.ceil(12.0 * (n / 100.0) ** 0.25)))
 
 
 def adf(
-    df: DataFrame, ts_col: str, column: str, series_cols: Sequence[str] = (), spread: str = "year", **layout
+    df: DataFrame, ts_col: str, column: str, series_cols: Sequence[str] = (), **layout
 ) -> DataFrame:
     """Augmented Dickey-Fuller test, constant only, lag chosen by AIC.
 
@@ -95,40 +94,46 @@ def adf(
     """
     keys = list(series_cols)
     known = df.filter(F.col(column).isNotNull()).select(*keys, ts_col, F.col(column).cast("double").alias("_x"))
-    # The number of lag columns must be known to build the plan: one number from one small job.
-    sizes = known.groupBy(*keys).agg(_max_lag(F.count("_x")).alias("m"))
-    top = sizes.agg(F.max("m")).first()[0]
-    if top is None or top < 0:
-        raise ValueError("no series is long enough for the test")
-    stats = {"_n": F.count("_x"), "_mean": F.avg("_x"), "_sd": F.stddev_pop("_x")}
-    # The statistic does not change with location and scale; this keeps the sums well conditioned.
-    sd = F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
-    with_stats = profile.with_series_stats(known, keys, stats, profile.is_whole(layout))
-    scaled = with_stats.select(
-        *keys, ts_col, _max_lag(F.col("_n")).alias("_m"), ((F.col("_x") - F.col("_mean")) / sd).alias("_x")
+    whole = blocks.is_whole(layout)
+    lookback = 1
+    if not whole:
+        # How many rows to copy between blocks: one number, the length of the longest series.
+        longest = known.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        lookback = max(_max_lag(longest), 0) + 1
+        stats = {"_n": F.count("_x"), "_mean": F.avg("_x"), "_sd": F.stddev_pop("_x")}
+        known = profile.with_series_stats(known, keys, stats)
+
+    def reduce_block(rows: pd.DataFrame, own: np.ndarray) -> pd.DataFrame:
+        x = rows["_x"].to_numpy()
+        n, mean, sd = (len(x), x.mean(), x.std()) if whole else rows[["_n", "_mean", "_sd"]].iloc[0]
+        # The statistic does not change with location and scale; this keeps the sums well conditioned.
+        x = (x - mean) / (sd if sd > 0 else 1.0)
+        top = _max_lag(int(n))
+        if top < 0 or len(x) < 2:
+            return pd.DataFrame({"m": [], "stage": [], "cells": []})
+        steps = np.concatenate([np.zeros(top + 1), np.diff(x)])
+        level = np.concatenate([[0.0], x[:-1]])
+        at = np.arange(len(x))
+        z = np.column_stack(
+            [np.ones(len(x)), level, *[steps[at + top - j] for j in range(1, top + 1)], steps[at + top]]
+        )
+        position = rows["_position"].to_numpy()
+        used = own & (position >= 2)
+        stage = np.minimum(position, top + 2)
+        # The rows before the common sample (fewer than the maximal lag) keep their own sums,
+        # because a shorter lag lets some of them in.
+        found = [
+            (top, int(s), gram.triangle(z[used & (stage == s)].T @ z[used & (stage == s)]).tolist())
+            for s in np.unique(stage[used])
+        ]
+        return pd.DataFrame(found, columns=["m", "stage", "cells"])
+
+    partials = blocks.map_blocks(
+        known, keys, ts_col, lookback, reduce_block, "m bigint, stage bigint, cells array<double>", **layout
     )
-    lagged = blocks.over_blocks(
-        scaled,
-        keys,
-        ts_col,
-        top + 1,
-        lambda w: {f"_x{k}": F.lag("_x", k).over(w) for k in range(1, top + 2)},
-        position_col="_t",
-        **layout,
-    ).filter(F.col("_t") >= 2)
-
-    def value(k: int) -> Column:
-        return F.col("_x") if k == 0 else F.col(f"_x{k}")
-
-    steps = [F.coalesce(value(k) - value(k + 1), F.lit(0.0)) for k in range(top + 1)]
-    z = F.array(F.lit(1.0), value(1), *steps[1:], steps[0])
-    # The rows before the common sample (fewer than max_lag per series) keep their own sums,
-    # because a shorter lag lets some of them in.
-    stage = F.least(F.col("_t"), F.col("_m") + 2)
-    staged = lagged.withColumn("_stage", stage)
-    grams = gram.gram(staged, [*keys, "_m", "_stage"], z, top + 3, blocks.truncate(spread, ts_col))
-    per_series = grams.groupBy(*keys, "_m").agg(F.collect_list(F.struct("_stage", "gram")).alias("stages"))
-    return per_series.select(*keys, _adf_udf("stages", "_m").alias("r")).select(*keys, "r.*")
+    sums = partials if whole else arrays.add_up(partials, [*keys, "m", "stage"], "cells")
+    per_series = sums.groupBy(*keys, "m").agg(F.collect_list(F.struct("stage", "cells")).alias("stages"))
+    return per_series.select(*keys, _adf_udf("stages", "m").alias("r")).select(*keys, "r.*")
 
 
 def _weighted(upto: Column, weight) -> Column:
@@ -160,7 +165,7 @@ def kpss(
     short = F.floor(F.pow(n, F.lit(2.0 / 9.0))).cast("bigint")
 
     def sums(lags: int) -> DataFrame:
-        found = profile.lagged_products(known, ts_col, "_x", range(lags + 1), keys, squares=True, **layout)
+        found = profile.lagged_products(known, ts_col, "_x", lags, keys, squares=True, **layout)
         return blocks.settle(found)
 
     def widest(found: DataFrame, wanted: Column) -> int:

@@ -660,8 +660,11 @@ WORDS = r"""SELECT doc_id, unnest(regexp_split_to_array(replace(text, '<', ''),
 )
 def g3(t: Tables) -> DataFrame:
     # Remove a prefix, split into words, keep those of one entity, strip it, count.
-    word = F.explode(scalar.words(scalar.remove_text("text", "<"))).alias("word")
-    mine = t("documents").select(word).filter(scalar.contains_ignoring_case("word", "license"))
+    # A text without the entity has no such word, so it is not split at all.
+    stripped = t("documents").select(scalar.remove_text("text", "<").alias("text"))
+    marked = stripped.filter(scalar.contains_ignoring_case("text", "license"))
+    word = F.explode(scalar.words("text")).alias("word")
+    mine = marked.select(word).filter(scalar.contains_ignoring_case("word", "license"))
     named = mine.select(scalar.remove_text("word", "license").alias("feature")).filter(scalar.is_filled("feature"))
     return quality.value_counts(named, "feature").orderBy(F.desc("n"), "feature")
 
