@@ -143,9 +143,13 @@ def ridge(grams: pd.Series, penalties: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def mean_loss(grams: pd.Series, betas: pd.Series) -> pd.Series:
     """Mean squared residual of each coefficient array on its matrix (count in cell 0)."""
-    return pd.Series(
-        [loss_sum(square(g), np.asarray(b, dtype=float)) / g[0] for g, b in zip(grams, betas, strict=True)]
-    )
+
+    def one(packed, beta) -> float | None:
+        if packed is None or packed[0] == 0:
+            return None
+        return loss_sum(square(packed), np.asarray(beta, dtype=float)) / packed[0]
+
+    return pd.Series([one(g, b) for g, b in zip(grams, betas, strict=True)], dtype="float64")
 
 
 def elastic_net(l1: float, l2: float, sweeps: int = 1000, tolerance: float = 1e-12):

@@ -70,7 +70,8 @@ def prepare_lags(
     keys = [*series_cols, ts_col]
     narrow = df.select(*keys, is_test, target, *features)
     within = [*series_cols] if across_split else [*series_cols, is_test]
-    lagged = lags.lag_features(narrow, ts_col, target, lag_list, within, **layout)
+    # Read by the scaling, the fit, the prediction and the history.
+    lagged = blocks.settle(lags.lag_features(narrow, ts_col, target, lag_list, within, **layout))
     names = [*features, *[f"lag_{k}" for k in lag_list]]
     scaler = scale.fit_min_max(lagged.filter(~F.col(is_test)), [target, *names], series_cols)
     return Prepared(
@@ -94,7 +95,7 @@ def prepare_sequences(
 
     Scaled before the windows are cut, with limits from the training rows.
     """
-    narrow = df.select(*dict.fromkeys([*series_cols, ts_col, is_test, target, *past, *future]))
+    narrow = blocks.settle(df.select(*dict.fromkeys([*series_cols, ts_col, is_test, target, *past, *future])))
     columns = list(dict.fromkeys([target, *past, *future]))
     scaler = scale.fit_min_max(narrow.filter(~F.col(is_test)), columns, series_cols)
     samples = lags.sequences(
@@ -104,12 +105,14 @@ def prepare_sequences(
         f"{c}_back_{k - step}": F.col("past")[step][i] for step in range(k) for i, c in enumerate(past)
     }
     known = {f"{c}_now": F.col("future")[i] for i, c in enumerate(future)}
-    rows = samples.select(
-        *series_cols,
-        ts_col,
-        is_test,
-        F.col("label").alias(target),
-        *[c.alias(n) for n, c in {**named, **known}.items()],
+    rows = blocks.settle(
+        samples.select(
+            *series_cols,
+            ts_col,
+            is_test,
+            F.col("label").alias(target),
+            *[c.alias(n) for n, c in {**named, **known}.items()],
+        )
     )
     return Prepared(
         rows, [*named, *known], target, is_test, ts_col, list(series_cols), scaler, spread
@@ -193,11 +196,11 @@ def training_history(prepared: Prepared, epochs: int = 50, rate: float = 1.0) ->
     test rows, which meet the epochs' coefficients once (test rows times epochs).
     """
     keys = prepared.series_cols
-    both = prepared.grams_by_split()
+    both = blocks.settle(prepared.grams_by_split())
     train = both.filter(~F.col(prepared.is_test)).select(*keys, F.col("gram").alias("train_gram"))
     test = both.filter(F.col(prepared.is_test)).select(*keys, F.col("gram").alias("test_gram"))
     paths = train.withColumn("path", gram.descent(epochs, rate)("train_gram"))
-    joined = paths.join(test, keys) if keys else _with_model(paths, test, [])
+    joined = paths.join(test, keys, "left") if keys else _with_model(paths, test, [])
     per_epoch = joined.select(
         *keys, "train_gram", "test_gram", F.posexplode("path").alias("step", "beta")
     )
@@ -223,7 +226,7 @@ def training_history(prepared: Prepared, epochs: int = 50, rate: float = 1.0) ->
     absolute = errors.groupBy(*keys, "step").agg(F.avg("error").alias("val/mae"))
     return (
         squared.withColumns({"val/mse": F.col("val/loss"), "val/rmse": F.sqrt("val/loss")})
-        .join(absolute, [*keys, "step"])
+        .join(absolute, [*keys, "step"], "left")
         .withColumn("step", F.col("step").cast("bigint"))
     )
 

@@ -144,7 +144,7 @@ def run_ids(
         **layout,
     )
     # Two passes read the flags next; when the series is cut, those are written once first.
-    if layout.get("block_rows", blocks.BLOCK_ROWS) is not None:
+    if not blocks.is_whole(layout):
         changed = blocks.settle(changed)
     # The first row always starts run 1, also when its flag is null.
     first = changed.withColumn(

@@ -47,6 +47,9 @@ def resample_mean(
     if not layout and series_cols and unit in BOUNDED_UNITS:
         layout = {"block_rows": None}
     layout.setdefault("chunk", "year")
+    if not blocks.is_whole(layout):
+        # One row per step and series, read twice by the cut windows below.
+        means = blocks.settle(means)
     followed = blocks.over_blocks(
         means, series_cols, ts_col, 1, lambda w: {"_before": F.lag(ts_col).over(w)}, **layout
     )

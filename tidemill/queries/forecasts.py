@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..models import additive, evaluate, lagged, walkforward
-from ..operators import columns, quality, stationarity
+from ..operators import blocks, columns, quality, stationarity
 from ..sources import tables
 from . import views
 from .registry import Tables, query, rounded
@@ -22,12 +22,14 @@ GRID = {
 def _series(t: Tables) -> DataFrame:
     """Dense daily revenue per segment as (segment, ds, y), weekend regressor and split flag."""
     dense = columns.rename(views.segment_dense(t), {"day": "ds", "revenue": "y"})
-    return dense.withColumns(
+    flagged = dense.withColumns(
         {
             "weekend": calendar.is_weekend("ds").cast("double"),
             "is_test": quality.in_test_year(dense, "ds", TEST_YEAR),
         }
     )
+    # A day per row: small next to the orders it comes from, and read several times.
+    return blocks.settle(flagged)
 
 
 SERIES = """SELECT segment, day AS ds, revenue AS y, CAST(isodow(day) > 5 AS DOUBLE) AS weekend,
@@ -289,7 +291,7 @@ SEQUENCE_CTES = {
     with_views(
         """SELECT ds, round(x[7] * (hi_y - lo_y) + lo_y, 2) AS actual,
              CASE WHEN len(list_filter(x[1:6], lambda v: v IS NULL)) = 0 THEN
-               round(list_dot_product(beta, x[1:6]) * (hi_y - lo_y) + lo_y, 0) END AS predicted
+               round(list_dot_product(beta, list_transform(x[1:6], lambda v: coalesce(v, 0))) * (hi_y - lo_y) + lo_y, 0) END AS predicted
            FROM vectors, beta WHERE is_test""",
         "daily_orders",
         "daily_ship",
@@ -379,7 +381,8 @@ def x12(t: Tables) -> DataFrame:
     history = lagged.training_history(_lag_rows(t), epochs=50)
     names = {m: m for m in tables.METRIC_NAMES}
     rows = tables.metric_rows(history, F.col("segment"), F.col("step"), names).withColumnRenamed("run", "segment")
-    return rounded(rows, 7, "value")
+    # A series without test rows has no validation values.
+    return rounded(rows, 7, "value").filter(F.col("value").isNotNull())
 
 
 # --- additive forecasts ----------------------------------------------------------------
