@@ -57,7 +57,7 @@ def walk_forward(
     before = gram.prefix_grams(gram.gram(scaled, block_keys, z, width), keys, "_block")
     vectors = scaled.select(
         *block_keys, ts_col, is_test, "_position", "_size",
-        additive.features(design).alias("x"), (F.col(target) / F.col("_size")).cast("double").alias("scaled"),
+        additive.features(design).alias("x"), F.col(target).cast("double").alias("actual"),
     )
     knots = [(i, d.knot) for i, d in enumerate(design, 1) if d.knot is not None]
     fixed = [i for i, d in enumerate(design, 1) if d.knot is None]
@@ -80,7 +80,8 @@ def walk_forward(
         total = gram.square(carried["gram"].iloc[0])
         size = float(part["_size"].iloc[0])
         x = np.array(part["x"].tolist(), dtype=float)
-        y = part["scaled"].to_numpy(dtype=float, na_value=np.nan)
+        actual = part["actual"].to_numpy(dtype=float, na_value=np.nan)
+        y = actual / size
         usable = ~np.isnan(x).any(axis=1)
         out = []
         tested = part[is_test].to_numpy(dtype=bool)
@@ -91,7 +92,7 @@ def walk_forward(
                 beta = np.zeros(width - 1)
                 beta[live] = gram.solve(total[np.ix_(live, live)], total[live, -1], penalty[live])
                 sigma = np.sqrt(gram.loss_sum(total, beta) / total[0, 0])
-                row = (y[i] * size, float(beta @ x[i]) * size, sigma * size, int(total[0, 0]), beta.tolist())
+                row = (actual[i], float(beta @ x[i]) * size, sigma * size, int(total[0, 0]), beta.tolist())
                 out.append((*key, *row))
             if usable[i] and not np.isnan(y[i]):
                 v = np.append(x[i], y[i])
