@@ -89,6 +89,7 @@ def main() -> int:
     folder = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("ZONE", "UTC"))
     con = connect(folder)
     failed = 0
     for name, build in catalog.QUERIES.items():

@@ -34,8 +34,25 @@ _BEFORE = "_before"
 
 
 def truncate(unit: str, ts: str | Column, like: str = "timestamp_ntz") -> Column:
-    """``date_trunc`` that keeps the zone-free type (the built-in returns TIMESTAMP)."""
-    return F.date_trunc(unit, ts).cast(like)
+    """Start of the ``unit`` a time falls in, in the type of the time.
+
+    The built-in goes through the session zone, which for zone-free times can move hours
+    around a clock change; here they are taken apart and put together without a zone.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    if like != "timestamp_ntz":
+        return F.date_trunc(unit, c).cast(like)
+    day = F.to_date(c)
+    start = day.cast("timestamp_ntz")
+    if unit == "day":
+        return start
+    if unit == "hour":
+        return F.timestamp_add("HOUR", F.hour(c), start)
+    if unit == "minute":
+        return F.timestamp_add("MINUTE", F.hour(c) * 60 + F.minute(c), start)
+    if unit == "second":
+        return F.timestamp_add("SECOND", F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c), start)
+    return F.trunc(day, unit).cast("timestamp_ntz")
 
 
 def settle(df: DataFrame) -> DataFrame:

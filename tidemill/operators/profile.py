@@ -67,16 +67,17 @@ def histogram(
     """Equal-width histogram of every column, empty bins included.
 
     The last bin is closed on the right; a constant column is widened by one half each way.
-    Only one row per series, column and bin is shuffled.
+    Two passes: the ranges first, then the counts, combined before their shuffle.
     """
     keys = [*series_cols, "column_name"]
     aggs = [e for c in columns for e in (F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))]
+    # The ranges, one row per series, are needed by the binning and by the empty bins.
+    found = blocks.settle(df.groupBy(*series_cols).agg(*aggs))
     if series_cols:
-        ranged = df.join(df.groupBy(*series_cols).agg(*aggs), list(series_cols))
-        found = df.groupBy(*series_cols).agg(*aggs)
+        ranged = df.join(found, list(series_cols))
     else:
-        ranged = df.withColumn("_range", df.agg(F.struct(*aggs)).scalar()).select("*", "_range.*")
-        found = df.agg(*aggs)
+        packed = found.select(F.struct("*")).scalar()
+        ranged = df.withColumn("_range", packed).select("*", "_range.*")
 
     def low(c: str) -> Column:
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")

@@ -39,19 +39,35 @@ def resample_mean(
     """Mean per calendar step; steps without rows appear with nulls.
 
     Partial means are combined before the shuffle, so one row per step and series is
-    left, however many rows a step had. Each of those rows then fills the gap between it
-    and the row before it, which needs no join with a calendar.
+    left, however many rows a step had.
     """
     step = blocks.truncate(unit, ts_col).alias(ts_col)
     means = df.groupBy(*series_cols, step).agg(*[F.avg(c).alias(c) for c in columns])
+    return fill_calendar(means, ts_col, columns, series_cols, unit, **layout)
+
+
+def fill_calendar(
+    df: DataFrame,
+    ts_col: str,
+    columns: Sequence[str],
+    series_cols: Sequence[str] = (),
+    unit: str = "day",
+    **layout,
+) -> DataFrame:
+    """Add the missing steps, with nulls, to a table that has at most one row per step.
+
+    Each row fills the gap between it and the row before it, which needs no join with a
+    calendar.
+    """
     if not layout and series_cols and unit in BOUNDED_UNITS:
         layout = {"block_rows": None}
     layout.setdefault("chunk", "year")
+    narrow = df.select(*series_cols, ts_col, *columns)
     if not blocks.is_whole(layout):
         # One row per step and series, read twice by the cut windows below.
-        means = blocks.settle(means)
+        narrow = blocks.settle(narrow)
     followed = blocks.over_blocks(
-        means, series_cols, ts_col, 1, lambda w: {"_before": F.lag(ts_col).over(w)}, **layout
+        narrow, series_cols, ts_col, 1, lambda w: {"_before": F.lag(ts_col).over(w)}, **layout
     )
     one = F.expr(f"INTERVAL 1 {unit}")
     first = F.coalesce(F.col("_before") + one, F.col(ts_col))
