@@ -228,3 +228,26 @@ def test_metric_names_are_a_contract(frame):
     df = frame([(1.0,)], "loss double")
     with pytest.raises(ValueError, match="unknown metric"):
         tables.metric_rows(df, F.lit("r"), F.lit(0), {"loss": "loss"})
+
+
+def test_country_grid_columns(frame):
+    from tidemill.plans import household
+
+    df = frame([("2020-01-01 00:00:00", 1.0, 2.0, 3.0, 4.0)],
+               "utc_timestamp timestamp_ntz, DE_load double, DE_LU_price double, DE_Wind_onshore double, FR_load double")
+    assert household.country_grid(df, household.Site()).columns == ["utc_timestamp", "load"]
+
+
+def test_rows_with_an_open_day_cross_clock_changes(spark, frame):
+    """Truncation does not depend on the session zone."""
+    from tidemill.operators import blocks
+
+    df = frame([("2024-03-10 02:30:00",)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = df.select(*[blocks.truncate(u, "ts") for u in ("minute", "hour", "day", "month", "year")]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [str(v) for v in found] == [
+        "2024-03-10 02:30:00", "2024-03-10 02:00:00", "2024-03-10 00:00:00", "2024-03-01 00:00:00", "2024-01-01 00:00:00",
+    ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar, errors, scalar
+from ..models import evaluate
 from ..operators import blocks, columns, encode, lags, profile, quality, resample, scale
 from ..sources import tables
 from . import views
@@ -770,6 +771,5 @@ def x13(t: Tables) -> DataFrame:
         tables.metric_rows(log, F.lit(run), F.lit(0), {run: "val/mae"}, ["segment"])
         for run in ("lag_1", "lag_7")
     ]
-    compared = rows[0].unionByName(rows[1]).filter("metric = 'val/mae'")
-    wide = compared.groupBy("segment").pivot("run", ["lag_1", "lag_7"]).agg(F.first("value"))
+    wide = evaluate.compare_runs(rows[0].unionByName(rows[1]), ["lag_1", "lag_7"], "val/mae", ["segment"])
     return rounded(wide, 4, "lag_1", "lag_7")

@@ -180,7 +180,21 @@ def k4(t: Tables) -> DataFrame:
     return t("lineitem").groupBy(reading.alias("reading")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k4_tests_per_series")
+@query(
+    "k4_tests_per_series",
+    with_views(
+        f"""SELECT segment, CASE WHEN a THEN 'Stationary' ELSE 'Non-stationary' END AS adf,
+              CASE WHEN k THEN 'Stationary' ELSE 'Non-stationary' END AS kpss,
+              CASE WHEN a AND k THEN 'stationary' WHEN a THEN 'difference-stationary' WHEN k THEN 'trend-stationary'
+                   ELSE 'non-stationary' END AS reading
+            FROM (SELECT u.segment, round(CASE WHEN u.s > 2.74 THEN 1 WHEN u.s < -18.83 THEN 0 ELSE {PHI} END, 3) <= 0.05 AS a,
+                    k.s < 0.463 - (0.0005 / 0.05) * (0.463 - 0.347) AS k
+                  FROM surface u JOIN kpss k ON u.segment = k.segment)""",
+        "segment_dense",
+        extra={**ADF_CTES, **KPSS_CTES},
+        recursive=True,
+    ),
+)
 def k4_series(t: Tables) -> DataFrame:
     dense = views.segment_dense(t)
     unit_root = stationarity.adf(dense, "day", "revenue", ["segment"], **DAILY)
