@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import write_settled
 
 BLOCK_ROWS = 100_000
 CHUNK = "day"
@@ -56,13 +56,8 @@ def truncate(unit: str, ts: str | Column, like: str = "timestamp_ntz") -> Column
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise a table that several later steps read, in the shared checkpoint folder.
-
-    Cuts the lineage, so that the steps do not each recompute it; survives lost executors.
-    """
-    spark = df.sparkSession
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+    """Materialise a table that several later steps read; see ``session.write_settled``."""
+    return write_settled(df)
 
 
 def _ts_type(df: DataFrame, ts_col: str) -> str:

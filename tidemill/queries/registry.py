@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -28,7 +30,7 @@ def query(name: str, sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} registered twice")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(Tables(ship(spark), folder))
         if sql is not None:
             ORACLES[name] = sql
         return build
