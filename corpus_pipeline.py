@@ -1 +1,30 @@
 """A corpus pipeline: each stage takes documents and returns documents (the last one, packed pieces)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemill.llm import mixing
+from tidemill.session import drop_settled, ship, write_settled
+
+
+def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return mixing.repeated(docs)
+
+
+STAGES = [("mixing", _mix)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read back for the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[DataFrame] = []
+    for name, stage in STAGES:
+        docs = write_settled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_settled(*before)
+        before = [docs]
+    return docs
+
+
+ORACLE_SQL = None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import mixing, sharding
+from . import minhash, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,8 @@ def op2(table):
         F.col("_target").alias("target"),
         (F.col("_size") * F.col("_copies")).alias("taken"),
     )
+
+
+@query("op10_minhash")
+def op10(table):
+    return minhash.near_duplicates(table("documents"), shingle=3, percent=85).drop("_h1", "_h2")
