@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import minhash, mixing, sharding
+from . import fingerprints, minhash, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op2(table):
 @query("op10_minhash")
 def op10(table):
     return minhash.near_duplicates(table("documents"), shingle=3, percent=85).drop("_h1", "_h2")
+
+
+@query("op8_fingerprints")
+def op8(table):
+    return fingerprints.fingerprint(table("documents"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import drop_settled, write_settled
 from .order import END, ROW, positions
 
-DETAIL = 65_536  # boundaries asked for at a time: what the driver holds of the table
+DETAIL = 8_192  # boundaries asked for at a time: what the driver holds of the table
 OVERHEAD = 8
 
 

@@ -113,10 +113,10 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, k: int) -> list[np.ndarra
         if b - a >= k:
             found.append(np.unique(rolled[a : b - k + 1]))
         elif b > a:
-            one = U64(0)
+            one = np.full(1, b - a, U64)
             for h in hashed[a:b]:
-                one = mixed(np.array([one * U64(0xD6E8FEB86659FD93) + h], U64))[0]
-            found.append(mixed(np.array([one + U64(b - a)], U64)))
+                one = mixed(one * U64(0xD6E8FEB86659FD93) + h)
+            found.append(one)
         else:
             found.append(np.zeros(0, U64))
     return found
