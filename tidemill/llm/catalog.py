@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import fingerprints, minhash, mixing, sharding
+from . import fingerprints, minhash, mixing, repeats, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op10(table):
 @query("op8_fingerprints")
 def op8(table):
     return fingerprints.fingerprint(table("documents"))
+
+
+@query("op4_suffix_dedup")
+def op4(table):
+    return repeats.deduplicated(table("documents"))
