@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import fingerprints, minhash, mixing, repeats, sharding
+from . import fingerprints, minhash, mixing, packing, repeats, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,13 @@ def op8(table):
 @query("op4_suffix_dedup")
 def op4(table):
     return repeats.deduplicated(table("documents"))
+
+
+@query("op7_toxicity")
+def op7(table):
+    return toxicity.scores(table("documents"), table("labels"))
+
+
+@query("op9_packing")
+def op9(table):
+    return packing.pack(table("documents"))
