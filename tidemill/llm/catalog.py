@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import fingerprints, minhash, mixing, packing, repeats, sharding, toxicity
+from . import fingerprints, minhash, mixing, packing, quality, repeats, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op7(table):
 @query("op9_packing")
 def op9(table):
     return packing.pack(table("documents"))
+
+
+@query("op5_quality")
+def op5(table):
+    return quality.scores(table("documents"), table("labels"))

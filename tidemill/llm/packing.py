@@ -2,10 +2,10 @@
 
 Documents become ids, closed by an end id; one longer than a sequence is cut so that only its
 first piece may be short. Full pieces are sequences of their own. The others are placed one
-by one: with N(g) the number of open sequences that have g free places, each piece goes where
-the sum of N(g)^2 becomes least. Tasks pack about ``GROUP`` pieces each, longest first, so a
-task is bounded however large the corpus is, and a group wastes at most the few sequences
-that are open at its end.
+by one: with N(g) the number of open sequences that have g free places, each piece goes to the
+open sequence after which the sum of N(g)^2 is least; a new one is opened where none has room.
+Tasks pack about ``GROUP`` pieces each, longest first, so a task is bounded however large the
+corpus is, and a group wastes at most the few sequences that are open at its end.
 """
 
 from __future__ import annotations
@@ -93,25 +93,20 @@ def place(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     """Sequence and offset of each piece, in the order given, by the sum-of-squares rule.
 
     Putting a piece of size s into a sequence with gap g changes the sum of squares by
-    2 (N(g - s) - N(g) + 1); a new one counts as gap ``length`` with N = 0 before and no loss.
-    A gap of 0 is closed and does not count. Of equal changes the smallest gap is taken.
+    2 (N(g - s) - N(g) + 1). A gap of 0 is closed and does not count. Of equal changes the
+    smallest gap is taken.
     """
     n = np.zeros(length + 1, np.int64)  # open sequences by gap
     held: list[list[int]] = [[] for _ in range(length + 1)]
     sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     opened = 0
     for i, s in enumerate(sizes.tolist()):
-        gap = 0
-        if s < length:
-            after = n[: length - s + 1].copy()
-            after[0] = 0
-            change = 2 * (after - n[s:] + 1)
-            change[0] = 1 - 2 * n[s]  # closes one: only the loss counts
-            change[-1] = 2 * n[length - s] + 1  # opens one
-            free = n[s:] > 0
-            free[-1] = True
-            change[~free] = np.iinfo(np.int64).max
-            gap = int(np.argmin(change)) + s
+        room = np.flatnonzero(n[s:])  # gaps, less s, of the sequences with room
+        if len(room):
+            change = 2 * (n[room] - n[room + s] + 1)
+            if room[0] == 0:
+                change[0] = 1 - 2 * n[s]  # closes one: only the loss counts
+            gap = int(room[np.argmin(change)]) + s
         else:
             gap = length
         if gap == length:
