@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import fingerprints, minhash, mixing, packing, quality, repeats, sharding, toxicity
+from . import fingerprints, minhash, mixing, packing, quality, repeats, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op9(table):
 @query("op5_quality")
 def op5(table):
     return quality.scores(table("documents"), table("labels"))
+
+
+@query("op3_merkle_audit", warc.SQL)
+def op3(table):
+    return warc.audit(table("pages").select("page_id", "url", "html"), warc.damaged(97, 5, F.col("page_id")))

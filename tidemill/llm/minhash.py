@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
 from . import graph, textbytes
+from .keys import text_key
 
 BANDS, ROWS, BITS = 32, 4, 4
 SIGMAS = 6
@@ -86,12 +87,6 @@ def _equal_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def text_key() -> list[Column]:
-    """128 bits that name a text; null and empty alike."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return [F.xxhash64(F.lit(1), text).alias("_h1"), F.xxhash64(F.lit(2), text).alias("_h2")]
-
-
 def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """For each row its text's name, set size, class (null if the set is empty), band keys and signature."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -238,3 +233,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "_h1", "_h2"
     )
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group: the one of the least id.
+
+    Rows without an id stay only if no row of their group has one.
+    """
+    found = near_duplicates(docs, shingle, percent).where("kept").select(F.col("doc_id").alias("_id"), "_h1", "_h2").distinct()
+    found = found.withColumnsRenamed({"_h1": "_t1", "_h2": "_t2"})
+    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), text_key())))
+    same = (F.col("_k1") == F.col("_t1")) & (F.col("_k2") == F.col("_t2")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return keyed.join(found, same, "left_semi").select(*docs.columns)

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
 from . import bwt, textbytes
+from .keys import text_key
 
 CORE = 200
 COLLECTION = 2_000  # stretches ordered together
@@ -271,12 +272,6 @@ def _drop_tables() -> None:
     _TABLES.clear()
 
 
-def text_key() -> list:
-    """128 bits that name a text; null and empty alike."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return [F.xxhash64(F.lit(1), text).alias("_h1"), F.xxhash64(F.lit(2), text).alias("_h2")]
-
-
 def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION) -> tuple[DataFrame, DataFrame]:
     """The distinct texts (``_h1``, ``_h2``, ``text``, ``m`` rows) and what is removed from each
     (``n_bytes``, ``n_removed``, ``begins`` and ``ends`` of the removed runs, ``kept_sha256``)."""
@@ -343,25 +338,31 @@ def deduplicated(docs: DataFrame, length: int = 400, core: int = CORE, collectio
 
 
 def without_repeats(docs: DataFrame, length: int = 400, core: int = CORE) -> DataFrame:
-    """``docs`` with the repeated bytes taken out of ``text``.
+    """``docs`` with the repeated bytes taken out of ``text`` (and ``n_chars``, if there, counted anew).
 
     What is left is read as UTF-8 again; a character cut in two loses its other half. Rows
     whose whole text is removed stay, with an empty text; a null text stays null.
     """
-    _, results = repeated_spans(docs, length, core)
-    keyed = docs.withColumns(dict(zip(("_h1", "_h2"), text_key())))
-    spans = results.where("n_removed > 0").select(F.col("_h1").alias("_r1"), F.col("_h2").alias("_r2"), "begins", "ends")
-    joined = keyed.join(spans, (F.col("_h1") == F.col("_r1")) & (F.col("_h2") == F.col("_r2")), "left")
+    texts, results = repeated_spans(docs, length, core)
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
         def one(t, b, e):
-            if t is None or b is None:
+            if b is None or not len(b):
                 return t
             raw = t.encode()
             return b"".join(raw[x:y] for x, y in zip([0, *e], [*b, len(raw)])).decode("utf-8", "ignore")
 
         return pd.Series([one(*x) for x in zip(text, begins, ends)], dtype=object)
 
-    left = joined.withColumn("text", cut("text", "begins", "ends"))
-    return left.select(*docs.columns)
+    left = texts.select("_h1", "_h2", "text").join(results.select("_h1", "_h2", "begins", "ends"), ["_h1", "_h2"])
+    left = left.select("_h1", "_h2", cut("text", "begins", "ends").alias("_left"))
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others, F.col("text").isNull().alias("_no_text")).alias("_doc"), *text_key())
+    joined = rows.join(left, ["_h1", "_h2"])
+    text = F.when(~F.col("_doc._no_text"), F.col("_left"))
+    fields = {c: F.col("_doc")[c] for c in others} | {"text": text}
+    if "n_chars" in fields:
+        kind = docs.schema["n_chars"].dataType
+        fields["n_chars"] = F.when(F.col("_doc._no_text"), fields["n_chars"]).otherwise(F.char_length("_left").cast(kind))
+    return joined.select(*(fields[c].alias(c) for c in docs.columns))

@@ -152,7 +152,7 @@ def shares(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def with_features(docs: DataFrame, lex: dict[str, tuple[float, float]]) -> DataFrame:
-    """``docs`` (its columns other than ``text``) with ``_x``, the features of its ``text``."""
+    """``docs`` (``text`` replaced) with ``_x``, the features of its ``text``."""
     kept = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
 
@@ -161,27 +161,20 @@ def with_features(docs: DataFrame, lex: dict[str, tuple[float, float]]) -> DataF
             texts = batch.column("text")
             a = np.array([text_features(t.as_py() or "", lex) for t in texts]).reshape(len(texts), 11)
             x = np.hstack([a[:, :8], shares(*textbytes.buffer(texts)).T, a[:, 8:]])
-            features = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
+            features = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], features], names=[*kept, "_x"])
 
     return docs.mapInArrow(scan, f"{schema}, _x array<double>")
 
 
-def scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, trees: int = 20, depth: int = 3) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row of ``docs``.
-
-    Needs ``doc_id`` and ``text`` there and ``doc_id`` and ``toxic`` in ``labels``; labels of fold
-    ``HELD`` are never used. The fit takes at most ``rows`` labelled rows. Null and empty texts
-    are scored by their (empty) features. Without labels of both kinds every score is the share
-    of toxic ones (0 without labels). Repeated rows are scored each; several labels of one id
-    count once. An empty table gives an empty result.
-    """
+def judge(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int = FIT_ROWS, trees: int = 20, depth: int = 3) -> DataFrame:
+    """``_doc``, a struct of the ``columns`` of ``docs``, and ``score`` for each row."""
     sample = write_settled(labelled(docs, labels, "toxic", FOLDS, HELD, rows), "labelled")
     first = sample.where(F.col("fold").isin(1, 2))
     lex = lexicon(first, LEXICON)
     fitted = write_settled(with_features(sample.where(~F.col("fold").isin(1, 2)).select("label", "text"), lex), "features")
     ones, n = fitted.agg(F.sum("label"), F.count("*")).first()
-    ids = [F.col("doc_id"), fold(F.col("doc_id"), FOLDS).eqNullSafe(F.lit(HELD)).alias("held_out")]
+    packed = docs.select(F.struct(*columns).alias("_doc"), "text")
     if lex and 0 < (ones or 0) < n:
         train = fitted.select(F.col("label").cast("double").alias("label"), array_to_vector("_x").alias("features"))
         trees_model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, minInstancesPerNode=3, seed=7).fit(train)
@@ -189,9 +182,28 @@ def scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, trees: int
         curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(
             raw(train).select("label", "raw")
         )
-        found = with_features(docs.select("doc_id", "text"), lex).withColumn("features", array_to_vector("_x"))
-        found = curve.transform(raw(found).select("doc_id", "raw")).select(*ids, "score")
+        found = with_features(packed, lex).withColumn("features", array_to_vector("_x"))
+        found = curve.transform(raw(found).select("_doc", "raw")).select("_doc", "score")
     else:
-        found = docs.select(*ids, F.lit(float((ones or 0) / n) if n else 0.0).alias("score"))
+        found = packed.select("_doc", F.lit(float((ones or 0) / n) if n else 0.0).alias("score"))
     drop_settled(sample, fitted)
-    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return found
+
+
+def scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, trees: int = 20, depth: int = 3) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` for each row of ``docs``.
+
+    Needs ``doc_id`` and ``text`` there and ``doc_id`` and ``toxic`` in ``labels``; labels of fold
+    ``HELD`` are never used. The fit takes at most ``rows`` labelled rows. Null and empty texts
+    are scored by their (empty) features. Without labels of both kinds every score is the share
+    of toxic ones (0 without labels). Repeated rows are scored each; several labels of one id
+    count once. An empty table gives an empty result.
+    """
+    found = judge(docs, labels, ["doc_id"], rows, trees, depth).select(F.col("_doc.doc_id").alias("doc_id"), "score")
+    held = fold(F.col("doc_id"), FOLDS).eqNullSafe(F.lit(HELD))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose score is 0.5 or more."""
+    return judge(docs, labels, docs.columns).where("score < 0.5").select("_doc.*")
