@@ -6,15 +6,15 @@
 2. Classes get ``BANDS * ROWS`` minima. Each band of minima is a key; of the minima only the
    low ``BITS`` bits are kept, packed into a signature. With 32 bands of 4, a pair at 0.85
    escapes every band with probability below 1e-10 (0.8: below 1e-7).
-3. Each band's bucket links its members to its least member (a star: no pairs within the
-   group). Pairs whose similarity, estimated from equal low bits and corrected for chance
-   collisions, is more than ``SIGMAS`` standard errors below the threshold are set aside; the
-   others are confirmed on full sets.
+3. Each band's bucket links its members to one leader, the member that shares most with others
+   (a star: no pairs within the group). Pairs whose similarity, estimated from equal low bits
+   and corrected for chance collisions, is more than ``SIGMAS`` standard errors below the
+   threshold are set aside; the others are confirmed on full sets.
 4. Connected components by alternating stars, in rounds of joins.
-5. What stars can have missed: buckets that still hold members of different components. Their
-   members are dealt into cells of bounded size, every two cells meet in a task, and only pairs
-   across components whose estimate passes go on to be confirmed. So no link between different
-   texts is lost, and a tight group of any size costs nothing here.
+5. What stars can have missed: groups (all members of a leader's buckets) that still hold
+   different components. There, members outside the largest component meet all others in cells
+   of bounded size, and full sets decide. So no link between different texts is lost, and a
+   tight group of any size costs nothing here.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from .keys import text_key
 
 BANDS, ROWS, BITS = 32, 4, 4
 SIGMAS = 6
-CELL = 2_000
+CELL = 1_000
 
 _ODD = (np.random.default_rng(7).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -152,40 +152,69 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.col("_common") * 100 >= (F.col("_all") - F.col("_common")) * percent).select("a", "b")
 
 
-def _missed(members: DataFrame, roots: DataFrame, least: int) -> DataFrame:
-    """Pairs in one bucket, of different components, neither of them its leader, that the estimate lets through."""
-    rows = members.where("n > 2").join(roots.withColumnsRenamed({"node": "cid"}), "cid", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "cid"))
-    by_root = rows.groupBy("band", "key", "root").agg(F.count("*").alias("_m"))
-    largest = by_root.groupBy("band", "key").agg(F.max(F.struct("_m", "root")).alias("_top"), F.count("*").alias("_roots"))
-    largest = largest.where("_roots > 1").select("band", "key", F.col("_top.root").alias("_main"), F.col("_top._m").alias("_m"))
-    rows = rows.join(largest, ["band", "key"]).where(F.col("cid") != F.col("leader"))
-    deal = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "cid"), F.greatest(F.lit(1), F.ceil(n / F.lit(CELL)))).cast("int")
-    cells = lambda n: F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(n / F.lit(CELL))).cast("int") - 1)
-    rest_n = F.col("n") - F.col("_m")
-    rest = rows.where("root <> _main").select(
-        "band", "key", deal(1, rest_n).alias("i"), F.explode(cells(F.col("n"))).alias("j"), "cid", "root", "sig", F.lit(True).alias("left")
-    )
-    every = rows.select(
-        "band", "key", F.explode(cells(rest_n)).alias("i"), deal(2, F.col("n")).alias("j"), "cid", "root", "sig", F.lit(False).alias("left")
-    )
+def _missed(groups: DataFrame, roots: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links between classes of one leader's group that are in different components so far.
+
+    The group's largest component need not meet itself: the rest are dealt into cells of
+    ``CELL``, all members into others, and each two cells meet in a task, where the estimate
+    sorts out what is far below the threshold and full sets decide. A cell gives one link for
+    each two components at most.
+    """
+    spark = groups.sparkSession
+    rows = groups.join(roots.withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    by_root = rows.groupBy("leader", "root").agg(F.count("*").alias("m"))
+    sized = by_root.groupBy("leader").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n"))
+    sized = sized.where("roots > 1").select("leader", F.col("top.root").alias("main"), (F.col("n") - F.col("top.m")).alias("rest"), "n")
+    rows = rows.join(sized, "leader")
+    cells = lambda n: F.ceil(F.col(n) / F.lit(CELL)).cast("int")
+    deal = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "cid"), cells(n)).cast("int")
+    every_cell = lambda n: F.explode(F.sequence(F.lit(0), cells(n) - 1))
+    data = ["cid", "root", "sig", "members"]
+    left = rows.where("root <> main").select("leader", deal(1, "rest").alias("i"), every_cell("n").alias("j"), *data, F.lit(True).alias("left"))
+    right = rows.select("leader", every_cell("rest").alias("i"), deal(2, "n").alias("j"), *data, F.lit(False).alias("left"))
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        left, right = cell[cell["left"]], cell[~cell["left"]]
-        a, b = [], []
-        if len(left) and len(right):
-            view = [np.stack(list(x["sig"])).astype(np.int64).view(np.uint8) for x in (left, right)]
-            other = [x["root"].to_numpy() for x in (left, right)]
-            names = [x["cid"].to_numpy() for x in (left, right)]
-            for k in range(0, len(left), 64):
-                near = _equal_rows(view[0][k : k + 64], view[1]) >= least
-                near &= other[0][k : k + 64, None] != other[1][None, :]
-                for x, y in zip(*np.nonzero(near)):
-                    a.append(max(names[0][k + x], names[1][y]))
-                    b.append(min(names[0][k + x], names[1][y]))
-        return pd.DataFrame({"a": a, "b": b})
-
-    return rest.union(every).groupBy("band", "key", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+        sides = [cell[cell["left"]], cell[~cell["left"]]]
+        if not len(sides[0]) or not len(sides[1]):
+            return pd.DataFrame({"a": [], "b": []})
+        sig = [np.stack(list(x["sig"])).astype(np.int64).view(np.uint8) for x in sides]
+        own, ids = (list(x["members"]) for x in sides)
+        size = np.array([len(x) for x in ids])
+        known, flat = np.unique(np.concatenate(ids), return_inverse=True)
+        at = np.concatenate(([0], np.cumsum(size)))
+        cid, root = ([x[c].to_numpy() for x in sides] for c in ("cid", "root"))
+        united: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while x in united:
+                x = united[x]
+            return x
+
+        found = []
+        inside = np.zeros(len(known), bool)
+        for k in range(len(own)):
+            n = len(own[k])
+            near = (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent) & (root[1] != root[0][k])
+            to = np.flatnonzero(near)
+            to = to[_equal_rows(sig[0][k : k + 1], sig[1][to])[0] >= least] if len(to) else to
+            to = np.array([y for y in to if find(root[1][y]) != find(root[0][k])], np.int64)
+            if not len(to):
+                continue
+            place = np.searchsorted(known, own[k])
+            place = place[(place < len(known)) & (known[np.minimum(place, len(known) - 1)] == own[k])]
+            inside[place] = True
+            common = np.array([np.count_nonzero(inside[flat[at[y] : at[y + 1]]]) for y in to])
+            inside[place] = False
+            for y in to[common * 100 >= (size[to] + n - common) * percent]:
+                x_root, y_root = find(root[0][k]), find(root[1][y])
+                if x_root != y_root:
+                    united[max(x_root, y_root)] = min(x_root, y_root)
+                    found.append((cid[0][k], cid[1][y]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be coalesced
+    both = left.union(right).repartition(tasks, "leader", "i", "j")
+    return both.groupBy("leader", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -209,25 +238,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
     kinds = write_settled(kinds, "classes")
     banded = kinds.select("cid", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("band", "key").agg(F.min("cid").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = write_settled(
-        banded.join(buckets, ["band", "key"]).join(kinds.select("cid", "sig"), "cid"), "members"
-    )
-    lead = members.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"), "sig").dropDuplicates(["a", "b"])
-    lead = lead.join(kinds.select(F.col("cid").alias("b"), F.col("sig").alias("_other")), "b")
-    pairs = lead.where(_equal(F.col("sig"), F.col("_other")) >= least).select("a", "b")
-    wanted = members.select("cid").distinct().join(kinds.select("cid", "rep.*"), "cid")
-    sets = write_settled(_sets(docs, wanted, shingle), "sets")
+    buckets = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    members = write_settled(banded.join(buckets, ["band", "key"]), "members")
+    # The member that shares most leads: the text a group was copied from, if it is there.
+    shared = members.groupBy("cid").agg(F.sum("n").alias("shared"))
+    leaders = members.join(shared, "cid").groupBy("band", "key").agg(F.max(F.struct("shared", "cid")).alias("top"))
+    leaders = leaders.select("band", "key", F.col("top.cid").alias("leader"))
+    groups = write_settled(members.join(leaders, ["band", "key"]).select("leader", "cid").distinct(), "groups")
+    wanted = groups.select("cid").distinct().join(kinds.select("cid", "rep.*", "sig"), "cid")
+    sets = write_settled(_sets(docs, wanted.drop("sig"), shingle).join(wanted.select("cid", "sig"), "cid"), "sets")
+    sig = kinds.select("cid", "sig")
+    pairs = groups.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
+    pairs = pairs.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("_a")), "a")
+    pairs = pairs.join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("_b")), "b")
+    pairs = pairs.where(_equal(F.col("_a"), F.col("_b")) >= least).select("a", "b")
     links = write_settled(_confirmed(pairs, sets, percent), "links")
     roots = graph.components(links)
-    more = _missed(members, roots, least)
-    links = links.union(write_settled(_confirmed(more, sets, percent), "links"))
-    roots = graph.components(links)
+    more = write_settled(_missed(groups.join(sets, "cid"), roots, least, percent), "links")
+    roots = graph.components(links.union(more))
     placed = kinds.select("cid", "least_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     placed = write_settled(placed.select("cid", "least_id", F.coalesce("root", "cid").alias("root")), "placed")
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = placed.join(smallest, "root").select("cid", "component_id")
-    drop_settled(members, sets)
+    drop_settled(members, groups, sets)
     found = rows.select("doc_id", "n_shingles", "cid", "_h1", "_h2").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
