@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import fingerprints, minhash, mixing, packing, quality, repeats, sharding, toxicity, warc
+from . import fingerprints, minhash, mixing, packing, quality, repeats, search, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,9 @@ def op5(table):
 @query("op3_merkle_audit", warc.SQL)
 def op3(table):
     return warc.audit(table("pages").select("page_id", "url", "html"), warc.damaged(97, 5, F.col("page_id")))
+
+
+@query("op6_topk_search")
+def op6(table):
+    docs = table("documents").select(F.col("doc_id").alias("id"), "text")
+    return search.search(docs, docs.where("id % 20 = 0"))
