@@ -9,7 +9,8 @@ between. Both live in two files that each round reads from front to back and wri
 in memory stay a cursor for each string and one round's working arrays.
 
 The common prefix of c s and its neighbour c s' is one longer than that of s and s', which
-is the least of the lengths between them; a table of block minima answers these.
+is the least of the lengths between them. Ranges between equal symbols are short, as many as
+there are different symbols on average.
 """
 
 from __future__ import annotations
@@ -19,43 +20,16 @@ from collections.abc import Sequence
 
 import numpy as np
 
-_BLOCK = 64
-
-
-class _Minima:
-    """Least value of ranges (low, high], from minima of blocks and their powers of two."""
-
-    def __init__(self, values: np.ndarray):
-        n = -(-len(values) // _BLOCK) * _BLOCK
-        self.values = np.full(n + _BLOCK, np.iinfo(np.int16).max, np.int16)
-        self.values[: len(values)] = values
-        self.levels = [self.values[:n].reshape(-1, _BLOCK).min(axis=1)]
-        while len(self.levels[-1]) > 2:
-            step = 1 << (len(self.levels) - 1)
-            last = self.levels[-1]
-            if len(last) <= step:
-                break
-            self.levels.append(np.minimum(last[:-step], last[step:]))
-
-    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """For low < high, the least of values[low + 1 .. high]."""
-        first, last = low + 1, high
-        a, b = first // _BLOCK, last // _BLOCK
-        offsets = np.arange(_BLOCK)
-        found = np.full(len(low), np.iinfo(np.int16).max, np.int16)
-        for base, begin, end in ((a, first, np.minimum(last, a * _BLOCK + _BLOCK - 1)), (b, np.maximum(first, b * _BLOCK), last)):
-            at = base[:, None] * _BLOCK + offsets
-            inside = (at >= begin[:, None]) & (at <= end[:, None])
-            found = np.minimum(found, np.where(inside, self.values[at], np.iinfo(np.int16).max).min(axis=1))
-        count = b - a - 1
-        wide = np.flatnonzero(count > 0)
-        if len(wide):
-            level = np.frexp(count[wide].astype(float))[1] - 1
-            for k in np.unique(level):
-                w = wide[level == k]
-                table = self.levels[k]
-                found[w] = np.minimum(found[w], np.minimum(table[a[w] + 1], table[b[w] - (1 << k)]))
-        return found
+
+def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For low < high, the least of values[low + 1 .. high]; ranges of one symbol don't overlap."""
+    if not len(low):
+        return np.zeros(0, values.dtype)
+    ends = np.empty(2 * len(low), np.int64)
+    ends[::2], ends[1::2] = low + 1, high + 1
+    ends[-1:] = np.minimum(ends[-1:], len(values))
+    padded = np.append(values, values[-1:])  # an end may be the end of the array
+    return np.minimum.reduceat(padded, ends)[::2]
 
 
 def build(strings: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -97,26 +71,28 @@ def build(strings: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[n
             bwt, lcp = get()
             going = sizes[active] > done
             active, at = active[going], at[going]
-            order = np.argsort(bwt, kind="stable")  # LF: where each symbol's suffix goes, in order
-            ordered = bwt[order]
-            zeros = int(np.searchsorted(ordered, 1))
-            rank = np.empty(len(bwt), np.int64)
-            rank[order] = np.arange(len(bwt))
-            new = rank[at] - zeros + n  # the n empty suffixes stand first
-            by_place = np.argsort(new)
-            active, at, new = active[by_place], at[by_place], new[by_place]
+            order = np.argsort(bwt, kind="stable").astype(np.int32)  # where each symbol stands, in order
+            counts = np.bincount(bwt)
+            begins = np.cumsum(counts) - counts
+            c = bwt[at]
+            # A symbol's place in order: past its symbol's begin as many as stand before it.
+            by_place = np.argsort(c.astype(np.int64) * (len(bwt) + 1) + at)
+            active, at, c = active[by_place], at[by_place], c[by_place]
+            k = np.empty(len(at), np.int64)
+            edges = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(c)]):
+                x = int(c[a])
+                k[a:b] = begins[x] + np.searchsorted(order[begins[x] : begins[x] + counts[x]], at[a:b])
+            zeros = int(counts[0])
+            new = k - zeros + n  # the n empty suffixes stand first
             # Common prefixes with the neighbours that begin with the same symbol.
-            minima = _Minima(lcp)
-            k = new - n + zeros  # index into order
             size = len(bwt) + len(new)
             before = np.zeros(len(new), np.int16)
-            same = (k > zeros) & (ordered[np.maximum(k - 1, 0)] == ordered[k])
-            before[same] = minima.least(order[k[same] - 1], at[same]) + 1
+            same = k > begins[c]
+            before[same] = _least(lcp, order[k[same] - 1], at[same]) + 1
             after = np.zeros(len(new), np.int16)
-            follow = k + 1 < len(order)
-            same = np.zeros(len(new), bool)
-            same[follow] = ordered[k[follow] + 1] == ordered[k[follow]]
-            after[same] = minima.least(at[same], order[k[same] + 1]) + 1
+            same = k + 1 < begins[c] + counts[c]
+            after[same] = _least(lcp, at[same], order[k[same] + 1]) + 1
             # Old and new merged in one pass.
             old = np.ones(size, bool)
             old[new] = False

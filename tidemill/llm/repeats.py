@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
@@ -310,12 +310,15 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collect
         _windows(length, core), "window binary, sid binary, from long, m long"
     )
     again = many.groupBy("window").agg(F.sum("m").alias("_n")).where("_n > 1")
-    spread = many.join(again, "window").select("sid", "from", F.col("from").alias("to"))
-    runs = write_settled(alone.union(judged).union(spread), "runs")
-    placed = pieces.select("sid", "_h1", "_h2", "first").join(runs, "sid")
-    placed = placed.groupBy("_h1", "_h2").agg(
-        F.collect_list(F.struct((F.col("first") + F.col("from")).alias("begin"), (F.col("first") + F.col("to")).alias("end"))).alias("runs")
-    )
+    spread = many.join(again, "window").select("sid", "from")
+    island = F.col("from") - F.row_number().over(Window.partitionBy("sid").orderBy("from"))  # a stretch's windows: few
+    spread = spread.withColumn("_island", island).groupBy("sid", "_island")
+    spread = spread.agg(F.min("from").alias("from"), F.max("from").alias("to")).drop("_island")
+    runs = alone.union(judged).union(spread).groupBy("sid").agg(F.collect_list(F.struct("from", "to")).alias("runs"))
+    runs = write_settled(runs, "runs")
+    moved = F.transform("runs", lambda r: F.struct((F.col("first") + r["from"]).alias("begin"), (F.col("first") + r["to"]).alias("end")))
+    placed = pieces.select("sid", "_h1", "_h2", "first").join(runs, "sid").select("_h1", "_h2", moved.alias("runs"))
+    placed = placed.groupBy("_h1", "_h2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     results = texts.join(placed, ["_h1", "_h2"], "left").mapInArrow(
         _spans(length),
         "_h1 long, _h2 long, n_bytes long, n_removed long, begins array<long>, ends array<long>, kept_sha256 string",
