@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalar import utc_clock
+
 # Civil twilight: the sun's centre this many degrees below the horizon.
 CIVIL_DEPRESSION = 6.0
 
 
 def _local(ts: str | Column, tz: str) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return c if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), c.cast("timestamp_ntz"))
+    clock = utc_clock(ts)
+    return clock if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), clock)
 
 
 def time_of_day(ts: str | Column, tz: str = "UTC") -> Column:
@@ -37,16 +39,16 @@ def season(ts: str | Column, tz: str = "UTC") -> Column:
 
 
 def is_weekend(ts: str | Column) -> Column:
-    return F.weekday(ts) >= 5
+    return F.weekday(utc_clock(ts)) >= 5
 
 
 def date_parts(ts: str) -> dict[str, Column]:
     return {
-        "date": F.to_date(ts),
-        "year": F.year(ts),
-        "month": F.month(ts),
-        "hour": F.hour(ts),
-        "weekday": F.weekday(ts),
+        "date": F.to_date(utc_clock(ts)),
+        "year": F.year(utc_clock(ts)),
+        "month": F.month(utc_clock(ts)),
+        "hour": F.hour(utc_clock(ts)),
+        "weekday": F.weekday(utc_clock(ts)),
     }
 
 
@@ -132,8 +134,9 @@ def daylight_flag(
     ts: str, latitude: Column, longitude: Column, depression: float = CIVIL_DEPRESSION
 ) -> Column:
     """``dawn <= ts <= dusk`` of the same UTC date; false where there is no dawn or dusk."""
-    day = F.to_date(ts)
-    inside = F.col(ts).between(
+    clock = utc_clock(ts)
+    day = F.to_date(clock)
+    inside = clock.between(
         dawn(day, latitude, longitude, depression), dusk(day, latitude, longitude, depression)
     )
     return F.coalesce(inside, F.lit(False))

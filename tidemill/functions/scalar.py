@@ -65,10 +65,19 @@ def python_round(column: Column, digits: int) -> Column:
 def without_zone(column: str | Column) -> Column:
     """Drop the zone of a UTC timestamp, keeping the UTC wall clock."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c.cast("timestamp")), epoch)
+
+
+def utc_clock(column: str | Column) -> Column:
+    """The UTC wall clock of a time: an instant is converted, a zone-free time is taken as it is."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.when(F.typeof(c) == "timestamp", without_zone(c)).otherwise(c.cast("timestamp_ntz"))
 
 
 def parse_timestamp(column: str | Column) -> Column:
-    """Text to a zone-free UTC timestamp: takes ``...Z``, ``+00:00`` and bare forms."""
+    """Text to a zone-free UTC timestamp: takes ``Z``, any offset, and bare forms (taken as UTC)."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.regexp_replace(c, r"(Z|\+00:?00)$", "").cast("timestamp_ntz")
+    zoned = c.rlike(r"\d:\d\d.*(Z|[+-]\d\d:?\d\d)$")
+    instant = F.regexp_replace(c, r"([+-]\d\d)(\d\d)$", "$1:$2").cast("timestamp")
+    return F.when(zoned, without_zone(instant)).otherwise(c.cast("timestamp_ntz"))

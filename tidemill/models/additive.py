@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import utc_clock
 from ..operators import blocks
 from . import gram
 
@@ -109,7 +110,7 @@ def linear(design: Sequence[Term], chosen: Sequence[int], intercept: bool) -> Co
 
 def _epoch_seconds(ts_col: str) -> Column:
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", origin, F.col(ts_col).cast("timestamp_ntz")).cast("double")
+    return F.timestamp_diff("SECOND", origin, utc_clock(ts_col)).cast("double")
 
 
 def penalty_list(spec: Spec, design: Sequence[Term], changepoint_scale, seasonality_scale) -> list:
@@ -158,8 +159,9 @@ def scaling(train: DataFrame, ts_col: str, target: str, series_cols: Sequence[st
 
 
 def _attach(df: DataFrame, small: DataFrame, series_cols: Sequence[str]) -> DataFrame:
+    """All rows, with nulls where ``small`` lacks their series."""
     if series_cols:
-        return df.join(small, list(series_cols))
+        return df.join(small, list(series_cols), "left")
     packed = small.select(F.struct("*").alias("m")).scalar()
     return df.withColumn("_m", packed).select(*df.columns, "_m.*")
 
@@ -183,7 +185,7 @@ class Fitted:
 
 def _grams(
     rows: DataFrame, spec: Spec, ts_col: str, target: str, keys: Sequence[str], scales: DataFrame,
-    series_cols: Sequence[str], spread: str,
+    series_cols: Sequence[str],
 ) -> DataFrame:
     """Matrices by key; the scaling of the series rides along as part of the key."""
     narrow = rows.select(*dict.fromkeys([*keys, ts_col, target, *spec.regressors]))
@@ -191,7 +193,7 @@ def _grams(
     z = vector(spec, design, target)
     carried = [*keys, "_start", "_span", "_size"]
     placed = with_days(_attach(narrow, scales, series_cols), ts_col)
-    return gram.gram(placed, carried, z, len(design) + 2, blocks.truncate(spread, ts_col))
+    return gram.gram(placed, carried, z, len(design) + 2)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -210,11 +212,10 @@ def fit(
     ts_col: str = "ds",
     target: str = "y",
     series_cols: Sequence[str] = (),
-    spread: str = "year",
 ) -> Fitted:
     """One model per series; lazy, and one pass over the rows after the scaling."""
     scales = scaling(train, ts_col, target, series_cols)
-    grams = _grams(train, spec, ts_col, target, series_cols, scales, series_cols, spread)
+    grams = _grams(train, spec, ts_col, target, series_cols, scales, series_cols)
     beta = gram.ridge("gram", penalties(spec, terms(spec)))
     solved = grams.withColumn("beta", beta)
     models = solved.withColumn("sigma", residual_deviation("gram", "beta"))
@@ -222,7 +223,10 @@ def fit(
 
 
 def predict(fitted: Fitted, rows: DataFrame, interval: bool = False) -> DataFrame:
-    """``yhat`` for each row (train, test or future), with p10 and p90 if asked."""
+    """``yhat`` for each row (train, test or future), with p10 and p90 if asked.
+
+    Rows of a series without a model, or with a null regressor, have null predictions.
+    """
     design = fitted.terms()
     out = fitted.attach(rows).withColumn("yhat", linear(design, range(1, len(design) + 1), True))
     if interval:
@@ -292,7 +296,6 @@ def grid_search(
     ts_col: str = "ds",
     target: str = "y",
     series_cols: Sequence[str] = (),
-    spread: str = "year",
 ) -> DataFrame:
     """Test MSE of every setting of the two prior scales, ranked per series.
 
@@ -305,7 +308,7 @@ def grid_search(
 
     train = rows.filter(~F.col(is_test))
     scales = scaling(train, ts_col, target, series_cols)
-    both = _grams(rows, spec, ts_col, target, [*series_cols, is_test], scales, series_cols, spread)
+    both = _grams(rows, spec, ts_col, target, [*series_cols, is_test], scales, series_cols)
     both = blocks.settle(both)
     fitting = both.filter(~F.col(is_test)).select(*series_cols, "_size", "gram")
     scoring = both.filter(F.col(is_test)).select(*series_cols, F.col("gram").alias("test_gram"))

@@ -50,52 +50,50 @@ def square(packed) -> np.ndarray:
     return full + np.triu(full, 1).T
 
 
+HELD_BYTES = 64 << 20  # of running matrices in a task, before they are handed on
+
+
 def _partials(keys: Sequence[str], width: int):
-    """Add up runs of rows with equal keys; a run may span batches."""
+    """Running matrices by key, in whatever order rows come; handed on when they are many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, total = None, None
+        held: dict[tuple, np.ndarray] = {}
+        schema = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            schema = batch.schema
             rows = batch.column("z").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            starts = np.zeros(batch.num_rows, dtype=bool)
-            starts[0] = True
+            codes = np.zeros(batch.num_rows, np.int64)
             for k in keys:
-                codes = pd.factorize(batch.column(k).to_pandas(), use_na_sentinel=False)[0]
-                starts[1:] |= codes[1:] != codes[:-1]
-            first = np.flatnonzero(starts)
+                own, values = pd.factorize(batch.column(k).to_pandas(), use_na_sentinel=False)
+                codes = pd.factorize(codes * len(values) + own)[0]
+            order = np.argsort(codes, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(codes[order]) != 0))
             for a, b in zip(first, [*first[1:], batch.num_rows], strict=True):
-                key = tuple(batch.column(k)[int(a)].as_py() for k in keys)
-                part = rows[a:b].T @ rows[a:b]
-                if key == open_key:
-                    total = total + part
-                    continue
-                if total is not None:
-                    yield out(open_key, total, batch.schema)
-                open_key, total, schema = key, part, batch.schema
-        if total is not None:
-            yield out(open_key, total, schema)
-
-    def out(key, total, schema) -> pa.RecordBatch:
-        columns = [pa.array([v], schema.field(k).type) for k, v in zip(keys, key, strict=True)]
-        columns.append(pa.array([triangle(total).tolist()], pa.list_(pa.float64())))
+                part = rows[order[a:b]]
+                key = tuple(batch.column(k)[int(order[a])].as_py() for k in keys)
+                held[key] = held.get(key, 0.0) + part.T @ part
+            if len(held) * width * width * 8 > HELD_BYTES:
+                yield out(held, schema)
+                held = {}
+        if held:
+            yield out(held, schema)
+
+    def out(held: dict[tuple, np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
+        columns = [pa.array([key[i] for key in held], schema.field(k).type) for i, k in enumerate(keys)]
+        columns.append(pa.array([triangle(m).tolist() for m in held.values()], pa.list_(pa.float64())))
         return pa.RecordBatch.from_arrays(columns, names=[*keys, "gram"])
 
     return run
 
 
-def gram(df: DataFrame, keys: Sequence[str], z: Column, width: int, spread: Column | None = None) -> DataFrame:
+def gram(df: DataFrame, keys: Sequence[str], z: Column, width: int) -> DataFrame:
     """One ``(keys, gram)`` row per key over the rows whose vector is not null.
 
-    ``spread`` (a coarse time bucket) splits long series over tasks; the shuffle moves the
-    rows before they are widened to vectors.
+    Rows stay in the tasks that read them; only matrices are shuffled.
     """
-    placed = df
-    if keys:
-        by = [F.col(k) for k in keys] + ([spread] if spread is not None else [])
-        placed = df.repartition(*by).sortWithinPartitions(*keys)
-    vectors = placed.select(*keys, z.alias("z")).filter(F.col("z").isNotNull())
+    vectors = df.select(*keys, z.alias("z")).filter(F.col("z").isNotNull())
     partials = vectors.mapInArrow(_partials(list(keys), width), _arrow_schema(df, keys))
     return arrays.add_up(partials, keys, "gram")
 
@@ -152,10 +150,11 @@ def mean_loss(grams: pd.Series, betas: pd.Series) -> pd.Series:
     return pd.Series([one(g, b) for g, b in zip(grams, betas, strict=True)], dtype="float64")
 
 
-def elastic_net(l1: float, l2: float, sweeps: int = 1000, tolerance: float = 1e-12):
+def elastic_net(l1: float, l2: float, sweeps: int = 100_000, tolerance: float = 1e-12):
     """Coordinate descent on the matrix: minimises mean loss / 2 + l1 |b| + l2 |b|^2 / 2.
 
-    The intercept is not penalised.
+    The intercept is not penalised. Runs until no coefficient moves by more than ``tolerance``
+    of the largest; not getting there in ``sweeps`` sweeps is an error.
     """
 
     def one(packed) -> np.ndarray:
@@ -173,9 +172,9 @@ def elastic_net(l1: float, l2: float, sweeps: int = 1000, tolerance: float = 1e-
                     beta[j] = pull / xx[j, j]
                 else:
                     beta[j] = np.sign(pull) * max(abs(pull) - l1, 0.0) / (xx[j, j] + l2)
-            if np.max(np.abs(beta - before)) < tolerance:
-                break
-        return beta
+            if np.max(np.abs(beta - before)) <= tolerance * max(1.0, np.max(np.abs(beta))):
+                return beta
+        raise ArithmeticError(f"coordinate descent did not settle in {sweeps} sweeps")
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(grams: pd.Series) -> pd.Series:

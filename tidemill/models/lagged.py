@@ -25,25 +25,21 @@ class Prepared:
     ts_col: str
     series_cols: list[str]
     scaler: scale.MinMax
-    spread: str
 
     def vectors(self) -> tuple[Column, int]:
         z = gram.row_vector([F.col(c) for c in self.features], F.col(self.target))
         return z, len(self.features) + 2
 
-    def spread_column(self) -> Column:
-        return blocks.truncate(self.spread, self.ts_col)
-
     def train(self) -> DataFrame:
         return self.rows.filter(~F.col(self.is_test))
 
     def grams(self, part: DataFrame) -> DataFrame:
         z, width = self.vectors()
-        return gram.gram(part, self.series_cols, z, width, self.spread_column())
+        return gram.gram(part, self.series_cols, z, width)
 
     def grams_by_split(self) -> DataFrame:
         z, width = self.vectors()
-        return gram.gram(self.rows, [*self.series_cols, self.is_test], z, width, self.spread_column())
+        return gram.gram(self.rows, [*self.series_cols, self.is_test], z, width)
 
     def unscale(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return self.scaler.invert(df, self.target, columns)
@@ -58,7 +54,6 @@ def prepare_lags(
     features: Sequence[str] = (),
     series_cols: Sequence[str] = (),
     across_split: bool = True,
-    spread: str = "year",
     **layout,
 ) -> Prepared:
     """Lags of the target plus the given columns of the row itself, min-max scaled.
@@ -75,7 +70,7 @@ def prepare_lags(
     names = [*features, *[f"lag_{k}" for k in lag_list]]
     scaler = scale.fit_min_max(lagged.filter(~F.col(is_test)), [target, *names], series_cols)
     return Prepared(
-        scaler.apply(lagged), names, target, is_test, ts_col, list(series_cols), scaler, spread
+        scaler.apply(lagged), names, target, is_test, ts_col, list(series_cols), scaler
     )
 
 
@@ -88,7 +83,6 @@ def prepare_sequences(
     k: int,
     is_test: str,
     series_cols: Sequence[str] = (),
-    spread: str = "year",
     **layout,
 ) -> Prepared:
     """The k past rows of ``past`` flattened, plus the ``future`` columns of the row itself.
@@ -115,7 +109,7 @@ def prepare_sequences(
         )
     )
     return Prepared(
-        rows, [*named, *known], target, is_test, ts_col, list(series_cols), scaler, spread
+        rows, [*named, *known], target, is_test, ts_col, list(series_cols), scaler
     )
 
 
@@ -130,7 +124,10 @@ def fit_elastic(prepared: Prepared, l1: float, l2: float) -> DataFrame:
 
 
 def predict(prepared: Prepared, models: DataFrame, test_only: bool = True) -> DataFrame:
-    """``(series, ts, actual, predicted)`` in the units of the target."""
+    """``(series, ts, actual, predicted)`` in the units of the target.
+
+    Rows of a series without a model have null predictions.
+    """
     rows = prepared.rows.filter(F.col(prepared.is_test)) if test_only else prepared.rows
     fitted = _with_model(rows, models.select(*prepared.series_cols, "beta"), prepared.series_cols)
     scored = fitted.select(
@@ -145,7 +142,7 @@ def predict(prepared: Prepared, models: DataFrame, test_only: bool = True) -> Da
 def _with_model(rows: DataFrame, models: DataFrame, series_cols: Sequence[str]) -> DataFrame:
     """Attach the small per-series model table; one model alone is a scalar subquery."""
     if series_cols:
-        return rows.join(models, list(series_cols))
+        return rows.join(models, list(series_cols), "left")
     packed = models.select(F.struct("*").alias("m")).scalar()
     return rows.withColumn("_model", packed).select("*", "_model.*").drop("_model")
 

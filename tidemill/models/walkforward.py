@@ -32,13 +32,14 @@ def walk_forward(
     series_cols: Sequence[str] = (),
     horizon: float = 1.0,
     block_rows: int = FOLD_BLOCK,
-    spread: str = "year",
     **layout,
 ) -> DataFrame:
     """``(series, ts, actual, yhat, sigma, n_train, beta)`` per test row.
 
     ``horizon`` is how far the rows reach, in training spans, where knots are to be added;
     1 keeps the training knots only. Rows without a target are predicted but not learned.
+    Every test row comes out; ``yhat``, ``sigma`` and ``beta`` are null where it can't be
+    predicted (a null regressor, or nothing before it to learn from).
     """
     keys = list(series_cols)
     scales = additive.scaling(rows.filter(~F.col(is_test)), ts_col, target, keys)
@@ -78,7 +79,7 @@ def walk_forward(
             return pd.DataFrame(columns=names)
         part = part.sort_values("_position")
         total = gram.square(carried["gram"].iloc[0])
-        size = float(part["_size"].iloc[0])
+        size = float(part["_size"].fillna(np.nan).iloc[0])  # NaN: no training row has a target
         x = np.array(part["x"].tolist(), dtype=float)
         actual = part["actual"].to_numpy(dtype=float, na_value=np.nan)
         y = actual / size
@@ -87,7 +88,9 @@ def walk_forward(
         tested = part[is_test].to_numpy(dtype=bool)
         keys_of = part[columns].itertuples(index=False, name=None)
         for i, key in enumerate(keys_of):
-            if tested[i] and usable[i] and total[0, 0] > 0:
+            if tested[i] and not (usable[i] and total[0, 0] > 0):
+                out.append((*key, actual[i], None, None, int(total[0, 0]), None))
+            elif tested[i]:
                 live = live_columns(float(x[i, 1]))
                 beta = np.zeros(width - 1)
                 beta[live] = gram.solve(total[np.ix_(live, live)], total[live, -1], penalty[live])
@@ -98,7 +101,8 @@ def walk_forward(
                 v = np.append(x[i], y[i])
                 total = total + np.outer(v, v)
         found = pd.DataFrame(out, columns=names)
-        found["actual"] = found["actual"].astype(object).where(found["actual"].notna(), None)
+        for c in ("actual", "yhat", "sigma"):
+            found[c] = found[c].astype(object).where(found[c].notna(), None)
         return found
 
     schema = ", ".join(

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions import scalar
 from ..session import write_settled
 
 BLOCK_ROWS = 100_000
@@ -34,14 +35,17 @@ _BEFORE = "_before"
 
 
 def truncate(unit: str, ts: str | Column, like: str = "timestamp_ntz") -> Column:
-    """Start of the ``unit`` a time falls in, in the type of the time.
+    """Start of the ``unit`` a time falls in, by the UTC clock, in the type of the time (``like``).
 
-    The built-in goes through the session zone, which for zone-free times can move hours
-    around a clock change; here they are taken apart and put together without a zone.
+    The built-in goes through the session zone, which can move hours around a clock change;
+    here times are taken apart and put together without a zone.
     """
     c = F.col(ts) if isinstance(ts, str) else ts
+    if like == "timestamp":
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, truncate(unit, scalar.without_zone(c))))
     if like != "timestamp_ntz":
-        return F.date_trunc(unit, c).cast(like)
+        return truncate(unit, c.cast("timestamp_ntz")).cast(like)
     day = F.to_date(c)
     start = day.cast("timestamp_ntz")
     if unit == "day":
@@ -109,9 +113,8 @@ def with_position(
 
 
 def _with_copies(placed: DataFrame, position: str, lookback: int, block_rows: int) -> DataFrame:
-    """Assign rows to blocks; the last ``lookback`` rows of a block also go to the next one."""
-    if lookback > block_rows:
-        raise ValueError("block_rows must be at least the lookback")
+    """Assign rows to blocks of at least ``lookback`` rows, whose last ones also go to the next block."""
+    block_rows = max(block_rows, lookback)
     offset = F.col(position) - 1
     in_tail = F.pmod(offset, F.lit(block_rows)) >= block_rows - lookback
     both = F.array("_home", F.col("_home") + 1)

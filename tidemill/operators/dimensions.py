@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar
+from ..functions.scalar import utc_clock
 
 # Public holidays of Baden-Wuerttemberg, Germany.
 # (name, month, day) on the same date every year.
@@ -72,7 +73,7 @@ def holiday_dimension(
 
 def years_of(df: DataFrame, ts_col: str) -> DataFrame:
     """The years from the first to the last row, one row each."""
-    return df.agg(F.min(F.year(ts_col)).alias("a"), F.max(F.year(ts_col)).alias("b")).select(
+    return df.agg(F.min(F.year(utc_clock(ts_col))).alias("a"), F.max(F.year(utc_clock(ts_col))).alias("b")).select(
         F.explode(F.sequence("a", "b")).alias("year")
     )
 

@@ -45,18 +45,17 @@ class OneHot:
         return df.select(*passed, *encoded)
 
 
-def fit_one_hot(train: DataFrame, columns: Sequence[str], max_categories: int = 1000) -> OneHot:
-    """Find the categories in one job. Every category becomes a column, so more than
-    ``max_categories`` of them is an error, not a truncation."""
+def fit_one_hot(train: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> OneHot:
+    """Find the categories in one job. Every category becomes a column; a caller who wants no
+    more than ``max_categories`` for any one column gets an error beyond, not a truncation."""
     long = train.select(*[as_category(train, c).alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "category"
     )
-    found = (
-        long.filter(F.col("category").isNotNull()).distinct().limit(max_categories + 1).collect()
-    )
-    if len(found) > max_categories:
-        raise ValueError(f"more than {max_categories} categories in {list(columns)}")
-    return OneHot({c: sorted(r.category for r in found if r.column_name == c) for c in columns})
+    found = long.filter(F.col("category").isNotNull()).distinct().collect()
+    categories = {c: sorted(r.category for r in found if r.column_name == c) for c in columns}
+    if max_categories is not None and any(len(v) > max_categories for v in categories.values()):
+        raise ValueError(f"more than {max_categories} categories in one of {list(columns)}")
+    return OneHot(categories)
 
 
 def encode_for_additive(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar
+from ..functions.scalar import utc_clock
 
 
 def left_join_on_time(
@@ -61,7 +62,7 @@ def holiday_or_weekend(
     if match != "date":
         raise ValueError(f"unknown match {match!r}")
     days = holidays.select(F.col("holiday").alias("_holiday")).distinct()
-    flagged = df.join(days, F.to_date(ts_col) == F.col("_holiday"), "left")
+    flagged = df.join(days, F.to_date(utc_clock(ts_col)) == F.col("_holiday"), "left")
     flag = F.col("_holiday").isNotNull() | calendar.is_weekend(ts_col)
     return flagged.select(*df.columns, flag.alias(out))
 
@@ -74,14 +75,14 @@ def daylight_from_dimension(
     out: str = "daylight_flag",
 ) -> DataFrame:
     """``dawn <= ts <= dusk`` by lookup in ``twilight(location, day, dawn, dusk)``."""
-    found = df.withColumn("_day", F.to_date(ts_col)).join(
+    found = df.withColumn("_day", F.to_date(utc_clock(ts_col))).join(
         twilight.select(
             F.col(location_col), F.col("day").alias("_day"), F.col("dawn"), F.col("dusk")
         ),
         [location_col, "_day"],
         "left",
     )
-    inside: Column = F.col(ts_col).between(F.col("dawn"), F.col("dusk"))
+    inside: Column = utc_clock(ts_col).between(F.col("dawn"), F.col("dusk"))
     return found.select(*df.columns, F.coalesce(inside, F.lit(False)).alias(out))
 
 

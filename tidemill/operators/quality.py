@@ -84,7 +84,7 @@ def null_counts(df: DataFrame, columns: Sequence[str], series_cols: Sequence[str
 def nulls_per_day(
     df: DataFrame, column: str, ts_col: str, series_cols: Sequence[str] = ()
 ) -> DataFrame:
-    return df.groupBy(*series_cols, blocks.truncate("day", ts_col).alias("day")).agg(
+    return df.groupBy(*series_cols, blocks.truncate("day", ts_col, blocks._ts_type(df, ts_col)).alias("day")).agg(
         F.count_if(F.col(column).isNull()).alias("missing")
     )
 
@@ -93,7 +93,7 @@ def null_days(df: DataFrame, column: str, ts_col: str, series_cols: Sequence[str
     """Distinct days holding at least one null."""
     return (
         df.filter(F.col(column).isNull())
-        .select(*series_cols, blocks.truncate("day", ts_col).alias("day"))
+        .select(*series_cols, blocks.truncate("day", ts_col, blocks._ts_type(df, ts_col)).alias("day"))
         .distinct()
     )
 

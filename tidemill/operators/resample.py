@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
 
 
+def _interval(unit: str) -> Column:
+    return F.expr("INTERVAL 3 MONTH" if unit == "quarter" else f"INTERVAL 1 {unit}")
+
+
 def calendar_spine(
     df: DataFrame, ts_col: str, series_cols: Sequence[str] = (), unit: str = "day", out: str | None = None
 ) -> DataFrame:
@@ -18,16 +22,12 @@ def calendar_spine(
     Built from two numbers per series; the steps are generated on the executors.
     """
     out = out or ts_col
-    step = blocks.truncate(unit, ts_col)
+    step = blocks.truncate(unit, ts_col, blocks._ts_type(df, ts_col))
     spans = df.groupBy(*series_cols).agg(F.min(step).alias("_first"), F.max(step).alias("_last"))
-    steps = F.sequence("_first", "_last", F.expr(f"INTERVAL 1 {unit}"))
+    steps = F.sequence("_first", "_last", _interval(unit))
     return spans.select(*series_cols, F.explode(steps).alias(out))
 
 
-# Steps this long bound a series: an hourly calendar of a century has 876,600 rows.
-BOUNDED_UNITS = {"hour", "day", "week", "month", "quarter", "year"}
-
-
 def resample_mean(
     df: DataFrame,
     ts_col: str,
@@ -41,7 +41,7 @@ def resample_mean(
     Partial means are combined before the shuffle, so one row per step and series is
     left, however many rows a step had.
     """
-    step = blocks.truncate(unit, ts_col).alias(ts_col)
+    step = blocks.truncate(unit, ts_col, blocks._ts_type(df, ts_col)).alias(ts_col)
     means = df.groupBy(*series_cols, step).agg(*[F.avg(c).alias(c) for c in columns])
     return fill_calendar(means, ts_col, columns, series_cols, unit, **layout)
 
@@ -57,10 +57,9 @@ def fill_calendar(
     """Add the missing steps, with nulls, to a table that has at most one row per step.
 
     Each row fills the gap between it and the row before it, which needs no join with a
-    calendar.
+    calendar. A caller whose series are short (an hourly calendar of a century has 876,600
+    rows) may say so with ``block_rows=None``.
     """
-    if not layout and series_cols and unit in BOUNDED_UNITS:
-        layout = {"block_rows": None}
     layout.setdefault("chunk", "year")
     narrow = df.select(*series_cols, ts_col, *columns)
     if not blocks.is_whole(layout):
@@ -69,7 +68,7 @@ def fill_calendar(
     followed = blocks.over_blocks(
         narrow, series_cols, ts_col, 1, lambda w: {"_before": F.lag(ts_col).over(w)}, **layout
     )
-    one = F.expr(f"INTERVAL 1 {unit}")
+    one = _interval(unit)
     first = F.coalesce(F.col("_before") + one, F.col(ts_col))
     filled = followed.withColumn("_step", F.explode(F.sequence(first, F.col(ts_col), one)))
     present = F.col("_step") == F.col(ts_col)
@@ -121,10 +120,10 @@ def daily_use(
     ``sum_of_diff``: sum of the steps inside each day (the energy actually used).
     """
     if mode == "diff_of_mean":
-        daily = resample_mean(df, ts_col, columns, series_cols)
+        daily = resample_mean(df, ts_col, columns, series_cols, **layout)
         return per_step(daily, ts_col, columns, series_cols, **layout)
     if mode == "sum_of_diff":
         steps = per_step(df, ts_col, columns, series_cols, **layout)
-        day = blocks.truncate("day", ts_col).alias(ts_col)
+        day = blocks.truncate("day", ts_col, blocks._ts_type(df, ts_col)).alias(ts_col)
         return steps.groupBy(*series_cols, day).agg(*[F.sum(c).alias(c) for c in columns])
     raise ValueError(f"unknown mode {mode!r}")

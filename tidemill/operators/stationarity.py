@@ -90,9 +90,11 @@ def adf(
     """Augmented Dickey-Fuller test, constant only, lag chosen by AIC.
 
     All candidate regressions are nested and share one matrix of sums of products per
-    series, so the rows are read once whatever the number of lags.
+    series, so the rows are read once whatever the number of lags. A series too short for
+    any regression has a row of nulls.
     """
     keys = list(series_cols)
+    series = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
     known = df.filter(F.col(column).isNotNull()).select(*keys, ts_col, F.col(column).cast("double").alias("_x"))
     whole = blocks.is_whole(layout)
     lookback = 1
@@ -110,7 +112,7 @@ def adf(
         x = (x - mean) / (sd if sd > 0 else 1.0)
         top = _max_lag(int(n))
         if top < 0 or len(x) < 2:
-            return pd.DataFrame({"m": [], "stage": [], "cells": []})
+            return pd.DataFrame({"m": np.zeros(0, np.int64), "stage": np.zeros(0, np.int64), "cells": np.zeros(0, object)})
         steps = np.concatenate([np.zeros(top + 1), np.diff(x)])
         level = np.concatenate([[0.0], x[:-1]])
         at = np.arange(len(x))
@@ -133,7 +135,9 @@ def adf(
     )
     sums = partials if whole else arrays.add_up(partials, [*keys, "m", "stage"], "cells")
     per_series = sums.groupBy(*keys, "m").agg(F.collect_list(F.struct("stage", "cells")).alias("stages"))
-    return per_series.select(*keys, _adf_udf("stages", "m").alias("r")).select(*keys, "r.*")
+    tested = per_series.select(*keys, _adf_udf("stages", "m").alias("r"))
+    found = series.join(tested, keys, "left") if keys else series.join(tested, how="left")
+    return found.select(*keys, "r.*")
 
 
 def _weighted(upto: Column, weight) -> Column:

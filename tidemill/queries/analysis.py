@@ -35,7 +35,7 @@ def a1(t: Tables) -> DataFrame:
          ON e.event_type = v.event_type AND e.day = v.day""",
 )
 def a1_events(t: Tables) -> DataFrame:
-    return rounded(resample.resample_mean(t("events"), "ts", ["value"], ["event_type"]), 6, "value")
+    return rounded(resample.resample_mean(t("events"), "ts", ["value"], ["event_type"], **DAILY), 6, "value")
 
 
 @query(

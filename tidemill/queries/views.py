@@ -68,7 +68,7 @@ def segment_daily(t: Tables) -> DataFrame:
 
 def segment_dense(t: Tables) -> DataFrame:
     """V5 on a dense daily calendar per segment, revenue only."""
-    return resample.fill_calendar(segment_daily(t), "day", ["revenue"], ["segment"])
+    return resample.fill_calendar(segment_daily(t), "day", ["revenue"], ["segment"], block_rows=None)
 
 
 def predictions(t: Tables) -> DataFrame:
