@@ -570,8 +570,8 @@ def x7(t: Tables) -> DataFrame:
 @query(
     "t2_best_setting",
     with_views(
-        """SELECT segment, c AS changepoint_prior_scale, s AS seasonality_prior_scale, rank FROM
-           (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY mse, c, s) AS rank FROM scores) WHERE rank <= 3""",
+        """SELECT segment, c AS changepoint_prior_scale, s AS seasonality_prior_scale, round(mse / 1e6, 2) AS mse,
+             row_number() OVER (PARTITION BY segment ORDER BY mse, c, s) AS rank FROM scores""",
         "segment_dense",
         extra=GRID_CTES,
         recursive=True,
@@ -579,7 +579,7 @@ def x7(t: Tables) -> DataFrame:
 )
 def t2(t: Tables) -> DataFrame:
     found = additive.grid_search(_series(t), "is_test", WITH_REGRESSORS, GRID, series_cols=["segment"])
-    return found.drop("mse").filter("rank <= 3")
+    return found.withColumn("mse", F.round(F.col("mse") / 1e6, 2))
 
 
 # --- walk-forward ----------------------------------------------------------------------
@@ -673,24 +673,28 @@ def u3(t: Tables) -> DataFrame:
     return rounded(rounded(found, 2, "actual"), 0, "yhat")
 
 
+def _mean_of_cents():
+    """A mean whose sum is rounded to cents, as the rounded mean itself may be a tie."""
+    n = F.col("n_train").cast("double")
+    return F.try_divide(F.round(F.col("predicted") * n, 2), n).alias("predicted")
+
+
 @query(
     "w8_expanding_window",
-    """SELECT event_type, event_id, n_train, round(predicted * n_train, 2) AS total FROM
+    """SELECT event_type, event_id, n_train, CASE WHEN n_train > 0 THEN round(predicted * n_train, 2) / n_train END AS predicted FROM
          (SELECT event_type, event_id, count(value) OVER w AS n_train, avg(value) OVER w AS predicted FROM events
           WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
 )
 def w8(t: Tables) -> DataFrame:
     events = t("events").select("event_type", "event_id", "ts", "value")
     found = walkforward.expanding_mean(events, "ts", "value", ["event_type"], ["event_id"], **RAW)
-    # Compared as a total: a mean of cents can lie exactly between two rounded values.
-    total = F.round(F.col("predicted") * F.col("n_train"), 2).alias("total")
-    return found.select("event_type", "event_id", "n_train", total)
+    return found.select("event_type", "event_id", "n_train", _mean_of_cents())
 
 
 @query(
     "u2_growing_train",
     with_views(
-        """SELECT segment, ds, n_train, round(predicted * n_train, 2) AS total FROM (SELECT segment, ds, is_test,
+        """SELECT segment, ds, n_train, CASE WHEN n_train > 0 THEN round(predicted * n_train, 2) / n_train END AS predicted FROM (SELECT segment, ds, is_test,
              count(y) OVER w AS n_train, avg(y) OVER w AS predicted FROM series
              WINDOW w AS (PARTITION BY segment ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE is_test""",
         "segment_dense",
@@ -700,7 +704,6 @@ def w8(t: Tables) -> DataFrame:
 def u2(t: Tables) -> DataFrame:
     # Train grows by the observed row before each test row.
     found = walkforward.expanding_mean(_series(t), "ds", "y", ["segment"], **DAILY).filter("is_test")
-    total = F.round(F.col("predicted") * F.col("n_train"), 2).alias("total")
-    return found.select("segment", "ds", "n_train", total)
+    return found.select("segment", "ds", "n_train", _mean_of_cents())
 
 
