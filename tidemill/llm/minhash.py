@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     placed = write_settled(placed.select("cid", "least_id", F.coalesce("root", "cid").alias("root")), "placed")
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = placed.join(smallest, "root").select("cid", "component_id")
-    drop_settled(members, groups, sets)
+    drop_settled(members, groups, sets, kinds, links, more)
     found = rows.select("doc_id", "n_shingles", "cid", "_h1", "_h2").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(

@@ -255,13 +255,23 @@ def _spans(length: int):
 
 
 def _bucketed(df: DataFrame, *keys: str) -> DataFrame:
-    """Write a table bucketed by its keys; joins on them then leave its rows where they are."""
+    """Write a table bucketed by its keys; joins on them then leave its rows where they are.
+
+    It stays until the application ends or :func:`_drop_table`.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"texts_{uuid.uuid4().hex}"
     df.repartition(n, *keys).write.bucketBy(n, *keys).format("parquet").saveAsTable(name)
     _TABLES.append((spark, name))
-    return spark.table(name)
+    found = spark.table(name)
+    found._table_name = name
+    return found
+
+
+def _drop_table(table: DataFrame) -> None:
+    table.sparkSession.sql(f"DROP TABLE IF EXISTS {table._table_name}")
+    _TABLES[:] = [t for t in _TABLES if t[1] != table._table_name]
 
 
 @atexit.register
@@ -335,7 +345,8 @@ def deduplicated(docs: DataFrame, length: int = 400, core: int = CORE, collectio
     shorter than ``length`` lose nothing. Repeated rows repeat each other, so all their windows
     are removed. A null ``doc_id`` is kept. An empty table gives an empty result.
     """
-    _, results = repeated_spans(docs, length, core, collection)
+    texts, results = repeated_spans(docs, length, core, collection)
+    _drop_table(texts)
     named = results.select("_h1", "_h2", "n_bytes", "n_removed", F.size("begins").cast("long").alias("n_spans"), "kept_sha256")
     return docs.select("doc_id", *text_key()).join(named, ["_h1", "_h2"]).drop("_h1", "_h2")
 
