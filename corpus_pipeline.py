@@ -5,35 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import minhash, mixing, packing, repeats, toxicity
+from tidemill.llm.keys import short_batches
 from tidemill.session import drop_settled, ship, write_settled
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
-    return toxicity.without_toxic(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, short_batches(ship(spark)).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    ship(spark)
+    short_batches(ship(spark))
     return minhash.without_near_duplicates(docs)
 
 
 def _suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings of 400 or more that occur twice are taken out of the texts."""
-    ship(spark)
+    short_batches(ship(spark))
     return repeats.without_repeats(docs)
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated, or left out, so that sources meet their target sizes."""
-    ship(spark)
+    short_batches(ship(spark))
     return mixing.repeated(docs)
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
-    ship(spark)
+    short_batches(ship(spark))
     return packing.pack(docs)
 
 

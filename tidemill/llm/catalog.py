@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .keys import short_batches
 from . import fingerprints, minhash, mixing, packing, quality, repeats, search, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +18,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Callable[[str], DataFrame]], DataFrame]):
         QUERIES[name] = lambda spark, folder: build(
-            lambda table: ship(spark).read.parquet(f"{folder}/{table}.parquet")
+            lambda table: short_batches(ship(spark)).read.parquet(f"{folder}/{table}.parquet")
         )
         if sql is not None:
             ORACLES[name] = sql

@@ -42,7 +42,7 @@ from .keys import text_key
 
 CORE = 200
 COLLECTION = 2_000  # stretches ordered together
-PIECE = 1 << 23  # bytes of one text looked at together (positions take 24 bits)
+PIECE = 1 << 20  # bytes of one text looked at together (positions take 24 bits)
 
 _TABLES: list[tuple[SparkSession, str]] = []
 

@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21  # bytes of text worked on at a time; one longer text is a slice of its own
+SLICE = 1 << 19  # bytes of text worked on at a time; one longer text is a slice of its own
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -66,7 +66,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """S with S[j] - S[i] = B^i times the polynomial of data[i:j], modulo 2^64."""
     n = len(data)
-    up, _ = _powers(max(1 << 22, 1 << int(n).bit_length()))
+    up, _ = _powers(max(2 * SLICE, 1 << int(n).bit_length()))
     sums = np.zeros(n + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * up[:n], out=sums[1:])
     return sums
@@ -74,7 +74,7 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 def hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each data[begin:end], the same wherever the bytes stand."""
-    _, down = _powers(max(1 << 22, 1 << int(len(sums) - 1).bit_length()))
+    _, down = _powers(max(2 * SLICE, 1 << int(len(sums) - 1).bit_length()))
     return mixed((sums[end] - sums[begin]) * down[begin])
 
 
