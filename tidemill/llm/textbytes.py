@@ -103,9 +103,10 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, k: int) -> list[np.ndarra
     n = len(starts) - 1
     count = np.bincount(text, minlength=n)
     at = np.concatenate(([0], np.cumsum(count)))
-    rolled = np.zeros(max(0, len(hashed) - k + 1), U64)
+    size = max(0, len(hashed) - k + 1)
+    rolled = np.zeros(size, U64)
     for i in range(k):
-        rolled = rolled * U64(0xD6E8FEB86659FD93) + hashed[i : len(hashed) - k + 1 + i]
+        rolled = rolled * U64(0xD6E8FEB86659FD93) + hashed[i : i + size]
     rolled = mixed(rolled + U64(k))
     found = []
     for i in range(n):
