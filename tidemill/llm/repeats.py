@@ -146,20 +146,46 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    x = int.from_bytes(a[:n], "little") ^ int.from_bytes(b[:n], "little")
+    return n if x == 0 else ((x & -x).bit_length() - 1) // 8
+
+
+def _shared(keys: list, parts: list[bytes]) -> list[int]:
+    """How much of each part any other part of the same anchor begins with."""
+    order = sorted(range(len(keys)), key=lambda i: (keys[i], parts[i]))
+    found = [0] * len(keys)
+    for i, j in zip(order, order[1:]):
+        if keys[i] == keys[j]:
+            n = _common(parts[i], parts[j])
+            found[i], found[j] = max(found[i], n), max(found[j], n)
+    return found
+
+
 def order_collection(keys, lefts, rights, counts, length: int, core: int) -> list[np.ndarray]:
-    """Which windows of each stretch are repeated, from the suffix order of the collection."""
+    """Which windows of each stretch are repeated, from the suffix order of the collection.
+
+    Bytes that no other stretch of the anchor shares, going out from the core, can't be in a
+    repeated window; they are left out of the strings that are ordered.
+    """
     number = {k: 257 + i for i, k in enumerate(dict.fromkeys(keys))}
+    window = length - core + 1
+    before, after = _shared(keys, [x[::-1] for x in lefts]), _shared(keys, rights)
+    chosen = [i for i in range(len(keys)) if before[i] + after[i] + 1 >= window]
+    symbols = lambda x: np.frombuffer(x, np.uint8).astype(np.uint16) + 1
     strings = [
-        np.concatenate((np.frombuffer(x, np.uint8).astype(np.uint16) + 1, [number[k]], np.frombuffer(y, np.uint8).astype(np.uint16) + 1)).astype(np.uint16)
-        for k, x, y in zip(keys, lefts, rights)
+        np.concatenate((symbols(lefts[i][len(lefts[i]) - before[i] :]), [number[keys[i]]], symbols(rights[i][: after[i]]))).astype(np.uint16)
+        for i in chosen
     ]
+    flags = [np.full(len(x) + len(y) + 2 - window, c > 1) for x, y, c in zip(lefts, rights, counts)]
     _, lcp, places = bwt.build(strings)
     near = np.maximum(lcp, np.append(lcp[1:], 0))  # with the nearer neighbour
-    window = length - core + 1
-    return [
-        np.ones(len(s) - window + 1, bool) if c > 1 else near[p[: len(s) - window + 1]] >= window
-        for s, p, c in zip(strings, places, counts)
-    ]
+    for i, s, p in zip(chosen, strings, places):
+        begin, many = len(lefts[i]) - before[i], len(s) - window + 1
+        flags[i][begin : begin + many] |= near[p[:many]] >= window
+    return flags
 
 
 def _ordered(length: int, core: int, collection: int):
