@@ -70,6 +70,22 @@ def test_near_duplicates_odd(odd, nothing):
     assert {r["doc_id"] for r in minhash.without_near_duplicates(odd).collect()} >= {1, 3, 4, 5, 6, 8, 9}
 
 
+def test_one_row_of_each_group_stays(spark):
+    text = lambda g, tail="": " ".join(f"g{g}w{i}" for i in range(60)) + tail
+    rows = [(1, text(1), k) for k in range(5)]  # one document, repeated, other columns differing
+    rows += [(2, text(2), 0)] * 4  # equal in everything
+    rows += [(None, text(3), 0)] * 6 + [(None, text(3, " tail"), 0)] * 3  # copies and near copies without ids
+    rows += [(None, text(4), 0), (9, text(4, " tail"), 0), (8, text(4), 0), (8, text(4, " end"), 0)]
+    rows += [(None, None, 0), (None, "", 0), (5, " ", 0), (5, " ", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int").repartition(3)
+    left = minhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    left = left.collect()
+    assert Counter((r["text"] or "").split("w")[0] for r in left if (r["text"] or "").strip()) == {"g1": 1, "g2": 1, "g3": 1, "g4": 1}
+    assert {r["doc_id"] for r in left if (r["text"] or "").startswith("g4")} == {8}
+    assert sum(not (r["text"] or "").strip() for r in left) == 4
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60) if i % 7] + [(100, 3), (5, 5)]
     named = lambda x: f"{x:03d}".encode()

@@ -87,9 +87,13 @@ def _equal_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """For each row its text's name, set size, class (null if the set is empty), band keys and signature."""
+def _fingerprints(docs: DataFrame, shingle: int, also: list[str]) -> DataFrame:
+    """For each row its text's name, set size, class (null if the set is empty), band keys and signature.
+
+    The columns ``also``, longs, are kept.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = ["doc_id", "_h1", "_h2", *also]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,18 +114,19 @@ def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
                     signatures.append(np.frombuffer(packed(low), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in ("doc_id", "_h1", "_h2")],
+                    *[batch.column(c) for c in kept],
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(signatures, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "_h1", "_h2", "n_shingles", "cid", "bands", "sig"],
+                names=[*kept, "n_shingles", "cid", "bands", "sig"],
             )
 
-    return docs.select("doc_id", *text_key(), "text").mapInArrow(
+    more = "".join(f", {c} long" for c in also)
+    return docs.select("doc_id", *text_key(), *also, "text").mapInArrow(
         label,
-        f"doc_id {kind}, _h1 long, _h2 long, n_shingles long, cid binary, bands array<long>, sig array<long>",
+        f"doc_id {kind}, _h1 long, _h2 long{more}, n_shingles long, cid binary, bands array<long>, sig array<long>",
     )
 
 
@@ -217,19 +222,10 @@ def _missed(groups: DataFrame, roots: DataFrame, least: int, percent: int) -> Da
     return both.groupBy("leader", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for each row of ``docs``.
-
-    Needs ``doc_id`` and ``text``; other columns are ignored. A-Z is lower-cased, words are
-    runs of other than ASCII white space. Texts with fewer words than ``shingle`` have the
-    whole sequence as their one shingle; null, empty and blank texts have none, and are their
-    own component. ``component_id`` is the least id reachable over links of similarity
-    ``percent`` / 100 or more. Repeated rows are one class and get the same result each. A row
-    whose id is null reaches others as any row does; if no row of its component has an id,
-    ``component_id`` is null and the row is kept. An empty table gives an empty result.
-    """
+def _components(docs: DataFrame, shingle: int, percent: int, also: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``_fingerprints``, and for each class its component: ``cid``, ``least_id``, ``root``."""
     least = least_equal(percent / 100)
-    rows = write_settled(_fingerprints(docs, shingle), "fingerprints")
+    rows = write_settled(_fingerprints(docs, shingle, also), "fingerprints")
     kinds = rows.where("cid IS NOT NULL").groupBy("cid").agg(
         F.min("doc_id").alias("least_id"),
         F.min(F.struct("doc_id", "_h1", "_h2")).alias("rep"),
@@ -258,9 +254,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     roots = graph.components(links.union(more))
     placed = kinds.select("cid", "least_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     placed = write_settled(placed.select("cid", "least_id", F.coalesce("root", "cid").alias("root")), "placed")
+    drop_settled(members, groups, sets, kinds, links, more)
+    return rows, placed
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for each row of ``docs``.
+
+    Needs ``doc_id`` and ``text``; other columns are ignored. A-Z is lower-cased, words are
+    runs of other than ASCII white space. Texts with fewer words than ``shingle`` have the
+    whole sequence as their one shingle; null, empty and blank texts have none, and are their
+    own component. ``component_id`` is the least id reachable over links of similarity
+    ``percent`` / 100 or more. Repeated rows are one class and get the same result each. A row
+    whose id is null reaches others as any row does; if no row of its component has an id,
+    ``component_id`` is null and the row is kept. An empty table gives an empty result.
+    """
+    rows, placed = _components(docs, shingle, percent, [])
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = placed.join(smallest, "root").select("cid", "component_id")
-    drop_settled(members, groups, sets, kinds, links, more)
     found = rows.select("doc_id", "n_shingles", "cid", "_h1", "_h2").join(named, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
@@ -269,12 +280,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 
 def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group: the one of the least id.
+    """``docs`` with one row of each group: one of the least id, or of no id if no row has one.
 
-    Rows without an id stay only if no row of their group has one.
+    Rows are numbered and written first, so that repeated rows, and rows without an id, are told
+    apart. Texts without words belong to no group and stay.
     """
-    found = near_duplicates(docs, shingle, percent).where("kept").select(F.col("doc_id").alias("_id"), "_h1", "_h2").distinct()
-    found = found.withColumnsRenamed({"_h1": "_t1", "_h2": "_t2"})
-    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), text_key())))
-    same = (F.col("_k1") == F.col("_t1")) & (F.col("_k2") == F.col("_t2")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return keyed.join(found, same, "left_semi").select(*docs.columns)
+    numbered = write_settled(docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    texts = numbered.select("_doc.doc_id", "_doc.text", "_row")
+    rows, placed = _components(texts, shingle, percent, ["_row"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    by_class = rows.where("cid IS NOT NULL").groupBy("cid").agg(first.alias("first"))
+    least = by_class.join(placed, "cid").groupBy("root").agg(F.min("first").alias("first"))
+    kept = least.select("first._row").union(rows.where("cid IS NULL").select("_row"))
+    kept = write_settled(kept, "kept")
+    drop_settled(rows, placed)
+    return numbered.join(kept, "_row", "left_semi").select("_doc.*")
