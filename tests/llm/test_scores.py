@@ -61,3 +61,15 @@ def test_marginals_against_enumeration():
         assert np.allclose(good[a:b], marked / weight)
         total += np.log(weight)
     assert np.isclose(total, log_sum)
+
+
+def test_second_person_counts_in_the_whole_text():
+    lex = {"vile": (2.0, 40.0)}
+    at = toxicity.NAMES.index("second_person")
+    share = lambda text: toxicity.text_features(text, lex)[at]
+    assert share("vile " * 2000 + "you are vile " * 6000) == (6000 + 5) / 8000
+    assert share("you " * 3000 + "plain " * 9 + "vile you vile") == 1.0
+    rng = np.random.default_rng(2)
+    for words in (rng.choice(["vile", "you", "a", "b", "c", "d", "e", "f", "g"], 3000, p=[0.1, 0.02, *[0.88 / 7] * 7]) for _ in range(5)):
+        hits, second = np.flatnonzero(words == "vile"), np.flatnonzero(words == "you")
+        assert share(" ".join(words)) == (np.abs(hits[:, None] - second).min(axis=1) <= 5).mean()

@@ -123,8 +123,10 @@ def text_features(text: str, lex: dict[str, tuple[float, float]]) -> list[float]
         at = [i for i, w in enumerate(words) if w in known]
         hits = len(at)
         if second:
-            gap = np.abs(np.subtract.outer(np.array(at[:1000]), np.array(second[:1000]))).min(axis=1)
-            near = int((gap <= 5).sum())
+            at, second = np.array(at), np.array(second)
+            after = np.searchsorted(second, at)
+            before, after = second[np.maximum(after - 1, 0)], second[np.minimum(after, len(second) - 1)]
+            near = int((np.minimum(np.abs(at - before), np.abs(after - at)) <= 5).sum())
     return [
         float(np.log1p(n)), sum(h[0] for h in word), max((h[0] for h in word), default=0.0),
         sum(h[0] for h in begin), max((h[0] for h in begin), default=0.0),
