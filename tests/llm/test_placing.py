@@ -96,6 +96,17 @@ def test_encoder_equals_tokenizers(text):
     assert packing.encoder()(text) == own.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_equals_tokenizers_as_it_comes():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|", *(f"x{c * 1_000_000}y" for c in " \n\u3000"), " " * 999 + "z", "w" * 200_000]
+    for text in texts:
+        assert packing.encoder()(text) == own.encode(text, add_special_tokens=False).ids
+    assert packing.encoder()("<|endoftext|>") == [50256]
+
+
 def test_pack(odd, nothing):
     rows = packing.pack(odd, keep_ids=True).collect()
     text = {}
