@@ -177,6 +177,27 @@ def test_fingerprints(documents, odd, nothing):
     assert one[0]["near_next"] == 1.0
 
 
+def test_fingerprints_of_skewed_weights(spark):
+    """One very frequent phrase, texts of few words, and equal texts: the mean error over many texts is small."""
+    rng = np.random.default_rng(11)
+    kinds = {"phrase": [], "few": [], "half": []}
+    for k in range(60):
+        words = [f"k{k}w{i}" for i in range(60)]
+        kinds["phrase"].append((" ".join(words) + " buy now" * 300, " ".join(words) + " buy now" * 30))
+        kinds["few"].append((" ".join(words[:4]), " ".join(words[:3])))
+        kinds["half"].append((" ".join(words) + " buy" * 100, " ".join(rng.permutation(words[:30])) + " buy" * 50))
+    rows = [(kind, k, a, b) for kind, pairs in kinds.items() for k, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "kind string, k int, a string, b string")
+    df = fingerprints.with_samples(fingerprints.with_samples(df, "a", "_a"), "b", "_b")
+    errors = defaultdict(list)
+    for r in df.withColumn("near", fingerprints.likeness(F.col("_a"), F.col("_b"))).collect():
+        assert len(r["_a"]) == len(r["_b"]) == fingerprints.SAMPLES
+        a, b = (Counter(zip(w, [*w[1:], None])) for w in (r["a"].split(), r["b"].split()))
+        errors[r["kind"]].append(r["near"] - sum((a & b).values()) / sum((a | b).values()))
+    for kind, e in errors.items():  # sd of one estimate is at most 0.0625
+        assert abs(np.mean(e)) < 0.04 and np.std(e) < 0.1, kind
+
+
 def _bm25(rows, queries, k):
     words = [Counter((t or "").encode().lower().split()) for _, t in rows]
     n, size = len(rows), [sum(c.values()) for c in words]

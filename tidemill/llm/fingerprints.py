@@ -1,15 +1,19 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame expressions only.
 
 Terms are pairs of neighbouring words (the last word with nothing), weighted by how often
-they occur. For a term of weight w, hashes of the term give r and c, Gamma(2, 1), and a
-uniform b; t = floor(ln w / r + b), ln y = r (t - b), and ln a = ln c - ln y - r. The term
-with the least a is the sample (term, t); two texts draw the same sample with probability
-equal to their generalised Jaccard similarity, sum of least weights by sum of greatest.
-
-The ``STRATA`` samples are drawn each from its own hash stratum of the terms, so a term is
-evaluated once and not once a sample; each stratum is a random part of the terms, so the
-share of equal samples among strata that either text has still has that expectation. A
-fingerprint is the array of (stratum, hash of term and t), 30 bits an entry.
+they occur, so a weight is a whole number w and a term stands for the w items (term, 1) to
+(term, w). Each of the ``SAMPLES`` samples gives every item of the text a rank of its own,
+Exp(1), and draws the item of least rank. Two texts draw the same item with probability equal
+to their generalised Jaccard similarity, sum of least weights by sum of greatest, however
+skewed the weights are, and each text with words has all samples.
+
+The ranks of an item in all samples are one Poisson process of rate ``SAMPLES`` whose arrivals
+are dealt evenly to the samples (the first arrival of each is its rank there). Arrivals come in
+order from hashes of item and number, and only those before a time that depends on the text's
+number of words are looked at: up to about ``ENOUGH`` arrivals a sample are expected there, and
+where a sample has none the text is done again up to ``CERTAIN`` (none is then left out but with
+a probability below 1e-17). So the cost of a text is its words and a fixed number of arrivals,
+not words times samples. A fingerprint is the array of (sample, hash of item), 30 bits an entry.
 
 Everything happens inside the row, on sorted arrays of longs: no rows are exploded, nothing
 is shuffled, and memory is that of one text's words.
@@ -22,35 +26,60 @@ from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
 
-STRATA_BITS = 6
-STRATA = 1 << STRATA_BITS
+SAMPLE_BITS = 6
+SAMPLES = 1 << SAMPLE_BITS
+ENOUGH, CERTAIN = 9, 45
 _ID_BITS, _A_BITS = 24, 33
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    part = F.shiftright(bits, shift).bitwiseAND(F.lit((1 << 20) - 1))
-    return (part + F.lit(0.5)) / F.lit(float(1 << 20))
-
-
-def _sample(term: Column, weight: Column) -> Column:
-    """Stratum, ln a and name of one term's sample in a long that sorts by stratum, then a."""
-    one, two = F.xxhash64(term, F.lit(1)), F.xxhash64(term, F.lit(2))
-    r = -F.log(_uniform(one, 0) * _uniform(one, 20))
-    c = -F.log(_uniform(one, 40) * _uniform(two, 0))
-    b = _uniform(two, 20)
-    t = F.floor(F.log(weight) / r + b)
-    ln_a = F.log(c) - r * (t - b) - r
-    name = F.xxhash64(term, t).bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-    a = ((ln_a + F.lit(64.0)) * F.lit(float(1 << 26))).cast("long")  # ln a is above -59 and below 4
-    stratum = F.shiftrightunsigned(term, 64 - STRATA_BITS).cast("long")
-    return (
-        F.shiftleft(stratum, _A_BITS + _ID_BITS).bitwiseOR(F.shiftleft(a, _ID_BITS)).bitwiseOR(name)
+def _draw(item: Column, number: Column) -> Column:
+    """The ``number``-th arrival of an item: low bits name its sample, the others its waiting time."""
+    return F.xxhash64(item, number)
+
+
+def _wait(draw: Column) -> Column:
+    return -F.log((F.shiftrightunsigned(draw, 24) + F.lit(0.5)) / F.lit(float(1 << 40)))
+
+
+def _arrivals(items: Column, n: Column, each: int) -> Column:
+    """All arrivals before the time at which ``each`` a sample are expected, as longs that sort by sample, then time."""
+    end = F.lit(float(each * SAMPLES)) / n
+    least = F.floor(F.exp(-end) * F.lit(float(1 << 40)) - 1)  # first draws below it wait longer
+    early = F.filter(items, lambda x: F.shiftrightunsigned(_draw(x, F.lit(1)), 24) >= least)
+    begun = F.transform(early, lambda x: F.struct(x.alias("x"), F.lit(0.0).alias("t"), F.lit(0).cast("long").alias("d")))
+    none = F.array().cast("array<bigint>")
+
+    def named(a: Column) -> Column:
+        sample = a["d"].bitwiseAND(F.lit(SAMPLES - 1))
+        time = (a["t"] / end * F.lit(float((1 << _A_BITS) - 1))).cast("long")
+        item = a["x"].bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+        return F.shiftleft(sample, _A_BITS + _ID_BITS).bitwiseOR(F.shiftleft(time, _ID_BITS)).bitwiseOR(item)
+
+    def step(state: Column, number: Column) -> Column:
+        drawn = F.transform(state["live"], lambda a: F.struct(a["x"].alias("x"), a["t"].alias("t"), _draw(a["x"], number).alias("d")))
+        moved = F.transform(drawn, lambda a: F.struct(a["x"].alias("x"), (a["t"] + _wait(a["d"])).alias("t"), a["d"].alias("d")))
+        live = F.filter(moved, lambda a: a["t"] < end)
+        # What is live before a step arrived in the step before it.
+        arrived = F.when(number > 1, F.concat(state["found"], F.transform(state["live"], named))).otherwise(state["found"])
+        return F.struct(live.alias("live"), arrived.alias("found"))
+
+    rounds = F.ceil(end + 9 * F.sqrt(end) + 20).cast("int")  # more arrivals of one item: below 1e-12
+    state = F.struct(begun.alias("live"), none.alias("found"))
+    return F.aggregate(F.sequence(F.lit(1), rounds), state, step, lambda x: x["found"])
+
+
+def _samples(arrivals: str) -> Column:
+    """The first arrival of each sample, from sorted arrivals."""
+    sample = lambda v: F.shiftright(v, _A_BITS + _ID_BITS)
+    least = F.filter(arrivals, lambda v, i: ~sample(v).eqNullSafe(sample(F.get(F.col(arrivals), i - 1))))
+    return F.transform(
+        least, lambda v: F.shiftleft(sample(v), _ID_BITS).bitwiseOR(v.bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
     )
 
 
 def with_samples(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the fingerprint of a not null text column as ``array<long>``; empty if it has no words."""
-    w, s, p, q = (f"_{out}_{x}" for x in "wspq")
+    w, s, p, q, a = (f"_{out}_{x}" for x in "wspqa")
     spaced = F.translate(F.col(text), "\t\n\x0b\x0c\r", "     ")
     df = df.withColumn(w, F.array_remove(F.split(spaced, " "), ""))
     df = df.withColumn(s, F.sort_array(F.transform(w, lambda x, i: F.xxhash64(x, F.get(F.col(w), i + 1)))))
@@ -58,20 +87,22 @@ def with_samples(df: DataFrame, text: str, out: str) -> DataFrame:
         F.sequence(F.lit(0), F.size(s) - 1), lambda i: ~F.get(F.col(s), i).eqNullSafe(F.get(F.col(s), i - 1))
     )
     df = df.withColumn(p, F.when(F.size(s) > 0, begins).otherwise(F.array().cast("array<int>")))
-    weighed = F.transform(
+    items = F.transform(
         p,
-        lambda i, j: _sample(
-            F.get(F.col(s), i), (F.coalesce(F.get(F.col(p), j + 1), F.size(F.col(s))) - i).cast("double")
+        lambda i, j: F.transform(
+            F.sequence(F.lit(1), F.coalesce(F.get(F.col(p), j + 1), F.size(F.col(s))) - i),
+            lambda c: F.xxhash64(F.get(F.col(s), i), c),
         ),
     )
-    df = df.withColumn(q, F.sort_array(weighed))
-    stratum = lambda v: F.shiftright(v, _A_BITS + _ID_BITS)
-    least = F.filter(q, lambda v, i: ~stratum(v).eqNullSafe(stratum(F.get(F.col(q), i - 1))))
-    short = F.transform(
-        least,
-        lambda v: F.shiftleft(stratum(v), _ID_BITS).bitwiseOR(v.bitwiseAND(F.lit((1 << _ID_BITS) - 1))),
-    )
-    return df.withColumn(out, short).drop(w, s, p, q)
+    df = df.withColumn(q, F.flatten(items))
+    n = F.size(q)
+    few = lambda each: F.sort_array(_arrivals(F.col(q), n.cast("double"), each))
+    none = F.array().cast("array<bigint>")
+    df = df.withColumn(a, F.when(n > 0, few(ENOUGH)).otherwise(none))
+    df = df.withColumn(out, _samples(a))
+    short = (n > 0) & (F.size(out) < SAMPLES)
+    df = df.withColumn(a, F.when(short, few(CERTAIN)).otherwise(none))
+    return df.withColumn(out, F.when(short, _samples(a)).otherwise(F.col(out))).drop(w, s, p, q, a)
 
 
 def spelled(samples: Column) -> Column:
@@ -80,9 +111,8 @@ def spelled(samples: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples among the strata that either has; 1 if neither has words."""
-    strata = lambda x: F.transform(x, lambda v: F.shiftright(v, _ID_BITS))
-    either = F.size(F.array_union(strata(a), strata(b)))
+    """Share of equal samples; 1 if neither has words."""
+    either = F.greatest(F.size(a), F.size(b))
     return F.when(either > 0, F.size(F.array_intersect(a, b)) / either).otherwise(F.lit(1.0))
 
 
