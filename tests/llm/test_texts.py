@@ -243,3 +243,32 @@ def test_audit(spark):
     assert all(0 <= r["start"] < r["end"] <= whole and r["ours"] != r["theirs"] for r in found)
     assert warc.audit(df, lambda x: x).count() == 0
     assert warc.audit(df.where("false"), lambda x: x).count() == 0
+
+
+def test_audit_of_another_table(spark):
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * (i % 50)) for i in range(300)], "page_id long, url string, html string")
+    ours = warc.records(pages)
+    rows = sorted((r["page_id"], r["record"]) for r in ours.collect())
+
+    def want(theirs):
+        places = []
+        for side in (rows, theirs):
+            ends = np.cumsum([len(x) for _, x in side]).tolist()
+            places.append([(d, x, e - len(x), e) for (d, x), e in zip(side, ends)])
+        places = [p + [None] * (max(map(len, places)) - len(p)) for p in places]
+        return sorted((a or b)[0] for a, b in zip(*places) if a is None or b is None or a[1:] != b[1:])
+
+    def found(replica):
+        return sorted(r["page_id"] for r in warc.audit(pages, replica).collect())
+
+    lost = ours.where("page_id <> 290")
+    cut = ours.withColumn("record", F.expr("IF(page_id = 280, substr(record, 1, 20), record)"))
+    more = ours.union(ours.where("page_id = 297"))
+    assert found(ours) == []
+    for replica, least in ((lost, 10), (cut, 20), (more, 3), (ours.where("page_id <> 299"), 1), (ours.where("false"), 300)):
+        theirs = sorted((r["page_id"], r["record"]) for r in replica.collect())
+        assert found(replica) == want(theirs) and len(want(theirs)) == least
+    gone = warc.audit(pages, lambda x: F.when(~x.contains("URI: u17\r"), x)).collect()
+    assert [(r["page_id"], r["theirs"]) for r in gone] == [(17, None)]
+    last = warc.audit(pages.where("false"), ours.where("page_id = 3")).collect()
+    assert [(r["page_id"], r["ours"], r["their_start"]) for r in last] == [(3, None, 0)]

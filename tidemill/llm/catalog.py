@@ -75,7 +75,8 @@ def op5(table):
 
 @query("op3_merkle_audit", warc.SQL)
 def op3(table):
-    return warc.audit(table("pages").select("page_id", "url", "html"), warc.damaged(97, 5, F.col("page_id")))
+    found = warc.audit(table("pages").select("page_id", "url", "html"), warc.damaged(97, 5, F.col("page_id")))
+    return found.select("page_id", "start", "end", "ours", "theirs")
 
 
 @query("op6_topk_search")

@@ -2,7 +2,7 @@
 
 Pages become WARC response records; in the order of their ids each has a row number and an
 offset range in the archive. A replica is audited by hashing what it has in the archive's
-ranges: leaves are the records' SHA-256, and a node of the tree hashes the offset range it
+ranges, or as an archive of its own: leaves are the records' SHA-256, and a node of the tree hashes the offset range it
 covers and its up to ``FAN`` children in order. Trees of both replicas are built level by
 level, each level ``FAN`` times smaller. The audit compares the roots and, from the top, looks
 only below the nodes that differ, down to the records.
@@ -38,55 +38,81 @@ def record(url: Column, html: Column) -> Column:
     return F.concat(*header, body, F.lit(EOL + EOL))
 
 
+def records(pages: DataFrame) -> DataFrame:
+    """``page_id`` and ``record`` of each page."""
+    return pages.select("page_id", record(F.col("url"), F.col("html")).alias("record"))
+
+
 def _level(below: DataFrame, number: int) -> DataFrame:
-    children = F.array_sort(F.collect_list(F.struct("node", "start", "end", "ours", "theirs")))
+    ranges = ("start", "end", "their_start", "their_end")
+    children = F.array_sort(F.collect_list(F.struct("node", *ranges, "ours", "theirs")))
     grouped = below.groupBy(F.floor(F.col("node") / FAN).cast("long").alias("node")).agg(children.alias("c"))
-    start, end = F.col("c")[0]["start"], F.element_at("c", -1)["end"]
-    joined = lambda side: F.sha2(
-        F.concat(start.cast("string"), F.lit("-"), end.cast("string"), F.lit(":"), F.array_join(F.col(f"c.{side}"), "")), 256
-    )
-    return grouped.select("node", start.alias("start"), end.alias("end"), joined("ours").alias("ours"), joined("theirs").alias("theirs"))
+    grouped = grouped.select("node", "c", *((F.array_min if x.endswith("start") else F.array_max)(f"c.{x}").alias(x) for x in ranges))
+
+    def joined(side: str, start: str, end: str) -> Column:
+        hashes = F.col(f"c.{side}")
+        covered = F.concat(F.col(start).cast("string"), F.lit("-"), F.col(end).cast("string"), F.lit(":"), F.array_join(hashes, "", "-"))
+        return F.when(F.array_max(hashes).isNotNull(), F.sha2(covered, 256)).alias(side)
+
+    return grouped.select("node", *ranges, joined("ours", "start", "end"), joined("theirs", "their_start", "their_end"))
 
 
 def trees(leaves: DataFrame) -> list[DataFrame]:
-    """Levels of both trees over ``node``, ``start``, ``end``, ``ours``, ``theirs``; the last has one node."""
+    """Levels of both trees over ``node``, the ranges, ``ours``, ``theirs``; the last has one node."""
     levels = [leaves]
     while levels[-1].limit(2).count() > 1:
         levels.append(write_settled(_level(levels[-1], len(levels)), "tree"))
     return levels
 
 
+def _differs() -> Column:
+    same = F.col("ours").eqNullSafe(F.col("theirs"))
+    return ~(same & F.col("start").eqNullSafe(F.col("their_start")) & F.col("end").eqNullSafe(F.col("their_end")))
+
+
 def descend(levels: list[DataFrame]) -> DataFrame:
     """The leaves that differ, found from the root through differing nodes only."""
-    found = levels[-1].where("ours <> theirs")
+    found = levels[-1].where(_differs())
     for below in reversed(levels[:-1]):
         parents = found.select(F.col("node").alias("_parent"))
         under = F.floor(F.col("node") / FAN).cast("long")
-        found = below.where("ours <> theirs").join(parents, under == F.col("_parent"), "left_semi")
+        found = below.where(_differs()).join(parents, under == F.col("_parent"), "left_semi")
     return found
 
 
-def audit(pages: DataFrame, replica: Callable[[Column], Column]) -> DataFrame:
-    """``page_id``, ``start``, ``end``, ``ours`` and ``theirs`` of each record whose replica differs.
+def _archived(rows: DataFrame, *more: Column) -> DataFrame:
+    """Hashes of ``record``, in the order of ids, each with its row and offset range."""
+    size, sha = F.octet_length("record").cast("long").alias("size"), F.sha2("record", 256).alias("sha")
+    hashed = write_settled(rows.select("page_id", size, sha, *more), "records")
+    placed = positions(hashed, [F.col("page_id"), F.col("sha")], "size")
+    drop_settled(hashed)
+    return placed.select(F.col(ROW).alias("node"), "page_id", (F.col(END) - F.col("size")).alias("start"), F.col(END).alias("end"), *placed.columns[2:-2])
+
 
-    Needs ``page_id``, ``url`` and ``html``. ``replica`` gives the replica's record from ours (as it
-    would be read in the same range). Null ids come last in the archive; repeated rows are records
-    of their own; equal trees and an empty table give an empty result.
+def audit(pages: DataFrame, replica: DataFrame | Callable[[Column], Column]) -> DataFrame:
+    """``page_id``, ``start``, ``end``, ``ours``, ``theirs``, ``their_start`` and ``their_end`` of each record that differs.
+
+    Needs ``page_id``, ``url`` and ``html``. ``replica`` is a table of ``page_id`` and ``record``, an
+    archive with its own order and offsets, or a function that gives the replica's record from ours
+    as read in the same range (null: lost). Trees are compared row by row of the archives: a lost,
+    additional or longer record shifts what follows, and all of that is reported. Where one side
+    has no record its hash and range are null; ``page_id`` is then the other side's. Null ids come
+    last in an archive; repeated rows are records of their own; a null record is none. Equal trees
+    and empty tables give an empty result.
     """
-    whole = record(F.col("url"), F.col("html"))
-    hashed = pages.select("page_id", whole.alias("_record")).select(
-        "page_id",
-        F.octet_length("_record").cast("long").alias("size"),
-        F.sha2("_record", 256).alias("ours"),
-        F.sha2(replica(F.col("_record")), 256).alias("theirs"),
-    )
-    hashed = write_settled(hashed, "records")
-    placed = positions(hashed, [F.col("page_id"), F.col("ours")], "size")
-    drop_settled(hashed)
-    leaves = placed.select(
-        F.col(ROW).alias("node"), (F.col(END) - F.col("size")).alias("start"), F.col(END).alias("end"), "ours", "theirs", "page_id"
-    )
-    return descend(trees(leaves)).select("page_id", "start", "end", "ours", "theirs")
+    if isinstance(replica, DataFrame):
+        own = _archived(records(pages)).withColumnRenamed("sha", "ours")
+        names = {"page_id": "their_id", "start": "their_start", "end": "their_end", "sha": "theirs"}
+        other = _archived(replica.where("record IS NOT NULL")).withColumnsRenamed(names)
+        page_id = F.when(F.col("ours").isNull(), F.col("their_id")).otherwise(F.col("page_id")).alias("page_id")
+        both = own.join(other, "node", "full_outer")
+        leaves = write_settled(both.select("node", page_id, "start", "end", "ours", "theirs", "their_start", "their_end"), "leaves")
+    else:
+        theirs = F.sha2(replica(F.col("record")), 256).alias("theirs")
+        there = lambda x: F.when(F.col("theirs").isNotNull(), F.col(x)).alias(f"their_{x}")
+        own = _archived(records(pages), theirs).withColumnRenamed("sha", "ours")
+        leaves = own.select("node", "page_id", "start", "end", "ours", "theirs", there("start"), there("end"))
+    return descend(trees(leaves)).drop("node")
 
 
 def damaged(every: int, which: int, page_id: Column) -> Callable[[Column], Column]:
