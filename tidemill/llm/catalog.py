@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .keys import short_batches
-from . import fingerprints, minhash, mixing, packing, quality, repeats, search, sharding, toxicity, warc
+from . import fingerprints, identifiers, maxscore, minhash, mixing, packing, quality, repeats, search, sharding, toxicity, vectorcodes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,21 @@ def op3(table):
 def op6(table):
     docs = table("documents").select(F.col("doc_id").alias("id"), "text")
     return search.search(docs, docs.where("id % 20 = 0"))
+
+
+@query("op11_identifiers")
+def op11(table):
+    return identifiers.report(table("documents"))
+
+
+@query("op12_vector_codes", vectorcodes.SQL)
+def op12(table):
+    return vectorcodes.compress(table("embeddings"))
+
+
+@query("op13_ranked_search", maxscore.SQL)
+def op13(table):
+    docs = table("documents").select(F.expr("try_cast(doc_id AS bigint)").alias("id"), "text")
+    items = table("benchmark").select(F.expr("try_cast(item_id AS bigint)").alias("id"), "text")
+    found = maxscore.search(docs, items)
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")

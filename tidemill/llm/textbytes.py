@@ -78,11 +78,14 @@ def hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((sums[end] - sums[begin]) * down[begin])
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each lower-cased word, the text it is in, and its end; ``starts`` from 0."""
+def words(data: np.ndarray, starts: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each lower-cased word, the text it is in, and its end; ``starts`` from 0.
+
+    ``gap`` says for each byte value whether it stands between words.
+    """
     low = _LOWER[data]
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~gap[data]
     first = inside[1:] & ~inside[:-1]  # a word begins
     last = inside[:-1] & ~inside[1:]  # a word has ended
     edge = starts[1:-1]  # texts end words too
