@@ -130,3 +130,20 @@ def test_pack(odd, nothing):
         q.sort()
         assert [o for o, _ in q] == np.cumsum([0] + [n for _, n in q])[:-1].tolist() and sum(n for _, n in q) <= 1024
     assert packing.pack(nothing).count() == 0
+
+
+def test_two_thousand_windows(spark):
+    ends = np.cumsum(np.random.default_rng(4).integers(1, 90, 30_000))
+    table = spark.createDataFrame([(int(e), i) for i, e in enumerate(ends)], "_end long, _row long").repartition(7)
+    bounds = sorted(np.random.default_rng(5).choice(int(ends[-1]), 4_000, replace=False).tolist())
+    windows = list(zip(bounds[::2], bounds[1::2]))
+    for detail in (500, 8_192):
+        each = max(1, detail // len(windows))
+        want = []
+        for low, high in windows:
+            width = max(1, -(-(high - low) // each))
+            slices = {}
+            for i in range(np.searchsorted(ends, low, "right"), np.searchsorted(ends, high, "right")):
+                slices.setdefault((int(ends[i]) - low - 1) // width, []).append(i)
+            want += [(int(ends[s[0]]), s[0] + 1, int(ends[s[-1]]), s[-1] + 1, len(s)) for s in slices.values()]
+        assert sorted(sharding._ask(table, windows, detail)) == sorted(want)

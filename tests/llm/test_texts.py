@@ -133,7 +133,8 @@ def _repeats(rows, length):
 
 
 @pytest.mark.parametrize("length,core,collection", [(400, 200, 2000), (40, 20, 50), (60, 20, 3)])
-def test_repeats(spark, documents, length, core, collection):
+def test_repeats(spark, documents, length, core, collection, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 20)
     rng = np.random.default_rng(5)
     tangle = [(10_000 + i, "".join(rng.choice(["abcdefghij" * 3, "klmnopqrs" * 4, "tuv" * 9], rng.integers(1, 12)))) for i in range(40)]
     docs = documents.select("doc_id", "text").limit(120).union(spark.createDataFrame(tangle, "doc_id long, text string"))
@@ -143,10 +144,9 @@ def test_repeats(spark, documents, length, core, collection):
     assert sorted(tuple(r) for r in found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) == sorted(_repeats(rows, length))
 
 
-def test_repeats_odd(odd, nothing, monkeypatch):
-    monkeypatch.setattr(repeats, "PIECE", 10_000)
+def test_repeats_odd(odd, nothing):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
-    found = repeats.deduplicated(odd).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    found = repeats.deduplicated(odd, piece=10_000).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert Counter(map(tuple, found)) == Counter(_repeats(rows, 400))
     assert repeats.deduplicated(nothing).count() == 0
     left = repeats.without_repeats(odd)

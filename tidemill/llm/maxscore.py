@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
 from . import textbytes
+from .order import END, ROW, positions
 
 BLOCK = 64
 SHARD = 16 << 20  # bytes of text in a shard; a longer text is a shard of its own
@@ -280,24 +281,10 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def _blocked(asked: DataFrame, terms: int) -> DataFrame:
-    """``asked`` with ``block``, runs of queries of about ``terms`` terms."""
-    total = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        block, held = TaskContext.get().partitionId() << 33, 0
-        for batch in batches:
-            of = []
-            for size in batch.column("terms").value_lengths().to_pylist():
-                if held and held + size > terms:
-                    block, held = block + 1, 0
-                held += size
-                of.append(block)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, pa.int64())], names=[*batch.schema.names, "block"])
-
-    dealt = asked.where(F.size("terms") > 0).repartition(1 + total // terms, "query")
-    return dealt.mapInArrow(number, "query long, id long, terms array<long>, times array<long>, block long")
+    """``asked`` with ``block``, runs of queries of ``terms`` terms and at most one query more, however they are partitioned."""
+    sized = asked.where(F.size("terms") > 0).withColumn("_size", F.size("terms").cast("long"))
+    placed = positions(sized, [F.col("query")], "_size")
+    return placed.withColumn("block", F.floor((F.col(END) - 1) / F.lit(terms)).cast("long")).drop("_size", ROW, END)
 
 
 def _frequencies(shards: DataFrame, terms: np.ndarray) -> dict[int, int]:
@@ -353,7 +340,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     n, total = corpus_size(docs)
     shards = write_settled(index(docs.select("id", "text"), n, total), "postings")
     asked = write_settled(query_terms(queries), "asked")
-    blocked = write_settled(_blocked(asked, TERMS), "asked")
+    blocked = _blocked(asked, TERMS)
     found = []
     for (block,) in sorted(blocked.select("block").distinct().collect()):
         rows = blocked.where(F.col("block") == block).select("query", "terms", "times").collect()
@@ -365,7 +352,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             for r in rows
         ]
         found.append(write_settled(_ask(shards, rows, weights, n, total, k), "heaps"))
-    drop_settled(shards, blocked)
+    drop_settled(shards)
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
     merged = found[0]

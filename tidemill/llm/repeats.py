@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_settled, write_settled
@@ -42,6 +42,7 @@ from .keys import text_key
 
 CORE = 200
 COLLECTION = 2_000  # stretches ordered together
+HOT = 1_024  # an anchor with more than 1/HOT of all rows is hot: there are fewer than HOT of them
 PIECE = 1 << 20  # bytes of one text looked at together (positions take 24 bits)
 
 _TABLES: list[tuple[SparkSession, str]] = []
@@ -84,14 +85,13 @@ def anchors_of(data: np.ndarray, starts: np.ndarray, length: int, core: int) ->
     return text, hashed[core_at].astype(np.int64), core_at - begin, first - begin, last - begin
 
 
-def _pieces(size: int, length: int) -> Iterator[tuple[int, int]]:
+def _pieces(size: int, length: int, piece: int) -> Iterator[tuple[int, int]]:
     """Overlapping pieces of a long text, such that each window lies in exactly one as a start."""
-    step = PIECE - length + 1
-    for begin in range(0, max(1, size - length + 1), step):
-        yield begin, min(size, begin + PIECE)
+    for begin in range(0, max(1, size - length + 1), piece - length + 1):
+        yield begin, min(size, begin + piece)
 
 
-def _anchor_rows(length: int, core: int):
+def _anchor_rows(length: int, core: int, piece: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = textbytes.buffer(batch.column("text"))
@@ -100,7 +100,7 @@ def _anchor_rows(length: int, core: int):
                 if j == i + 1:
                     parts = [
                         (i, shift, anchors_of(data[starts[i] + shift : starts[i] + end], np.array([0, end - shift]), length, core))
-                        for shift, end in _pieces(int(starts[j] - starts[i]), length)
+                        for shift, end in _pieces(int(starts[j] - starts[i]), length, piece)
                     ]
                 else:
                     parts = [(i, 0, anchors_of(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], length, core))]
@@ -308,7 +308,15 @@ def _drop_tables() -> None:
     _TABLES.clear()
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION) -> tuple[DataFrame, DataFrame]:
+def _hot(counts: DataFrame, rows: int) -> Column:
+    """Whether ``key`` has more than 1/HOT of all rows: fewer than HOT keys, whose rows then stay where they are."""
+    keys = [k for (k,) in counts.where(F.col("n") * HOT > rows).select("key").collect()]
+    return F.col("key").isin(keys) if keys else F.lit(False)
+
+
+def repeated_spans(
+    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE
+) -> tuple[DataFrame, DataFrame]:
     """The distinct texts (``_h1``, ``_h2``, ``text``, ``m`` rows) and what is removed from each
     (``n_bytes``, ``n_removed``, ``begins`` and ``ends`` of the removed runs, ``kept_sha256``)."""
     texts = docs.select(*text_key(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -316,12 +324,13 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collect
     long = texts.where(F.octet_length("text") >= length)
     anchors = write_settled(
         long.select("_h1", "_h2", "text").mapInArrow(
-            _anchor_rows(length, core), "key long, _h1 long, _h2 long, at long, first long, last long"
+            _anchor_rows(length, core, piece), "key long, _h1 long, _h2 long, at long, first long, last long"
         ),
         "anchors",
     )
-    twice = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    found = anchors.join(twice, "key", "left_semi")
+    twice = write_settled(anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    hot = _hot(twice, anchors.count())
+    found = anchors.where(hot).union(anchors.where(~hot).join(twice.where(~hot).select("key"), "key", "left_semi"))
     by_text = found.groupBy("_h1", "_h2").agg(F.collect_list(F.struct("key", "at", "first", "last")).alias("anchors"))
     pieces = write_settled(
         texts.select("_h1", "_h2", "text").join(by_text, ["_h1", "_h2"]).mapInArrow(
@@ -331,8 +340,10 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collect
     )
     distinct = pieces.groupBy("key", "sid").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("m"))
     distinct = write_settled(distinct, "distinct")
-    per_key = distinct.groupBy("key").agg(F.count("*").alias("n"))
-    counted = distinct.join(per_key, "key")
+    per_key = write_settled(distinct.groupBy("key").agg(F.count("*").alias("n")), "per-key")
+    hot = _hot(per_key.where(F.col("n") > collection), distinct.count())
+    counted = distinct.where(~hot).join(per_key.where(~hot), "key")
+    crowded = distinct.where(hot).withColumn("n", F.lit(collection + 1).cast("long"))
     # Stretches that are alone with their anchor are ordered by their number alone.
     alone = counted.where("n = 1 AND m > 1").select(
         "sid", F.lit(0).cast("long").alias("from"),
@@ -342,7 +353,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collect
     judged = several.repartition("key").sortWithinPartitions("key").mapInPandas(
         _ordered(length, core, collection), "sid binary, from long, to long"
     )
-    many = counted.where(F.col("n") > collection).drop("n").mapInArrow(
+    many = counted.where(F.col("n") > collection).unionByName(crowded).drop("n").mapInArrow(
         _windows(length, core), "window binary, sid binary, from long, m long"
     )
     again = many.groupBy("window").agg(F.sum("m").alias("_n")).where("_n > 1")
@@ -360,18 +371,20 @@ def repeated_spans(docs: DataFrame, length: int = 400, core: int = CORE, collect
         "_h1 long, _h2 long, n_bytes long, n_removed long, begins array<long>, ends array<long>, kept_sha256 string",
     )
     results = write_settled(results, "removed")
-    drop_settled(anchors, distinct, pieces, runs)
+    drop_settled(anchors, twice, distinct, per_key, pieces, runs)
     return texts, results
 
 
-def deduplicated(docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE
+) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` for each row.
 
     Needs ``doc_id`` and ``text``; other columns are ignored. A null text is empty. Texts
     shorter than ``length`` lose nothing. Repeated rows repeat each other, so all their windows
     are removed. A null ``doc_id`` is kept. An empty table gives an empty result.
     """
-    texts, results = repeated_spans(docs, length, core, collection)
+    texts, results = repeated_spans(docs, length, core, collection, piece)
     _drop_table(texts)
     named = results.select("_h1", "_h2", "n_bytes", "n_removed", F.size("begins").cast("long").alias("n_spans"), "kept_sha256")
     return docs.select("doc_id", *text_key()).join(named, ["_h1", "_h2"]).drop("_h1", "_h2")

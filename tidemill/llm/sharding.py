@@ -16,7 +16,10 @@ group larger than a fair share does not leave other shards empty.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,19 +120,33 @@ def _windows(order: _Order, stretches: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def _ask(ends: DataFrame, windows: list[tuple[int, int]], detail: int) -> list[tuple]:
-    """First and last group end of each slice of the windows: at most ``detail`` slices."""
+    """First and last group end of each slice of the windows: at most ``detail`` slices, or one a window.
+
+    Tasks look slices up in the sorted bounds, so neither plan nor cost a row grows with the windows.
+    """
     each = max(1, detail // len(windows))
-    slice_of = F.lit(None).cast("long")
-    for k, (low, high) in enumerate(windows):
-        width = max(1, -(-(high - low) // each))
-        inside = (F.col(END) > low) & (F.col(END) <= high)
-        number = F.floor((F.col(END) - low - 1) / F.lit(width)).cast("long")
-        slice_of = F.when(inside, F.lit(k * each) + number).otherwise(slice_of)
+    low, high = (np.array(x, np.int64) for x in zip(*windows))
+    width = np.maximum(1, -(-(high - low) // each))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            end, row = (np.asarray(batch.column(c), np.int64) for c in (END, ROW))
+            at = np.searchsorted(low, end) - 1  # the last window that begins below
+            inside = (at >= 0) & (end <= high[at])
+            end, row, at = end[inside], row[inside], at[inside]
+            number = at * each + (end - low[at] - 1) // width[at]
+            order = np.lexsort((end, number))
+            end, row, number = end[order], row[order], number[order]
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            last = np.append(first[1:], len(number)) - 1 if len(first) else first
+            columns = [number[first], end[first], row[first], end[last], row[last], last - first + 1]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["slice", "a", "a_row", "b", "b_row", "n"])
+
     found = (
-        ends.withColumn("_slice", slice_of)
-        .where("_slice IS NOT NULL")
-        .groupBy("_slice")
-        .agg(F.min(END), F.min(ROW), F.max(END), F.max(ROW), F.count("*"))
+        ends.select(END, ROW)
+        .mapInArrow(look, "slice long, a long, a_row long, b long, b_row long, n long")
+        .groupBy("slice")
+        .agg(F.min("a"), F.min("a_row"), F.max("b"), F.max("b_row"), F.sum("n"))
     )
     return [(a, b + 1, c, d + 1, n) for _, a, b, c, d, n in found.collect()]
 
@@ -176,9 +193,7 @@ def shard(docs: DataFrame, shards: int = 24, detail: int = DETAIL) -> DataFrame:
             order.add(_ask(ends, asked, detail), asked)
         row_at = dict(zip(order.ends, order.rows))
         cuts, starts = chosen, [0, *(row_at[c] for c in chosen[:-1])]
-    number = F.lit(0)
-    for c in cuts[:-1]:
-        number = number + F.when(F.col(END) > c, 1).otherwise(0)
+    number = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts[:-1]]), lambda c: c < F.col(END)))
     first = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("shard") + 1)
     drop_settled(ends)
     return (
