@@ -121,6 +121,72 @@ def solve(xx: np.ndarray, xy: np.ndarray, penalty: np.ndarray | float = 0.0) ->
         return np.linalg.lstsq(system, xy, rcond=None)[0]
 
 
+class Growing:
+    """Penalised least squares over a growing set of rows: each row learned, and each set of
+    coefficients, costs O(p^2).
+
+    The inverse of the penalised matrix follows each row by a rank-one update and is built anew
+    every ``REFRESH`` rows. Coefficients are refined against the exact matrix until their
+    residual is as small as a full solve leaves it; if that fails, the inverse is built anew, and
+    a system without an inverse is solved in full.
+    """
+
+    REFRESH = 512
+    CLOSE = 1e-12
+
+    def __init__(self, total: np.ndarray, penalty: np.ndarray, columns: Sequence[int]):
+        self.total, self.penalty = np.array(total, dtype=float), penalty
+        self.choose(columns)
+
+    def choose(self, columns: Sequence[int]) -> None:
+        """Fit these columns only; the coefficients of the others are zero."""
+        self.columns = np.asarray(columns)
+        self.system = self.total[np.ix_(self.columns, self.columns)] + np.diag(self.penalty[self.columns])
+        self.label = self.total[self.columns, -1]
+        self._invert()
+
+    def _invert(self) -> None:
+        self.age = 0
+        try:
+            self.inverse = np.linalg.inv(self.system)
+        except np.linalg.LinAlgError:
+            self.inverse = None
+
+    def learn(self, row: np.ndarray) -> None:
+        """Add ``[1, features..., label]``."""
+        self.total += np.outer(row, row)
+        x = row[self.columns]
+        self.system += np.outer(x, x)
+        self.label = self.label + x * row[-1]
+        self.age += 1
+        if self.inverse is None or self.age >= self.REFRESH:
+            self._invert()
+        else:
+            gain = self.inverse @ x
+            self.inverse -= np.outer(gain, gain / (1.0 + x @ gain))
+
+    def beta(self) -> np.ndarray:
+        found = np.zeros(len(self.total) - 1)
+        found[self.columns] = self._coefficients()
+        return found
+
+    def _coefficients(self) -> np.ndarray:
+        aim = self.CLOSE * max(np.abs(self.label).max(), np.finfo(float).tiny)
+        for _ in range(2):
+            if self.inverse is None:
+                break
+            b = self.inverse @ self.label
+            for _ in range(4):
+                short = self.label - self.system @ b
+                if np.abs(short).max() <= aim:
+                    return b
+                b = b + self.inverse @ short
+            if np.abs(self.label - self.system @ b).max() <= aim:
+                return b
+            self._invert()
+        return solve(self.system, self.label)
+
+
 def loss_sum(full: np.ndarray, beta: np.ndarray) -> float:
     """Sum of squared residuals of ``beta`` on the rows behind the matrix."""
     xx, xy, yy = full[:-1, :-1], full[:-1, -1], full[-1, -1]

@@ -569,7 +569,7 @@ HOLIDAYS = f"""SELECT y AS year, name, holiday FROM (
 YEARS = "SELECT unnest(generate_series((SELECT min(year(o_orderdate)) FROM orders), (SELECT max(year(o_orderdate)) FROM orders))) AS y"
 
 
-def _orders_holidays(t: Tables) -> DataFrame:
+def orders_holidays(t: Tables) -> DataFrame:
     return dimensions.holiday_dimension(dimensions.years_of(t("orders"), "o_orderdate"))
 
 
@@ -583,7 +583,7 @@ def _orders_holidays(t: Tables) -> DataFrame:
     ),
 )
 def j7(t: Tables) -> DataFrame:
-    return joins.holiday_or_weekend(views.daily_orders(t).select("day"), "day", _orders_holidays(t))
+    return joins.holiday_or_weekend(views.daily_orders(t).select("day"), "day", orders_holidays(t))
 
 
 @query(
@@ -592,7 +592,7 @@ def j7(t: Tables) -> DataFrame:
 )
 def j7_none(t: Tables) -> DataFrame:
     return joins.holiday_or_weekend(
-        views.daily_orders(t).select("day"), "day", _orders_holidays(t), match="none"
+        views.daily_orders(t).select("day"), "day", orders_holidays(t), match="none"
     )
 
 
@@ -918,7 +918,7 @@ def c13(t: Tables) -> DataFrame:
     f"WITH years AS ({YEARS}), holidays AS ({HOLIDAYS}) SELECT year::INTEGER AS year, name, holiday::TIMESTAMP AS holiday FROM holidays",
 )
 def d1(t: Tables) -> DataFrame:
-    return _orders_holidays(t).withColumn("holiday", F.col("holiday").cast("timestamp_ntz"))
+    return orders_holidays(t).withColumn("holiday", F.col("holiday").cast("timestamp_ntz"))
 
 
 ORDER_PLACES = f"""SELECT DISTINCT {PLACE_COLUMNS}, o_orderdate::DATE AS day FROM orders

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar
 from ..models import additive, evaluate, lagged, walkforward
-from ..operators import blocks, columns, quality, stationarity
+from ..operators import blocks, columns, joins, quality, stationarity
 from ..sources import tables
-from . import views
+from . import basics, views
 from .registry import Tables, query, rounded
 from .views import DAILY, ONE_SERIES, RAW, TEST_YEAR, with_views
 
@@ -584,30 +584,67 @@ def t2(t: Tables) -> DataFrame:
 
 # --- walk-forward ----------------------------------------------------------------------
 
-SMALL = additive.Spec(regressors=("weekend",), changepoints=5, yearly_order=0, weekly_order=3)
-P = _width(SMALL)
+# As the walk-forward experiment has it: all seasonal terms, all daily regressors, a loose trend.
+SEASONS = ("spring", "summer", "winter")  # autumn is the dropped first
+FULL = additive.with_regressors(
+    additive.Spec(changepoint_prior_scale=5.0), ["is_holiday_or_weekend_True", *(f"season_{s}" for s in SEASONS)]
+)
+P = _width(FULL)
+
+
+def _featured_series(t: Tables) -> DataFrame:
+    """The series with the encoded daily regressors: holiday or weekend, and seasons."""
+    rows = joins.holiday_or_weekend(_series(t), "ds", basics.orders_holidays(t), out="_free")
+    flags = {f"season_{s}": (calendar.season("ds") == s).cast("double") for s in SEASONS}
+    flagged = rows.withColumns({"is_holiday_or_weekend_True": F.col("_free").cast("double"), **flags})
+    return blocks.settle(flagged.drop("_free", "weekend"))
+
+
+FULL_SERIES = """SELECT segment, day AS ds, revenue AS y, year(day) = 2001 AS is_test,
+    CAST(isodow(day) > 5 OR EXISTS (SELECT 1 FROM holidays h WHERE h.holiday = day::DATE) AS DOUBLE) AS "is_holiday_or_weekend_True",
+    CAST(month(day) IN (3, 4, 5) AS DOUBLE) AS season_spring, CAST(month(day) IN (6, 7, 8) AS DOUBLE) AS season_summer,
+    CAST(month(day) IN (12, 1, 2) AS DOUBLE) AS season_winter FROM segment_dense"""
+
+# The inverse of the training matrix, then one rank-one update a test row.
 WALK_CTES = {
-    **additive_ctes(5, 0, 3, ["weekend"]),
-    "running": f"""SELECT segment, ds, is_test, i, j, sum(CASE WHEN y IS NOT NULL THEN x[i] * x[j] ELSE 0 END) OVER
-        (PARTITION BY segment, i, j ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS v
-        FROM vectors, range(1, {P + 2}) a(i), range(1, {P + 2}) b(j)""",
-    "totals": "SELECT segment, ds, i, j, v FROM running WHERE is_test",
-    "matrix": f"""SELECT segment, ds, list(cells ORDER BY i) AS m FROM (SELECT segment, ds, i,
-        list(v + CASE WHEN i = j THEN ({penalty_sql(SMALL)})[i] ELSE 0 END ORDER BY j) AS cells FROM totals WHERE i <= {P} GROUP BY ALL) GROUP BY ALL""",
-    **eliminate_sql(str(P), "segment, ds"),
-    "labels_of": f"SELECT segment, ds, list(v ORDER BY i) AS xy FROM totals WHERE j = {P + 1} GROUP BY 1, 2",
-    "squares": f"""SELECT segment, ds, list(cells ORDER BY i) AS m FROM (SELECT segment, ds, i, list(v ORDER BY j) AS cells
-        FROM totals GROUP BY ALL) GROUP BY ALL""",
-    "folds": f"""SELECT v.segment, v.ds, y AS actual, list_dot_product(beta, x[1:{P}]) * size AS yhat, beta, size, m[1][1]::BIGINT AS n_train,
-        size * sqrt((m[{P + 1}][{P + 1}] - 2 * list_dot_product(beta, m[{P + 1}][1:{P}])
-          + list_sum(list_transform(beta, lambda b, i: b * list_dot_product(m[i][1:{P}], beta)))) / m[1][1]) AS sigma
-        FROM vectors v JOIN beta b ON v.segment = b.segment AND v.ds = b.ds JOIN squares s ON v.segment = s.segment AND v.ds = s.ds""",
+    "years": basics.YEARS,
+    "holidays": basics.HOLIDAYS,
+    **additive_ctes(25, 10, 3, [f'"{r}"' for r in FULL.regressors]),
+    "series": FULL_SERIES,
+    "design": "SELECT segment, x FROM vectors WHERE NOT is_test AND y IS NOT NULL",
+    "sums": f"SELECT segment, i, j, sum(x[i] * x[j]) AS v FROM design, range(1, {P + 2}) a(i), range(1, {P + 2}) b(j) GROUP BY ALL",
+    "matrix": f"""SELECT segment, list(list_concat(cells, list_transform(range(1, {P + 1}), lambda c: CASE WHEN c = i THEN 1.0::DOUBLE ELSE 0 END)) ORDER BY i) AS m
+        FROM (SELECT segment, i, list(v + CASE WHEN i = j THEN ({penalty_sql(FULL)})[i] ELSE 0 END ORDER BY j) AS cells
+              FROM sums WHERE i <= {P} AND j <= {P} GROUP BY ALL) GROUP BY ALL""",
+    "steps": eliminate_sql(str(P), "segment")["steps"],
+    "first": f"""SELECT s.segment, list_transform(o.m, lambda cells: cells[1:{P}]) AS sys,
+          list_transform(s.m, lambda cells: cells[{P + 1}:{2 * P}]) AS inv, xy, yy, n FROM steps s JOIN matrix o ON s.segment = o.segment
+        JOIN (SELECT segment, list(v ORDER BY i) FILTER (i <= {P} AND j = {P + 1}) AS xy, max(v) FILTER (i = {P + 1} AND j = {P + 1}) AS yy,
+              max(v) FILTER (i = 1 AND j = 1)::BIGINT AS n FROM sums GROUP BY 1) l ON s.segment = l.segment WHERE k = {P + 1}""",
+    "tests": f"""SELECT segment, ds, y, size, x[1:{P}] AS v, x[{P + 1}] AS label, row_number() OVER (PARTITION BY segment ORDER BY ds) AS t
+        FROM vectors WHERE is_test""",
+    "runs": """SELECT segment, 1::BIGINT AS t, sys, inv, xy, yy, n FROM first UNION ALL
+        SELECT segment, t + 1,
+          CASE WHEN y IS NULL THEN sys ELSE list_transform(sys, lambda row, i: list_transform(row, lambda c, j: c + v[i] * v[j])) END,
+          CASE WHEN y IS NULL THEN inv ELSE
+            list_transform(inv, lambda row, i: list_transform(row, lambda c, j: c - g[i] * g[j] / (1 + list_dot_product(g, v)))) END,
+          CASE WHEN y IS NULL THEN xy ELSE list_transform(xy, lambda c, i: c + v[i] * label) END,
+          CASE WHEN y IS NULL THEN yy ELSE yy + label * label END, CASE WHEN y IS NULL THEN n ELSE n + 1 END FROM
+        (SELECT r.*, s.y, s.v, s.label, list_transform(inv, lambda row: list_dot_product(row, s.v)) AS g
+         FROM runs r JOIN tests s ON r.segment = s.segment AND r.t = s.t)""",
+    # One step of refinement takes out what the updates of the inverse have rounded away.
+    "solved": """SELECT segment, t, xy, yy, n, list_transform(b, lambda c, i: c + list_dot_product(inv[i], short)) AS beta FROM
+        (SELECT *, list_transform(xy, lambda c, i: c - list_dot_product(sys[i], b)) AS short FROM
+          (SELECT *, list_transform(inv, lambda row: list_dot_product(row, xy)) AS b FROM runs))""",
+    "folds": f"""SELECT s.segment, s.ds, y AS actual, beta, size, n AS n_train, list_dot_product(beta, v) * size AS yhat,
+        size * sqrt((yy - list_dot_product(beta, xy) - list_sum(list_transform(beta, lambda b, i: b * b * ({penalty_sql(FULL)})[i]))) / n) AS sigma
+        FROM tests s JOIN solved r ON s.segment = r.segment AND s.t = r.t""",
 }
 WALK_SQL = {"extra": WALK_CTES, "recursive": True}
 
 
 def _folds(t: Tables) -> DataFrame:
-    return walkforward.walk_forward(_series(t), "is_test", SMALL, series_cols=["segment"], **DAILY)
+    return walkforward.walk_forward(_featured_series(t), "is_test", FULL, series_cols=["segment"], **DAILY)
 
 
 @query(
@@ -667,9 +704,9 @@ def x11(t: Tables) -> DataFrame:
     ),
 )
 def u3(t: Tables) -> DataFrame:
-    rows = _series(t)
-    folds = walkforward.walk_forward(rows, "is_test", SMALL, series_cols=["segment"], **DAILY)
-    found = walkforward.stitched(rows, folds, "is_test", SMALL, series_cols=["segment"])
+    rows = _featured_series(t)
+    folds = walkforward.walk_forward(rows, "is_test", FULL, series_cols=["segment"], **DAILY)
+    found = walkforward.stitched(rows, folds, "is_test", FULL, series_cols=["segment"])
     return rounded(rounded(found, 2, "actual"), 0, "yhat")
 
 
