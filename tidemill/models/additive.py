@@ -16,7 +16,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -324,12 +324,51 @@ def grid_search(
         *grid,
         (gram.mean_loss("test_gram", "beta") * F.col("_size") * F.col("_size")).alias("mse"),
     )
-    from pyspark.sql import Window
-
     # As many rows per series as there are settings.
     order = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy("mse", *grid)
     return scored.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
+def rolling_grid_search(
+    rows: DataFrame,
+    origins: Sequence,
+    spec: Spec,
+    grid: dict[str, Sequence[float]],
+    ts_col: str = "ds",
+    target: str = "y",
+    series_cols: Sequence[str] = (),
+) -> DataFrame:
+    """MSE of every setting over several forecast origins, ranked per series; the test period stays unseen.
+
+    At each origin (a time) the model is fitted on all earlier rows and scored on the rows up to
+    the next origin, the last origin only closing the range: rows from it on are not read.
+    Rows are read once: they are summed into a matrix for each stretch between origins, the
+    matrix to fit at an origin is the sum of those before, and the settings only change
+    penalties. Scaling and knots come from the rows before the first origin.
+    ``mse`` is over all scored rows, ``folds`` how many origins could be scored; a series
+    without a row before the first origin, or without a scored row, has no result.
+    """
+    from ..operators import joins
+
+    at = [F.lit(o).cast("timestamp_ntz") for o in sorted(origins)]
+    clock = utc_clock(ts_col)
+    fold = sum(((clock >= o).cast("int") for o in at), F.lit(0))
+    rows = rows.filter(clock < at[-1])
+    keys = list(series_cols)
+    scales = scaling(rows.filter(clock < at[0]), ts_col, target, keys)
+    # A stretch of a series without usable rows has no matrix and scores nothing.
+    pieces = blocks.settle(_grams(rows.withColumn("_fold", fold), spec, ts_col, target, [*keys, "_fold"], scales, keys))
+    fitting = gram.prefix_grams(pieces.select(*keys, "_fold", "gram"), keys, "_fold")
+    scoring = pieces.filter(F.col("_fold") > 0).select(*keys, "_fold", "_size", F.col("gram").alias("test_gram"))
+    settings = joins.parameter_grid(scoring.join(fitting, [*keys, "_fold"]), grid)
+    held = penalties(spec, terms(spec), *(F.col(c) if c in grid else None for c in ("changepoint_prior_scale", "seasonality_prior_scale")))
+    loss = gram.mean_loss("test_gram", "beta") * F.col("_size") * F.col("_size")
+    n = F.col("test_gram")[0]
+    scored = settings.withColumn("beta", gram.ridge("gram", held)).withColumns({"_loss": loss * n, "_n": n})
+    found = scored.groupBy(*keys, *grid).agg((F.sum("_loss") / F.sum("_n")).alias("mse"), F.count("_loss").alias("folds"))
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("mse", *grid)  # as many rows per series as settings
+    return found.withColumn("rank", F.row_number().over(order).cast("bigint"))
+
+
 def with_regressors(spec: Spec, names: Sequence[str]) -> Spec:
     return replace(spec, regressors=tuple(sorted(names)))

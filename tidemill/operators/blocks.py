@@ -3,14 +3,18 @@
 ``Window.partitionBy(series)`` puts a whole series into one task, and
 ``Window.orderBy(ts)`` the whole table. Here a series is cut instead:
 
-1. *buckets* of time (``chunk``: "hour", "day", "month", ...) are counted, and a window
-   over the small bucket table gives each bucket the number of rows before it, so every
-   row gets its exact position in its series from a sort inside one bucket;
+1. the table is range partitioned by series, time, tie columns and, last, scan position, and
+   sorted within the partitions; partitions are counted by series, and a window over the
+   counts (a row for each series and partition) gives the number of rows before each, so every
+   row gets its exact position. Rows of one series, even of one moment, are cut wherever the
+   ranges end;
 2. *blocks* of ``block_rows`` consecutive positions are windowed independently, each one
    carrying copies of the ``lookback`` rows before it. The copies are filtered out again.
 
-The result equals the single window. The largest unit in one task is a bucket or a
-block, whatever share of the rows one series holds. ``block_rows=None`` is the plain
+The result equals the single window. The largest unit in one task is a range or a
+block, whatever share of the rows one series holds. With ``chunk`` ("hour", "day", "month", ...)
+rows are counted by *buckets* of time instead, which needs no written table but puts a bucket of
+one series into one task. ``block_rows=None`` is the plain
 window, one shuffle cheaper, for series known to be short (a daily calendar of a
 century has 36,525 rows).
 """
@@ -28,10 +32,14 @@ from ..functions import scalar
 from ..session import write_settled
 
 BLOCK_ROWS = 100_000
-CHUNK = "day"
+CHUNK = None
 
 _BUCKET = "_bucket"
 _BEFORE = "_before"
+_PART = "_part"
+_INDEX = "_index"
+_FIRST = "_first"
+_ID_BITS = 33  # of monotonically_increasing_id, that count within a partition
 
 
 def truncate(unit: str, ts: str | Column, like: str = "timestamp_ntz") -> Column:
@@ -93,19 +101,51 @@ def _carry(
     return keyed.join(carried, [*series_cols, _BUCKET], "left")
 
 
+def _ranged(
+    df: DataFrame,
+    series_cols: Sequence[str],
+    ts_col: str,
+    order_cols: Sequence[str],
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """``df`` in order, with ``_part``, the row's ``_index`` there, the ``_first`` index of its series there,
+    and for each aggregate in ``totals`` its sum over all earlier partitions of the series.
+
+    Written once, so that a row keeps its place when tasks are run again.
+    """
+    tie = "_scan"
+    keys = [*series_cols, ts_col, *order_cols, tie]
+    ordered = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = settle(ordered.drop(tie).withColumn(_INDEX, F.monotonically_increasing_id()))
+    part = F.shiftright(_INDEX, _ID_BITS).cast("int")
+    placed = placed.withColumns({_PART: part, _INDEX: F.col(_INDEX).bitwiseAND(F.lit((1 << _ID_BITS) - 1))})
+    per_part = placed.groupBy(*series_cols, _PART).agg(
+        F.min(_INDEX).alias(_FIRST), *[expr.alias(name) for name, expr in totals.items()]
+    )
+    earlier = (
+        Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = per_part.select(*series_cols, _PART, _FIRST, *[F.sum(name).over(earlier).alias(name) for name in totals])
+    return placed.join(carried, [*series_cols, _PART], "left")
+
+
 def with_position(
     df: DataFrame,
     series_cols: Sequence[str],
     ts_col: str,
     out: str = "position",
     order_cols: Sequence[str] = (),
-    chunk: str = CHUNK,
+    chunk: str | None = CHUNK,
     block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """1-based position of each row in its series by time (ties: ``order_cols``)."""
     if block_rows is None:
         plain = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy(ts_col, *order_cols)
         return df.withColumn(out, F.row_number().over(plain).cast("bigint"))
+    if chunk is None:
+        ranged = _ranged(df, series_cols, ts_col, order_cols, {_BEFORE: F.count(F.lit(1))})
+        position = F.col(_INDEX) - F.col(_FIRST) + 1 + F.coalesce(F.col(_BEFORE), F.lit(0))
+        return ranged.withColumn(out, position.cast("bigint")).select(*df.columns, out)
     carried = _carry(df, series_cols, ts_col, chunk, {_BEFORE: F.count(F.lit(1))})
     inside = Window.partitionBy(*series_cols, _BUCKET).orderBy(ts_col, *order_cols)
     position = F.row_number().over(inside).cast("bigint") + F.coalesce(F.col(_BEFORE), F.lit(0))
@@ -130,7 +170,7 @@ def over_blocks(
     lookback: int,
     build: Callable[[WindowSpec], Mapping[str, Column]],
     order_cols: Sequence[str] = (),
-    chunk: str = CHUNK,
+    chunk: str | None = CHUNK,
     block_rows: int | None = BLOCK_ROWS,
     position_col: str | None = None,
 ) -> DataFrame:
@@ -171,7 +211,7 @@ def map_blocks(
     reduce_block: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame],
     schema: str,
     order_cols: Sequence[str] = (),
-    chunk: str = CHUNK,
+    chunk: str | None = CHUNK,
     block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """Reduce each block, in time order, with a numpy function on the executors.
@@ -214,7 +254,7 @@ def running_sum(
     ts_col: str,
     sums: Mapping[str, str],
     order_cols: Sequence[str] = (),
-    chunk: str = CHUNK,
+    chunk: str | None = CHUNK,
     block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``out = running sum of column`` for each ``{out: column}``, nulls counting as nothing."""
@@ -225,14 +265,14 @@ def running_sum(
             .rowsBetween(Window.unboundedPreceding, 0)
         )
         return df.withColumns({out: F.sum(c).over(whole) for out, c in sums.items()})
-    carried = _carry(
-        df, series_cols, ts_col, chunk, {f"_before_{out}": F.sum(c) for out, c in sums.items()}
-    )
-    inside = (
-        Window.partitionBy(*series_cols, _BUCKET)
-        .orderBy(ts_col, *order_cols)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    totals = {f"_before_{out}": F.sum(c) for out, c in sums.items()}
+    if chunk is None:
+        carried = _ranged(df, series_cols, ts_col, order_cols, totals)
+        inside = Window.partitionBy(*series_cols, _PART).orderBy(_INDEX)
+    else:
+        carried = _carry(df, series_cols, ts_col, chunk, totals)
+        inside = Window.partitionBy(*series_cols, _BUCKET).orderBy(ts_col, *order_cols)
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
 
     def total(out: str, column: str) -> Column:
         here, before = F.sum(column).over(inside), F.col(f"_before_{out}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar
-from ..models import additive, evaluate, lagged, walkforward
+from ..models import additive, evaluate, lagged, per_series, walkforward
 from ..operators import blocks, columns, joins, quality, stationarity
 from ..sources import tables
 from . import basics, views
@@ -325,6 +325,52 @@ def x2_elastic(t: Tables) -> DataFrame:
     return lagged.predict(prepared, lagged.fit_elastic(prepared, l1=0.001, l2=0.01))
 
 
+class Periodic:
+    """A model a user may bring: the mean of each weekday and season, beside that of the series."""
+
+    @staticmethod
+    def fit(rows, state):
+        """Sums and counts by cell, going on from those of the rows before."""
+        cells = dict(state or {})
+        known = rows[rows["y"].notna()]
+        for cell, values in known.groupby([known["ds"].dt.dayofweek, known["ds"].dt.month % 12 // 3])["y"]:
+            total, n = cells.get(cell, (0.0, 0))
+            cells[cell] = (total + float(values.sum()), n + len(values))
+        return cells
+
+    @staticmethod
+    def merge(a, b):
+        return {c: tuple(x + y for x, y in zip(a.get(c, (0.0, 0)), b.get(c, (0.0, 0)), strict=True)) for c in {*a, *b}}
+
+    @staticmethod
+    def predict(cells, rows):
+        found = rows[["segment", "ds", "y"]].rename(columns={"y": "actual"})
+        total = sum(t for t, _ in cells.values()) if cells else 0.0
+        n = sum(n for _, n in cells.values()) if cells else 0
+        whole = total / n if n else None
+        own = [(cells or {}).get(cell) for cell in zip(rows["ds"].dt.dayofweek, rows["ds"].dt.month % 12 // 3)]
+        found["predicted"] = [c[0] / c[1] if c else whole for c in own]
+        return found
+
+
+@query(
+    "x2_user_model",
+    with_views(
+        """SELECT t.segment, t.ds, round(t.y, 2) AS actual, round(coalesce(c.m, w.m), 2) AS predicted FROM series t
+           LEFT JOIN (SELECT segment, isodow(ds) AS d, month(ds) % 12 // 3 AS q, avg(y) AS m FROM series WHERE NOT is_test GROUP BY ALL) c
+             ON t.segment = c.segment AND isodow(t.ds) = c.d AND month(t.ds) % 12 // 3 = c.q
+           LEFT JOIN (SELECT segment, avg(y) AS m FROM series WHERE NOT is_test GROUP BY ALL) w ON t.segment = w.segment WHERE is_test""",
+        "segment_dense",
+        extra={"series": SERIES},
+    ),
+)
+def x2_user(t: Tables) -> DataFrame:
+    rows = _series(t).select("segment", "ds", "y", "is_test")
+    schema = "segment string, ds timestamp_ntz, actual double, predicted double"
+    found = per_series.per_series(rows, "is_test", Periodic.fit, Periodic.predict, schema, "ds", ["segment"], Periodic.merge)
+    return rounded(found, 2, "actual", "predicted")
+
+
 @query("x1_pooled_linear")
 def x1_pooled(t: Tables) -> DataFrame:
     from pyspark.ml.regression import LinearRegression
@@ -567,6 +613,40 @@ def x7(t: Tables) -> DataFrame:
     return found.drop("rank").withColumn("mse", F.round(F.col("mse") / 1e6, 2))
 
 
+# Four stretches of the training years: before 2000, three of four months each.
+ORIGINS = ["2000-01-01", "2000-05-01", "2000-09-01", "2001-01-01"]
+ROLLING_CTES = {
+    "series": GRID_CTES["series"],
+    "scales": GRID_CTES["scales"].replace("NOT is_test", "ds < TIMESTAMP '2000-01-01'"),
+    **{k: GRID_CTES[k] for k in ("vectors", "settings")},
+    "folded": f"""SELECT segment, x, size, {' + '.join(f"(ds >= TIMESTAMP '{o}')::INT" for o in ORIGINS[:-1])} AS fold
+        FROM vectors WHERE y IS NOT NULL AND NOT is_test""",
+    "pieces": f"""SELECT segment, fold, i, j, sum(x[i] * x[j]) AS v FROM folded, range(1, {_width(WITH_REGRESSORS) + 1}) a(i),
+        range(1, {_width(WITH_REGRESSORS) + 2}) b(j) GROUP BY ALL""",
+    "sums": """SELECT segment, i, j, fold + 1 AS fold, sum(v) OVER (PARTITION BY segment, i, j ORDER BY fold) AS v FROM pieces QUALIFY fold < 3""",
+    "matrix": GRID_CTES["matrix"].replace("segment, c, s", "segment, c, s, fold"),
+    **eliminate_sql(str(_width(WITH_REGRESSORS)), "segment, c, s, fold"),
+    "scores": f"""SELECT v.segment, c, s, count(DISTINCT fold) AS folds,
+          avg(pow((x[{_width(WITH_REGRESSORS) + 1}] - list_dot_product(beta, x[1:{_width(WITH_REGRESSORS)}])) * size, 2)) AS mse
+        FROM folded v JOIN beta b USING (segment, fold) GROUP BY ALL""",
+}
+
+
+@query(
+    "x7_rolling_origin",
+    with_views(
+        """SELECT segment, c AS changepoint_prior_scale, s AS seasonality_prior_scale, round(mse / 1e6, 2) AS mse, folds,
+             row_number() OVER (PARTITION BY segment ORDER BY mse, c, s) AS rank FROM scores""",
+        "segment_dense",
+        extra=ROLLING_CTES,
+        recursive=True,
+    ),
+)
+def x7_rolling(t: Tables) -> DataFrame:
+    found = additive.rolling_grid_search(_series(t), ORIGINS, WITH_REGRESSORS, GRID, series_cols=["segment"])
+    return found.withColumn("mse", F.round(F.col("mse") / 1e6, 2))
+
+
 @query(
     "t2_best_setting",
     with_views(

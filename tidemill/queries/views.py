@@ -12,8 +12,8 @@ TYPES = ["click", "error", "purchase", "signup", "view"]
 TEST_YEAR = 2001
 
 # How the views are cut for window functions.
-# Raw events: a series can be of any length, an hour of it must fit one task.
-RAW = {"chunk": "hour"}
+# Raw events: a series, and a moment of it, can be of any length.
+RAW: dict = {}
 # One table-wide series on a calendar: cut as well, so that no task gets the whole table.
 ONE_SERIES = {"chunk": "year"}
 # Many series, one row per day each: 36,525 rows per century, a plain window per series.
