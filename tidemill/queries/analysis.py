@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, errors, scalar
 from ..models import evaluate
-from ..operators import blocks, columns, encode, lags, profile, quality, resample, scale
+from ..operators import blocks, columns, dimensions, encode, joins, lags, profile, quality, resample, scale
 from ..sources import tables
-from . import views
+from . import basics, views
 from .registry import Tables, big, query, rounded
 from .views import DAILY, ONE_SERIES, RAW, TEST_YEAR, TYPES, with_views
 
@@ -537,22 +537,35 @@ def m2(t: Tables) -> DataFrame:
 
 @query(
     "m3_one_hot_hourly",
-    """SELECT event_id, CAST(isodow(ts) > 5 AS DOUBLE) AS "is_holiday_or_weekend_True",
-         CAST(hour(ts) BETWEEN 18 AND 23 AS DOUBLE) AS time_of_day_evening,
-         CAST(hour(ts) BETWEEN 6 AND 11 AS DOUBLE) AS time_of_day_morning,
-         CAST(hour(ts) < 6 AS DOUBLE) AS time_of_day_night FROM events""",
+    with_views(
+        """SELECT e.event_id, CAST(coalesce(e.ts BETWEEN s.dawn AND s.dusk, false) AS DOUBLE) AS "daylight_flag_True",
+             CAST(isodow(e.ts) > 5 OR EXISTS (SELECT 1 FROM holidays h WHERE h.holiday = e.ts::DATE) AS DOUBLE) AS "is_holiday_or_weekend_True",
+             CAST(hour(e.ts) BETWEEN 18 AND 23 AS DOUBLE) AS time_of_day_evening,
+             CAST(hour(e.ts) BETWEEN 6 AND 11 AS DOUBLE) AS time_of_day_morning,
+             CAST(hour(e.ts) < 6 AS DOUBLE) AS time_of_day_night
+           FROM located e LEFT JOIN solar s ON e.location = s.location AND e.ts::DATE = s.day""",
+        extra={
+            "places": basics.USER_PLACES,
+            "located": basics.USER_EVENTS,
+            "solar": basics.SOLAR,
+            "years": "SELECT DISTINCT year(ts) AS y FROM events",
+            "holidays": basics.HOLIDAYS,
+        },
+    ),
 )
 def m3(t: Tables) -> DataFrame:
-    events = t("events").select("event_id", "ts").withColumns(
-        {
-            "time_of_day": calendar.time_of_day("ts"),
-            "is_holiday_or_weekend": calendar.is_weekend("ts"),
-            "season": calendar.season("ts"),
-        }
+    holidays = dimensions.holiday_dimension(dimensions.years_of(t("events"), "ts"))
+    events = joins.holiday_or_weekend(basics.located_events(t), "ts", holidays).select(
+        "event_id",
+        "ts",
+        "is_holiday_or_weekend",
+        calendar.daylight_flag("ts", F.col("latitude"), F.col("longitude")).alias("daylight_flag"),
+        calendar.time_of_day("ts").alias("time_of_day"),
+        calendar.season("ts").alias("season"),
     )
-    # January only: one season, whose single category is the dropped first one.
-    wanted = [c for c in encode.CATEGORICAL["hourly"] if c in events.columns]
-    return encode.fit_one_hot(events, wanted).apply(events).drop("ts")
+    # The events are of one season, whose single category is the dropped first one.
+    train = events.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    return encode.fit_one_hot(train, encode.CATEGORICAL["hourly"]).apply(events).drop("ts")
 
 
 @query(

@@ -621,7 +621,7 @@ USER_EVENTS = """SELECT event_id, ts, n_nationkey AS location FROM events
     JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 
-def _located_events(t: Tables) -> DataFrame:
+def located_events(t: Tables) -> DataFrame:
     """Events at the coordinates of the user's nation; the latitudes reach the polar circles."""
     nations = t("nation").select(
         F.col("n_nationkey").alias("location"),
@@ -641,7 +641,7 @@ def _located_events(t: Tables) -> DataFrame:
     ),
 )
 def j8(t: Tables) -> DataFrame:
-    located = _located_events(t)
+    located = located_events(t)
     twilight = dimensions.twilight_dimension(located.withColumn("day", F.to_date("ts")), "location")
     flagged = joins.daylight_from_dimension(located, "ts", "location", twilight)
     return flagged.select("event_id", "ts", "daylight_flag")
@@ -860,7 +860,7 @@ def c8(t: Tables) -> DataFrame:
 def c9(t: Tables) -> DataFrame:
     # Dawn and dusk are expressions of the row's own date and place: no join needed.
     flag = calendar.daylight_flag("ts", F.col("latitude"), F.col("longitude"))
-    return _located_events(t).select("event_id", flag.alias("daylight_flag"))
+    return located_events(t).select("event_id", flag.alias("daylight_flag"))
 
 
 @query(

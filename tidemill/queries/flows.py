@@ -161,7 +161,7 @@ def flow_interpolated(t: Tables) -> DataFrame:
 @query("flow_additive_experiment")
 def flow_additive_experiment(t: Tables) -> DataFrame:
     test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
-    spec = additive.Spec(changepoints=3, yearly_order=0, weekly_order=2)
+    spec = additive.Spec(changepoint_prior_scale=5.0)
     return household.additive_experiment(_daily(t), test, SITE, spec)["metrics"]
 
 

@@ -384,7 +384,7 @@ def x14_tree(t: Tables) -> DataFrame:
     from pyspark.ml.regression import GBTRegressor
 
     prepared = _lag_rows(t)
-    model, _ = lagged.pooled(prepared, GBTRegressor(maxIter=5, maxDepth=3, seed=7))
+    model, _ = lagged.pooled(prepared, GBTRegressor(seed=7))
     return lagged.pooled_importance(t.spark, prepared, model)
 
 
@@ -536,7 +536,7 @@ def _fitted(t: Tables) -> additive.Fitted:
 @query(
     "x8_regressor_coefficients",
     with_views(
-        f"""SELECT b.segment, 'weekend' AS regressor, round(beta[{_width(WITH_REGRESSORS)}] * size / 1000, 2) AS coefficient
+        f"""SELECT b.segment, 'weekend' AS regressor, round(beta[{_width(WITH_REGRESSORS)}] * size, 1) AS coefficient
             FROM beta b JOIN scales s ON b.segment = s.segment""",
         "segment_dense",
         extra=fitted_ctes(WITH_REGRESSORS),
@@ -544,16 +544,14 @@ def _fitted(t: Tables) -> additive.Fitted:
     ),
 )
 def x8(t: Tables) -> DataFrame:
-    # In thousands: the weekend flag is nearly a sum of the weekly waves, so the last digits are loose.
-    found = additive.regressor_coefficients(_fitted(t))
-    return found.withColumn("coefficient", F.round(F.col("coefficient") / 1000, 2))
+    return rounded(additive.regressor_coefficients(_fitted(t)), 1, "coefficient")
 
 
 @query(
     "x9_components",
     with_views(
         " UNION ALL ".join(
-            f"""SELECT v.segment, ds, '{name}' AS component, round(list_dot_product(beta[{a}:{b}], x[{a}:{b}]) * size / 1000, 1) AS value
+            f"""SELECT v.segment, ds, '{name}' AS component, round(list_dot_product(beta[{a}:{b}], x[{a}:{b}]) * size, -2) AS value
                 FROM vectors v JOIN beta b ON v.segment = b.segment"""
             for name, a, b in [("trend", 1, 27), ("yearly", 28, 47), ("weekly", 48, 53), ("regressors", 54, 54)]
         ),
@@ -565,7 +563,7 @@ def x8(t: Tables) -> DataFrame:
 def x9(t: Tables) -> DataFrame:
     found = additive.components(_fitted(t), _series(t).select("segment", "ds", "weekend"))
     # Adding zero turns a rounded -0.0 into 0.0.
-    return found.drop("weekend").withColumn("value", F.round(F.col("value") / 1000, 1) + 0.0)
+    return found.drop("weekend").withColumn("value", F.round("value", -2) + 0.0)
 
 
 @query(
