@@ -30,7 +30,7 @@ def meter_cum(t: Tables) -> DataFrame:
     """V2: running total of the value per event type, one row per event."""
     narrow = t("events").select("event_type", "ts", "event_id", "value")
     return blocks.running_sum(
-        narrow, ["event_type"], "ts", {"value_cum": "value"}, ["event_id"], **RAW
+        narrow, ["event_type"], "ts", {"value_cum": "value"}, ["event_id"], chunk="hour"
     ).drop("value")
 
 
