@@ -134,3 +134,55 @@ def test_rolling_origins(spark):
         assert r.mse == pytest.approx(np.mean(errors), rel=1e-8)
         if (c, z) != (0.01, 0.1):
             break
+
+
+def _objective(xx, xy, l2, l1, b):
+    return b @ xx @ b / 2 - b @ xy + (l2 * b * b).sum() / 2 + (l1 * abs(b)).sum()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_sparse_solve_is_the_minimum(seed):
+    """No subgradient is left, and no nearby point is better, also with hinges that are nearly alike or repeated."""
+    rng = np.random.default_rng(seed)
+    t = np.sort(rng.random(300))
+    x = np.column_stack([np.ones(300), t, *(np.maximum(t - k, 0) for k in np.linspace(0.05, 0.8, 12)), np.maximum(t - 0.8, 0), np.zeros(300)])
+    y = 2 * t + 3 * np.maximum(t - 0.4, 0) + rng.normal(0, 0.1, 300)
+    xx, xy = x.T @ x, x.T @ y
+    l2, l1 = np.r_[0.01, 0.01, np.zeros(14)], np.r_[0.0, 0.0, np.full(14, 0.2)]
+    b = gram.sparse_solve(xx, xy, l2, l1)
+    slope = xy - xx @ b - l2 * b
+    assert np.abs(slope[:2]).max() < 1e-7
+    moved = b[2:] != 0
+    assert np.allclose(slope[2:][moved], 0.2 * np.sign(b[2:][moved]), atol=1e-7) and np.abs(slope[2:]).max() < 0.2 + 1e-7
+    assert 0 < moved.sum() < 8
+    best = _objective(xx, xy, l2, l1, b)
+    for _ in range(200):
+        assert _objective(xx, xy, l2, l1, b + rng.normal(0, 10.0 ** rng.integers(-6, 0), 16)) >= best - 1e-9
+    assert gram.sparse_solve(xx, xy, l2, l1, sweeps=0) is None
+    assert not gram.sparse_solve(xx, xy, l2, np.r_[0.0, 0.0, np.full(14, 1e6)])[2:].any()
+
+
+def test_laplace_changepoints(spark):
+    """One bend is found near its place; a series that does not settle is flagged and null, and harms no other."""
+    rows = spark.range(1000).selectExpr(
+        "concat('s', id % 2) AS s", "timestampadd(DAY, CAST(id DIV 2 AS INT), TIMESTAMP_NTZ '2020-01-01') AS ds",
+        "IF(id % 2 = 0, greatest(id DIV 2 - 200, 0) * 3.0D, 5.0D) + sin(id) AS y",
+    )
+    spec = additive.Spec(yearly_order=0, changepoint_prior="laplace")
+    fitted = additive.fit(rows, spec, series_cols=["s"])
+    moved = additive.changepoints(fitted, moved_only=True).toPandas()
+    assert additive.changepoints(fitted).count() == 50
+    bend = moved[moved["s"] == "s0"]
+    # The prior draws changes towards zero; the slope after the bend is right nevertheless.
+    assert len(bend) < 10 and 2.5 < bend["slope_change"].sum() < 3.0
+    late = additive.predict(fitted, rows).where("s = 's0' AND ds IN (TIMESTAMP_NTZ '2020-12-18', TIMESTAMP_NTZ '2021-05-07')").orderBy("ds")
+    first, last = (r["yhat"] for r in late.collect())
+    assert (last - first) / 140 == pytest.approx(3.0, rel=0.02)
+    top = bend.loc[bend["slope_change"].idxmax(), "at"]
+    assert abs((top - pd.Timestamp("2020-07-19")).days) <= 20
+    assert [r["settled"] for r in fitted.models.select("settled").collect()] == [True, True]
+    broken = F.when(F.col("s") == "s0", F.transform("gram", lambda v: v * float("nan"))).otherwise(F.col("gram"))
+    half = fitted.models.drop("beta", "settled", "sigma").withColumn("gram", broken).withColumn("f", additive.solved(spec)).select("s", "f.*")
+    assert {r["s"]: (r["beta"] is None, r["settled"]) for r in half.collect()} == {"s0": (True, False), "s1": (False, True)}
+    with pytest.raises(ValueError):
+        additive.Spec(changepoint_prior="cauchy")

@@ -2,9 +2,9 @@
 
 The model is ``y = trend + weekly + yearly (+ daily) + regressors``. Priors become
 penalties: a coefficient with prior deviation ``s`` is penalised by ``(noise / s)^2``
-on scaled values, and the Laplace prior of the slope changes is replaced by the normal
-prior of the same variance (``2 * scale^2``). Knots are evenly spaced over the first part
-of the training span. This solves the same task as a Bayesian additive model; it does not
+on scaled values. Slope changes have a Laplace prior (``changepoint_prior="laplace"``: most are
+exactly zero) or the normal prior of the same variance (``2 * scale^2``), which has a closed
+form. Knots are evenly spaced over the first part of the training span. This solves the same task as a Bayesian additive model; it does not
 reproduce such a model's numbers.
 """
 
@@ -44,6 +44,11 @@ class Spec:
     regressor_prior_scale: float = 10.0
     trend_prior_scale: float = 5.0
     noise: float = 0.1
+    changepoint_prior: str = "normal"  # or "laplace"
+
+    def __post_init__(self):
+        if self.changepoint_prior not in ("normal", "laplace"):
+            raise ValueError(f"changepoint_prior is normal or laplace, not {self.changepoint_prior!r}")
 
     def knots(self, beyond: float = 1.0) -> list[float]:
         """Knot positions in units of the training span, on to ``beyond`` at the same spacing."""
@@ -119,7 +124,7 @@ def penalty_list(spec: Spec, design: Sequence[Term], changepoint_scale, seasonal
 
     def of(term: Term):
         if term.knot is not None:
-            return variance / (changepoint_scale * changepoint_scale * 2.0)
+            return 0.0 if spec.changepoint_prior == "laplace" else variance / (changepoint_scale * changepoint_scale * 2.0)
         if term.component == "trend":
             return variance / spec.trend_prior_scale**2
         if term.component == "regressors":
@@ -146,6 +151,21 @@ def penalties(
     return F.array(*[v if isinstance(v, Column) else F.lit(v) for v in listed])
 
 
+def solved(
+    spec: Spec,
+    changepoint_scale: Column | None = None,
+    seasonality_scale: Column | None = None,
+) -> Column:
+    """``beta`` and ``settled`` of the column ``gram``; the two scales may be columns of a grid."""
+    design = terms(spec)
+    squared = penalties(spec, design, changepoint_scale, seasonality_scale)
+    if spec.changepoint_prior == "normal":
+        return F.struct(gram.ridge("gram", squared).alias("beta"), F.lit(True).alias("settled"))
+    scale = changepoint_scale if changepoint_scale is not None else F.lit(spec.changepoint_prior_scale)
+    knots = [F.lit(spec.noise**2) / scale if d.knot is not None else F.lit(0.0) for d in design]
+    return gram.sparse("gram", squared, F.array(F.lit(0.0), *knots))
+
+
 def scaling(train: DataFrame, ts_col: str, target: str, series_cols: Sequence[str] = ()) -> DataFrame:
     """Start, span (days) and size of the training rows that have a target, one row per series."""
     known = F.when(F.col(target).isNotNull(), _epoch_seconds(ts_col) / SECONDS_PER_DAY)
@@ -172,7 +192,7 @@ class Fitted:
     ts_col: str
     target: str
     series_cols: list[str]
-    models: DataFrame  # series, _start, _span, _size, gram, beta, sigma
+    models: DataFrame  # series, _start, _span, _size, gram, beta, settled, sigma
 
     def terms(self) -> list[Term]:
         return terms(self.spec)
@@ -200,9 +220,10 @@ def _grams(
 def residual_deviation(grams: pd.Series, betas: pd.Series) -> pd.Series:
     return pd.Series(
         [
-            math.sqrt(gram.loss_sum(gram.square(g), np.asarray(b, dtype=float)) / g[0])
+            None if b is None else math.sqrt(gram.loss_sum(gram.square(g), np.asarray(b, dtype=float)) / g[0])
             for g, b in zip(grams, betas, strict=True)
-        ]
+        ],
+        dtype="float64",
     )
 
 
@@ -213,12 +234,15 @@ def fit(
     target: str = "y",
     series_cols: Sequence[str] = (),
 ) -> Fitted:
-    """One model per series; lazy, and one pass over the rows after the scaling."""
+    """One model per series; lazy, and one pass over the rows after the scaling.
+
+    ``settled`` tells whether the coefficients were found; where not, they and all that follows
+    from them are null, and the other series are not affected.
+    """
     scales = scaling(train, ts_col, target, series_cols)
     grams = _grams(train, spec, ts_col, target, series_cols, scales, series_cols)
-    beta = gram.ridge("gram", penalties(spec, terms(spec)))
-    solved = grams.withColumn("beta", beta)
-    models = solved.withColumn("sigma", residual_deviation("gram", "beta"))
+    found = grams.withColumn("_found", solved(spec)).select(*grams.columns, "_found.*")
+    models = found.withColumn("sigma", residual_deviation("gram", "beta"))
     return Fitted(spec, ts_col, target, list(series_cols), models)
 
 
@@ -272,15 +296,21 @@ def regressor_coefficients(fitted: Fitted) -> DataFrame:
     )
 
 
-def changepoints(fitted: Fitted) -> DataFrame:
-    """``(series, changepoint, at, slope_change)``: change of slope in target units per day."""
+def changepoints(fitted: Fitted, moved_only: bool = False) -> DataFrame:
+    """``(series, changepoint, at, slope_change)``: change of slope in target units per day.
+
+    ``moved_only`` leaves out those that are exactly zero, which a Laplace prior makes most of them.
+    """
     chosen = [(i, d) for i, d in enumerate(fitted.terms(), 1) if d.knot is not None]
     at = F.timestamp_add(
         "SECOND",
         F.round((F.col("_start") + F.col("c.knot") * F.col("_span")) * SECONDS_PER_DAY).cast("bigint"),
         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
     )
-    return _cells(fitted, chosen, "_start", "_span", "_size").select(
+    cells = _cells(fitted, chosen, "_start", "_span", "_size")
+    if moved_only:
+        cells = cells.filter(F.col("c.beta") != 0)
+    return cells.select(
         *fitted.series_cols,
         F.col("c.name").alias("changepoint"),
         at.alias("at"),
@@ -313,19 +343,14 @@ def grid_search(
     fitting = both.filter(~F.col(is_test)).select(*series_cols, "_size", "gram")
     scoring = both.filter(F.col(is_test)).select(*series_cols, F.col("gram").alias("test_gram"))
     settings = joins.parameter_grid(_attach(fitting, scoring, series_cols), grid)
-    held = penalties(
-        spec,
-        terms(spec),
-        F.col("changepoint_prior_scale") if "changepoint_prior_scale" in grid else None,
-        F.col("seasonality_prior_scale") if "seasonality_prior_scale" in grid else None,
-    )
-    scored = settings.withColumn("beta", gram.ridge("gram", held)).select(
+    scales_of = (F.col(c) if c in grid else None for c in ("changepoint_prior_scale", "seasonality_prior_scale"))
+    scored = settings.withColumn("beta", solved(spec, *scales_of)["beta"]).select(
         *series_cols,
         *grid,
         (gram.mean_loss("test_gram", "beta") * F.col("_size") * F.col("_size")).alias("mse"),
     )
     # As many rows per series as there are settings.
-    order = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy("mse", *grid)
+    order = Window.partitionBy(*(series_cols or [F.lit(0)])).orderBy(F.asc_nulls_last("mse"), *grid)
     return scored.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
@@ -361,12 +386,12 @@ def rolling_grid_search(
     fitting = gram.prefix_grams(pieces.select(*keys, "_fold", "gram"), keys, "_fold")
     scoring = pieces.filter(F.col("_fold") > 0).select(*keys, "_fold", "_size", F.col("gram").alias("test_gram"))
     settings = joins.parameter_grid(scoring.join(fitting, [*keys, "_fold"]), grid)
-    held = penalties(spec, terms(spec), *(F.col(c) if c in grid else None for c in ("changepoint_prior_scale", "seasonality_prior_scale")))
+    scales_of = (F.col(c) if c in grid else None for c in ("changepoint_prior_scale", "seasonality_prior_scale"))
     loss = gram.mean_loss("test_gram", "beta") * F.col("_size") * F.col("_size")
     n = F.col("test_gram")[0]
-    scored = settings.withColumn("beta", gram.ridge("gram", held)).withColumns({"_loss": loss * n, "_n": n})
+    scored = settings.withColumn("beta", solved(spec, *scales_of)["beta"]).withColumns({"_loss": loss * n, "_n": n})
     found = scored.groupBy(*keys, *grid).agg((F.sum("_loss") / F.sum("_n")).alias("mse"), F.count("_loss").alias("folds"))
-    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("mse", *grid)  # as many rows per series as settings
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.asc_nulls_last("mse"), *grid)  # as many rows per series as settings
     return found.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 

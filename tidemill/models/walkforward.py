@@ -40,8 +40,11 @@ def walk_forward(
     ``horizon`` is how far the rows reach, in training spans, where knots are to be added;
     1 keeps the training knots only. Rows without a target are predicted but not learned.
     Every test row comes out; ``yhat``, ``sigma`` and ``beta`` are null where it can't be
-    predicted (a null regressor, or nothing before it to learn from).
+    predicted (a null regressor, or nothing before it to learn from). Slope changes have the
+    normal prior, as refits by rank-one updates need a closed form.
     """
+    if spec.changepoint_prior != "normal":
+        raise ValueError("walk_forward refits in closed form: changepoint_prior must be normal")
     keys = list(series_cols)
     scales = additive.scaling(rows.filter(~F.col(is_test)), ts_col, target, keys)
     design = additive.terms(spec, horizon)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -483,7 +485,7 @@ def penalty_sql(spec: additive.Spec, c: str | None = None, s: str | None = None)
     s = s or str(spec.seasonality_prior_scale)
     waves = 2 * (spec.yearly_order + spec.weekly_order)
     parts = ["0.0004::DOUBLE, 0.0004"]
-    parts += [f"0.01 / (2 * {c} * {c})"] * spec.changepoints
+    parts += ["0.0" if spec.changepoint_prior == "laplace" else f"0.01 / (2 * {c} * {c})"] * spec.changepoints
     parts += [f"0.01 / ({s} * {s})"] * waves
     parts += ["0.0001"] * len(spec.regressors)
     return "[" + ", ".join(parts) + "]"
@@ -582,6 +584,68 @@ def x10(t: Tables) -> DataFrame:
     return rounded(additive.changepoints(_fitted(t)), 2, "slope_change")
 
 
+# Laplace prior: columns in the order intercept, slope, waves, regressor, then knots. The first 29
+# are eliminated, which leaves a matrix over the knots; accelerated proximal steps find which
+# knots move and which way, and elimination over those gives their exact values.
+LAPLACE = replace(WITH_REGRESSORS, changepoint_prior="laplace")
+_P, _K = _width(LAPLACE), LAPLACE.changepoints
+_A = _P - _K
+_L1 = LAPLACE.noise**2 / LAPLACE.changepoint_prior_scale
+LAPLACE_CTES = {
+    **{k: v for k, v in fitted_ctes(LAPLACE).items() if k in ("series", "scales", "vectors")},
+    "design": f"""SELECT segment, list_concat(x[1:2], x[{3 + _K}:{_P}], x[3:{2 + _K}], x[{_P + 1}:{_P + 1}]) AS x
+        FROM vectors WHERE NOT is_test AND y IS NOT NULL""",
+    **{k: v for k, v in ridge_sql(_P, f"list_concat(({penalty_sql(LAPLACE)})[1:2], ({penalty_sql(LAPLACE)})[{3 + _K}:{_P}], list_transform(range({_K}), lambda i: 0.0::DOUBLE))").items() if k in ("sums", "matrix")},
+    "steps": eliminate_sql(str(_A), "segment")["steps"],
+    "reduced": f"""SELECT segment, m, list_transform(m[{_A + 1}:{_P}], lambda cells: cells[{_A + 1}:{_P}]) AS s,
+        list_transform(m[{_A + 1}:{_P}], lambda cells: cells[{_P + 1}]) AS q FROM steps WHERE k = {_A + 1}""",
+    "moves": f"""SELECT segment, s, q, list_transform(s, lambda r: list_sum(list_transform(r, lambda v: abs(v)))) AS d,
+          list_transform(q, lambda v: 0.0::DOUBLE) AS b, list_transform(q, lambda v: 0.0::DOUBLE) AS z, 0 AS k FROM reduced
+        UNION ALL SELECT segment, s, q, d, n, list_transform(n, lambda v, i: v + (k / (k + 3.0::DOUBLE)) * (v - b[i])), k + 1 FROM (
+          SELECT *, list_transform(g, lambda v, i: sign(v) * greatest(abs(v) - {_L1} / d[i], 0)) AS n FROM (
+            SELECT *, list_transform(s, lambda r, i: z[i] + (q[i] - list_dot_product(r, z)) / d[i]) AS g FROM moves WHERE k < 3000))""",
+    "support": "SELECT segment, s, q, list_transform(b, lambda v: sign(v)) AS u FROM moves WHERE k = 3000",
+    "matrix2": f"""SELECT segment, list_transform(s, lambda r, i: list_concat(
+          list_transform(r, lambda v, j: CASE WHEN u[i] != 0 AND u[j] != 0 THEN v WHEN i = j THEN 1.0 ELSE 0.0 END),
+          [CASE WHEN u[i] != 0 THEN q[i] - {_L1} * u[i] ELSE 0.0 END])) AS m FROM support""",
+    **eliminate_sql(str(_K), "segment", "2"),
+    "beta": f"""SELECT i.segment, b.beta AS knots, list_transform(i.m[1:{_A}],
+        lambda cells: cells[{_P + 1}] - list_dot_product(cells[{_A + 1}:{_P}], b.beta)) AS rest FROM reduced i JOIN beta2 b ON i.segment = b.segment""",
+}
+
+
+@query(
+    "x3_laplace_forecast",
+    with_views(
+        f"""SELECT v.segment, ds, is_test, round(y, 2) AS y, round(list_dot_product(list_concat(rest[1:2], knots, rest[3:{_A}]), x[1:{_P}]) * size, 0) AS yhat
+            FROM vectors v JOIN beta b ON v.segment = b.segment""",
+        "segment_dense",
+        extra=LAPLACE_CTES,
+        recursive=True,
+    ),
+)
+def x3_laplace(t: Tables) -> DataFrame:
+    return _forecast(t, LAPLACE)
+
+
+@query(
+    "x10_sparse_changepoints",
+    with_views(
+        """SELECT segment, 'knot_' || i AS changepoint,
+             TIMESTAMP '1970-01-01' + to_seconds(round((start + 0.8 / 25 * i * span) * 86400)::BIGINT) AS at,
+             round(knots[i] * size / span, 2) AS slope_change
+           FROM (SELECT b.segment, knots, start, span, size, unnest(range(1, 26)) AS i FROM beta b JOIN scales s ON b.segment = s.segment)
+           WHERE knots[i] != 0""",
+        "segment_dense",
+        extra=LAPLACE_CTES,
+        recursive=True,
+    ),
+)
+def x10_sparse(t: Tables) -> DataFrame:
+    fitted = additive.fit(_series(t).filter(~F.col("is_test")), LAPLACE, series_cols=["segment"])
+    return rounded(additive.changepoints(fitted, moved_only=True), 2, "slope_change")
+
+
 GRID_CTES = {
     **{k: v for k, v in fitted_ctes(WITH_REGRESSORS).items() if k in ("series", "scales", "vectors", "design")},
     "settings": """SELECT c, s FROM (VALUES (0.001::DOUBLE), (0.01), (0.1), (0.5), (5), (10)) a(c),
