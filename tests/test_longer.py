@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.models import additive, gram, per_series
 from tidemill.operators import blocks
+from tidemill.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -186,3 +187,21 @@ def test_laplace_changepoints(spark):
     assert {r["s"]: (r["beta"] is None, r["settled"]) for r in half.collect()} == {"s0": (True, False), "s1": (False, True)}
     with pytest.raises(ValueError):
         additive.Spec(changepoint_prior="cauchy")
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    """Lines in are rows out and rows in quarantine, whichever columns are asked for."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("ts,v,n\n2024-01-01T00:00:00Z,1.5,1\n2024-01-01T01:00:00Z,,2\n2024-01-01T02:00:00Z,x,3\n2024-01-01T03:00:00Z\n")
+    (tmp_path / "in/b.csv").write_text("ts,v,n\nnever,1.0,5\n,2.0,6\n2024-01-01T04:00:00Z,3.0,7,8\n\"2024-01-01T05:00:00Z\",4.0,9\n")
+    (tmp_path / "in/c.csv").write_text("ts,v,n\n")
+    checked = tables.read_checked(spark, str(tmp_path / "in"), ["ts", "v", "n"], "ts", {"n": "bigint"})
+    assert checked.count() == 8
+    good = tables.load_checked(checked, str(tmp_path / "bad"))
+    assert sorted((r["v"] or 0.0, r["n"]) for r in good.collect()) == [(0.0, 2), (1.5, 1), (4.0, 9)]
+    assert good.select("n").count() == good.count() == 3 and good.columns == ["ts", "v", "n"]
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r["problem"], r["rejected"], r["file"][-5:]) for r in bad) == [
+        ("record", "2024-01-01T02:00:00Z,x,3", "a.csv"), ("record", "2024-01-01T03:00:00Z", "a.csv"), ("record", "2024-01-01T04:00:00Z,3.0,7,8", "b.csv"),
+        ("time", "", "b.csv"), ("time", "never", "b.csv"),
+    ]

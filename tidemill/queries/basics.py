@@ -26,6 +26,27 @@ def s1(t: Tables) -> DataFrame:
     return rounded(tables.read_timeseries(t.spark, path, ["ts", *TYPES], "ts"), 4, *TYPES)
 
 
+@query(
+    "s1_quarantine",
+    """SELECT CASE WHEN p IS NULL THEN o_orderkey END AS key, CASE WHEN p IS NULL THEN CAST(o_orderdate AS TIMESTAMP) END AS ts,
+         CASE WHEN p IS NULL THEN round(o_totalprice, 2) END AS price, p AS problem,
+         CASE p WHEN 'record' THEN o_orderkey || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE ',2000-01-01T00:00:00Z,n/a' END WHEN 'time' THEN 'soon' END AS rejected
+       FROM (SELECT *, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'record' WHEN o_orderkey % 13 = 0 THEN 'time' END AS p FROM orders)""",
+)
+def s1_quarantine(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "s1q")
+    key, time = F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd'T00:00:00Z'")
+    line = (
+        F.when(F.col("o_orderkey") % 7 == 0, key)
+        .when(F.col("o_orderkey") % 11 == 0, F.concat(key, F.lit(",2000-01-01T00:00:00Z,n/a")))
+        .when(F.col("o_orderkey") % 13 == 0, F.concat(key, F.lit(",soon,"), F.round("o_totalprice", 2).cast("string")))
+        .otherwise(F.concat_ws(",", key, time, F.round("o_totalprice", 2).cast("string")))
+    )
+    t("orders").select(line.alias("value")).write.text(path)
+    found = tables.read_checked(t.spark, path, ["key", "ts", "price"], "ts", {"key": "bigint"}, header=False)
+    return found.withColumn("price", F.round("price", 2))
+
+
 @query(
     "s2_read_cast_time",
     with_views("SELECT day, round(revenue, 4) AS revenue, n_orders FROM daily_orders", "daily_orders"),

@@ -26,20 +26,59 @@ def read_timeseries(
     The schema is explicit: no inference pass over the files, and a column that is empty
     in some file keeps its type.
     """
-    types = types or {}
-    schema = T.StructType(
-        [
-            T.StructField(
-                c,
-                T.StringType() if c == ts_col else _field_type(types.get(c, "double")),
-            )
-            for c in columns
-        ]
-    )
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    raw = spark.read.schema(_schema(columns, ts_col, types or {})).option("header", True).csv(path)
     return raw.withColumn(ts_col, scalar.parse_timestamp(ts_col))
 
 
+def _schema(columns: Sequence[str], ts_col: str, types: dict[str, str]) -> T.StructType:
+    kinds = {c: T.StringType() if c == ts_col else _field_type(types.get(c, "double")) for c in columns}
+    return T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    ts_col: str,
+    types: dict[str, str] | None = None,
+    header: bool = True,
+) -> DataFrame:
+    """As :func:`read_timeseries`, with every line of the files and what is wrong with it.
+
+    ``problem`` is null for a good line, ``record`` where fields are missing, too many or not of
+    their type, and ``time`` where the time is empty or can't be read; ``rejected`` then holds the
+    line, or the time, and all else is null. An empty field is a missing value, not a problem.
+    A line is judged as a whole, whichever columns are asked for. A time without an offset is
+    taken in the session's zone.
+    """
+    # Read as text and cast here: the reader checks the types of only those columns a query uses.
+    types = types or {}
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_line")])
+    options = {"header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line", "columnPruning": False}
+    raw = spark.read.schema(schema).options(**options).csv(path)
+    typed = {c: F.col(c).try_cast("timestamp" if c == ts_col else _field_type(types.get(c, "double"))) for c in columns}
+    wrong = F.lit(False)
+    for c in columns:
+        wrong = wrong | (F.col(c).isNotNull() & typed[c].isNull() if c != ts_col else F.lit(False))
+    problem = F.when(F.col("_line").isNotNull() | wrong, "record").when(typed[ts_col].isNull(), "time")
+    rejected = F.when(wrong, F.to_csv(F.struct(*columns))).otherwise(F.coalesce(ts_col, F.lit("")))
+    rejected = F.when(problem.isNotNull(), F.coalesce("_line", rejected))
+    good = F.col("problem").isNull()
+    checked = raw.withColumns({"problem": problem, "rejected": rejected})
+    typed[ts_col] = scalar.without_zone(typed[ts_col])
+    return checked.select(*(F.when(good, typed[c]).alias(c) for c in columns), "problem", "rejected")
+
+
+def load_checked(checked: DataFrame, quarantine: str, mode: str = "append") -> DataFrame:
+    """The good rows of :func:`read_checked`; the others are written to ``quarantine`` by problem.
+
+    Rows in are rows out and rows written; an input without problems writes no file.
+    """
+    bad = checked.where("problem IS NOT NULL").select("rejected", F.input_file_name().alias("file"), "problem")
+    write_table(bad, quarantine, partition_by=["problem"], mode=mode)
+    return checked.where("problem IS NULL").drop("problem", "rejected")
+
+
 def _field_type(name: str) -> T.DataType:
     known = {
         "double": T.DoubleType(),
