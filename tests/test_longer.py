@@ -205,3 +205,9 @@ def test_malformed_lines_are_kept_apart(spark, tmp_path):
         ("record", "2024-01-01T02:00:00Z,x,3", "a.csv"), ("record", "2024-01-01T03:00:00Z", "a.csv"), ("record", "2024-01-01T04:00:00Z,3.0,7,8", "b.csv"),
         ("time", "", "b.csv"), ("time", "never", "b.csv"),
     ]
+
+
+def test_unsettled_elastic_fit_is_null(spark):
+    df = spark.createDataFrame([("a", [2.0, 1.0, 3.0, 1.0, 2.0, 5.0])], "s string, gram array<double>")
+    found = df.select(gram.elastic_net(0.0, 0.1, sweeps=1)("gram").alias("none"), gram.elastic_net(0.0, 0.1)("gram").alias("some")).first()
+    assert found["none"] is None and len(found["some"]) == 2
