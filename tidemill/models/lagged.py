@@ -187,45 +187,87 @@ def importance(prepared: Prepared, models: DataFrame) -> DataFrame:
 
 
 def training_history(prepared: Prepared, epochs: int = 50, rate: float = 1.0) -> DataFrame:
-    """Losses of a full-batch gradient fit after every epoch, under the contract names.
+    """Losses of a full-batch gradient fit after every epoch; see :func:`history`."""
+    return history(prepared, prepared.grams(prepared.train()).withColumn("path", gram.descent(epochs, rate)("gram")))
 
+
+def fit_rounds(
+    prepared: Prepared, batches: int = 16, epochs: int = 50, rate: float = 1.0, seed: int = 0, id_cols: Sequence[str] = ()
+) -> DataFrame:
+    """``(series, gram, path, beta)`` by gradient steps on batches; ``beta`` is the last epoch's.
+
+    A training row belongs to the batch its time and ``id_cols`` hash to, so a row keeps its batch
+    in every run. The order of batches changes with the epoch. Rows are read once: tasks add up
+    one matrix per series and batch, and a series' matrices (``batches`` of them) are stepped through together.
+    Batches without rows are left out, a series without complete training rows has no model.
+    """
+    keys = prepared.series_cols
+    named = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in (prepared.ts_col, *id_cols)])
+    batch = F.pmod(F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("bigint"), F.lit(batches)).cast("int")
+    z, width = prepared.vectors()
+    parts = gram.gram(prepared.train().withColumn("_batch", batch), [*keys, "_batch"], z, width)
+    listed = F.sort_array(F.collect_list(F.struct("_batch", "gram"))).alias("_parts")
+    gathered = parts.groupBy(*keys).agg(listed)
+    if not keys:
+        gathered = gathered.filter(F.size("_parts") > 0)
+    cells = F.col("_parts.gram")
+    # The matrix of all training rows is the sum of the batches'.
+    total = F.aggregate(cells, F.array_repeat(F.lit(0.0), width * (width + 1) // 2), lambda s, g: F.zip_with(s, g, lambda a, b: a + b))
+    stepped = gathered.select(
+        *keys, total.alias("gram"), gram.rounds(epochs, rate, seed)(F.col("_parts._batch"), cells).alias("path")
+    )
+    return blocks.settle(stepped.withColumn("beta", F.element_at("path", -1)))
+
+
+def history(prepared: Prepared, paths: DataFrame, real_units: bool = False) -> DataFrame:
+    """``(series, step, train/loss, val/loss, val/mse, val/rmse, val/mae)`` of coefficients after every epoch.
+
+    ``paths`` has the matrix of the training rows as ``gram`` and the coefficients as ``path``.
     Squared losses come from the train and test matrices; the absolute error needs the
-    test rows, which meet the epochs' coefficients once (test rows times epochs).
+    test rows, each of which adds one number per epoch to a running array of sums. ``real_units`` gives the
+    ``val/mse``, ``val/rmse`` and ``val/mae`` in units of the target, as evaluations have them; losses stay as
+    the fit sees them. A series without test rows has null ``val/`` values.
     """
     keys = prepared.series_cols
-    both = blocks.settle(prepared.grams_by_split())
-    train = both.filter(~F.col(prepared.is_test)).select(*keys, F.col("gram").alias("train_gram"))
-    test = both.filter(F.col(prepared.is_test)).select(*keys, F.col("gram").alias("test_gram"))
-    paths = train.withColumn("path", gram.descent(epochs, rate)("train_gram"))
+    paths = blocks.settle(paths.select(*keys, F.col("gram").alias("train_gram"), "path"))
+    tested = prepared.rows.filter(F.col(prepared.is_test))
+    test = prepared.grams(tested).select(*keys, F.col("gram").alias("test_gram"))
     joined = paths.join(test, keys, "left") if keys else _with_model(paths, test, [])
-    per_epoch = joined.select(
-        *keys, "train_gram", "test_gram", F.posexplode("path").alias("step", "beta")
-    )
+    per_epoch = joined.select(*keys, "train_gram", "test_gram", F.posexplode("path").alias("step", "beta"))
     squared = per_epoch.select(
         *keys,
         "step",
         gram.mean_loss("train_gram", "beta").alias("train/loss"),
         gram.mean_loss("test_gram", "beta").alias("val/loss"),
     )
-    rows = _with_model(prepared.rows.filter(F.col(prepared.is_test)), paths.select(*keys, "path"), keys)
-    errors = rows.select(
-        *keys,
-        F.posexplode("path").alias("step", "beta"),
-        prepared.target,
-        *prepared.features,
-    ).select(
-        *keys,
-        "step",
-        F.abs(
-            F.col(prepared.target) - gram.dot(F.col("beta"), [F.col(c) for c in prepared.features])
-        ).alias("error"),
-    )
-    absolute = errors.groupBy(*keys, "step").agg(F.avg("error").alias("val/mae"))
-    return (
-        squared.withColumns({"val/mse": F.col("val/loss"), "val/rmse": F.sqrt("val/loss")})
-        .join(absolute, [*keys, "step"], "left")
-        .withColumn("step", F.col("step").cast("bigint"))
+    rows = _with_model(tested, paths.select(*keys, "path"), keys)
+    features = [F.col(c) for c in prepared.features]
+    each = F.transform("path", lambda beta: F.abs(F.col(prepared.target) - gram.dot(beta, features)))
+    epochs = F.col("_errors")
+    longest = paths.agg(F.max(F.size("path"))).first()[0] or 0
+    sums = [F.avg(F.get(epochs, F.lit(i))).alias(f"_{i}") for i in range(longest)]
+    if sums:
+        one = rows.select(*keys, each.alias("_errors")).groupBy(*keys).agg(*sums)
+        maes = one.select(*keys, F.posexplode(F.array(*[f"_{i}" for i in range(longest)])).alias("step", "val/mae"))
+    else:
+        maes = squared.select(*keys, "step", F.lit(None).cast("double").alias("val/mae"))
+    found = squared.withColumns({"val/mse": F.col("val/loss"), "val/rmse": F.sqrt("val/loss")}).join(
+        maes, [*keys, "step"], "left"
     )
+    if real_units:
+        found = prepared.scaler.stretch(found, prepared.target, {"val/mse": 2, "val/rmse": 1, "val/mae": 1})
+    return found.withColumn("step", F.col("step").cast("bigint"))
+
+
+def predictor(prepared: Prepared, models: DataFrame):
+    """A function that adds ``predicted`` to rows like ``prepared.rows``, in their scale."""
+
+    def predict_rows(rows: DataFrame) -> DataFrame:
+        fitted = _with_model(rows, models.select(*prepared.series_cols, "beta"), prepared.series_cols)
+        found = gram.dot(F.col("beta"), [F.col(c) for c in prepared.features])
+        return fitted.select(*rows.columns, found.alias("predicted"))
+
+    return predict_rows
 
 
 def pooled(prepared: Prepared, estimator: Estimator):

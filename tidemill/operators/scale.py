@@ -44,6 +44,11 @@ class MinMax:
         }
         return self._with_stats(df).select(*[restored.get(c, F.col(c)) for c in df.columns])
 
+    def stretch(self, df: DataFrame, target: str, powers: dict[str, int]) -> DataFrame:
+        """Bring differences in the scale of ``target`` (power 1), or their squares (2), to its units."""
+        restored = {c: (F.col(c) * F.pow(self._range(target), F.lit(float(k)))).alias(c) for c, k in powers.items()}
+        return self._with_stats(df).select(*[restored.get(c, F.col(c)) for c in df.columns])
+
 
 def fit_min_max(train: DataFrame, columns: Sequence[str], series_cols: Sequence[str] = ()) -> MinMax:
     """Minimum and maximum of each column, one aggregation."""
