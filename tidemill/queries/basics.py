@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, scalar
 from ..operators import blocks, columns, dimensions, joins, lags, quality, resample
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import sinks, tables
 from . import views
 from .registry import Tables, big, query, rounded
 from .views import DAILY, ONE_SERIES, TEST_YEAR, TYPES, with_views
@@ -118,6 +118,26 @@ def s4(t: Tables) -> DataFrame:
     return totals("daily", "revenue").unionByName(totals("hourly", "click"))
 
 
+@query(
+    "s4_staged_splits",
+    with_views(
+        """SELECT CASE WHEN year(day) = 2001 THEN 'test' ELSE 'train' END AS split, count(*) AS n, round(sum(revenue), 2) AS total
+           FROM daily_orders GROUP BY 1""",
+        "daily_orders",
+    ),
+)
+def s4_staged(t: Tables) -> DataFrame:
+    """The splits written, written again, and made anew from what they hold: one copy at the end."""
+    daily = views.daily_orders(t)
+    path = f"{scratch_path(t.spark, 's4s')}/daily"
+    labelled = daily.withColumn("split", F.when(quality.in_test_year(daily, "day", TEST_YEAR), "test").otherwise("train"))
+    for _ in range(2):
+        sinks.write_staged(labelled, path, partition_by=["split"])
+    sinks.write_staged(t.spark.read.parquet(path), path, partition_by=["split"])
+    found = t.spark.read.parquet(path).groupBy("split")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("revenue"), 2).alias("total"))
+
+
 @query(
     "s5_read_back",
     with_views(
@@ -144,6 +164,27 @@ def s6(t: Tables) -> DataFrame:
     return rounded(t.spark.read.parquet(path), 4, "actual_kWh", "predicted_kWh", "error")
 
 
+@query(
+    "s6_runs_replaced",
+    with_views(
+        """SELECT segment AS run, day AS date, round(actual, 4) AS "actual_kWh", round(p, 4) AS "predicted_kWh",
+             round(actual - p, 4) AS error FROM
+           (SELECT *, CASE WHEN segment < 'C' THEN prediction + 1 ELSE prediction END AS p FROM predictions)""",
+        "predictions",
+    ),
+)
+def s6_runs(t: Tables) -> DataFrame:
+    """A run per segment, all written twice, then some again with other values, which replace only them."""
+    path = scratch_path(t.spark, "s6r")
+    made = blocks.settle(views.predictions(t).withColumnRenamed("segment", "run"))
+    table = tables.prediction_table(made, "day", "actual", "prediction", ["run"])
+    for _ in range(2):
+        sinks.write_runs(table, path)
+    moved = made.filter(F.col("run") < "C").withColumn("prediction", F.col("prediction") + 1)
+    sinks.write_runs(tables.prediction_table(moved, "day", "actual", "prediction", ["run"]), path)
+    return rounded(sinks.read_runs(t.spark, path, table.schema), 4, "actual_kWh", "predicted_kWh", "error")
+
+
 @query(
     "s7_metric_log",
     with_views(
@@ -155,17 +196,40 @@ def s6(t: Tables) -> DataFrame:
     ),
 )
 def s7(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "s7")
+    for rows in _metric_parts(t):
+        tables.append_metrics(rows, path)
+    return t.spark.read.parquet(path)
+
+
+def _metric_parts(t: Tables) -> list[DataFrame]:
     from ..functions import errors
 
     wide = views.predictions(t).groupBy("segment").agg(
         F.round(errors.mae("actual", "prediction"), 4).alias("mae"),
         F.round(errors.mse("actual", "prediction"), 1).alias("mse"),
     )
-    path = scratch_path(t.spark, "s7")
-    for column, metric in {"mae": "val/mae", "mse": "val/mse"}.items():
-        rows = tables.metric_rows(wide, F.col("segment"), F.lit(0), {column: metric})
-        tables.append_metrics(rows, path)
-    return t.spark.read.parquet(path)
+    named = {"mae": "val/mae", "mse": "val/mse"}
+    return [tables.metric_rows(wide, F.col("segment"), F.lit(0), {c: metric}) for c, metric in named.items()]
+
+
+@query(
+    "s7_metrics_once",
+    with_views(
+        """SELECT segment AS run, 'val/mae' AS metric, 0::BIGINT AS step,
+             round(avg(abs(actual - prediction)), 4) AS value FROM predictions GROUP BY 1
+           UNION ALL SELECT segment, 'val/mse', 0::BIGINT, round(avg(pow(actual - prediction, 2)), 1)
+             FROM predictions GROUP BY 1""",
+        "predictions",
+    ),
+)
+def s7_once(t: Tables) -> DataFrame:
+    """The log of a job that was tried again: every run's metric once."""
+    path = scratch_path(t.spark, "s7o")
+    parts = _metric_parts(t)
+    for rows in [parts[0], *parts]:
+        sinks.log_metrics(rows, path)
+    return sinks.read_runs(t.spark, path, parts[0].schema)
 
 
 @query(

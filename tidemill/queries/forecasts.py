@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar
-from ..models import additive, evaluate, lagged, per_series, walkforward
-from ..operators import blocks, columns, joins, quality, stationarity
+from ..models import additive, evaluate, importance, intervals, lagged, per_series, walkforward
+from ..operators import blocks, columns, joins, lags, quality, stationarity
 from ..sources import tables
 from . import basics, views
 from .registry import Tables, query, rounded
@@ -406,6 +406,35 @@ def x14(t: Tables) -> DataFrame:
     return rounded(lagged.importance(prepared, lagged.fit(prepared)), 5, "importance")
 
 
+@query(
+    "x14_permutation",
+    with_views(
+        """SELECT segment, feature, round(any_value(base), 7) AS base_mse, round(avg(mse), 7) AS permuted_mse,
+             round(avg(mse) - any_value(base), 7) AS importance, round(stddev_pop(mse), 7) AS spread FROM
+           (SELECT n.segment, j, ['weekend', 'lag_1', 'lag_7'][j] AS feature, r,
+              avg(pow(list_dot_product(beta, n.x[1:4]) - n.x[5], 2)) AS base,
+              avg(pow(list_dot_product(beta, n.x[1:4]) + beta[j + 1] * (h.x[j + 1] - n.x[j + 1]) - n.x[5], 2)) AS mse
+            FROM numbered n JOIN hashed h ON n.segment = h.segment AND n.p = h.q JOIN beta b ON b.segment = n.segment, range(1, 4) js(j)
+            GROUP BY n.segment, j, r) GROUP BY segment, feature""",
+        "segment_dense",
+        recursive=True,
+        extra={
+            **LAG_CTES,
+            "numbered": "SELECT *, row_number() OVER (PARTITION BY segment ORDER BY ds) AS p FROM vectors WHERE is_test",
+            "hashed": """SELECT segment, r, x, row_number() OVER (PARTITION BY segment, r
+                ORDER BY md5('7|' || r || '|' || CAST(ds AS VARCHAR))) AS q FROM numbered, range(3) t(r)""",
+        },
+    ),
+)
+def x14_permutation(t: Tables) -> DataFrame:
+    """Permutation importance of the lag model on the test rows, three shuffles, in scaled units."""
+    prepared = _lag_rows(t)
+    predict = lagged.predictor(prepared, blocks.settle(lagged.fit(prepared)))
+    tested = prepared.rows.filter("is_test")
+    found = importance.permutation_importance(tested, predict, prepared.features, "y", ["ds"], ["segment"], 3, 7)
+    return rounded(found, 7, "base_mse", "permuted_mse", "importance", "spread")
+
+
 HISTORY_CTES = {
     **{k: v for k, v in LAG_CTES.items() if k in ("series", "lagged", "limits", "vectors")},
     "halves": """SELECT segment, is_test, i, j, avg(x[i] * x[j]) AS v FROM vectors, range(1, 6) a(i), range(1, 6) b(j) GROUP BY ALL""",
@@ -447,6 +476,63 @@ def x12(t: Tables) -> DataFrame:
     return rounded(rows, 7, "value").filter(F.col("value").isNotNull())
 
 
+# Training in rounds: the forecast and the history of one model.
+ROUNDS = {"batches": 8, "epochs": 20, "seed": 3}
+ROUND_CTES = {
+    **{k: v for k, v in LAG_CTES.items() if k in ("series", "lagged", "limits", "vectors")},
+    "dealt": """SELECT *, CAST('0x' || md5('3|' || CAST(ds AS VARCHAR))[1:8] AS BIGINT) % 8 AS batch FROM vectors WHERE NOT is_test""",
+    "cells": "SELECT segment, batch, i, j, avg(x[i] * x[j]) AS v FROM dealt, range(1, 6) a(i), range(1, 6) b(j) GROUP BY ALL",
+    "squares": """SELECT segment, batch, list(row_cells ORDER BY i) AS m FROM (SELECT segment, batch, i, list(v ORDER BY j) AS row_cells
+        FROM cells GROUP BY ALL) GROUP BY ALL""",
+    "traces": "SELECT segment, max(m[1][1] + m[2][2] + m[3][3] + m[4][4]) AS trace FROM squares GROUP BY 1",
+    "turns": """SELECT segment, m, epoch, row_number() OVER (PARTITION BY segment ORDER BY epoch, md5('3|' || epoch || '|' || batch)) AS turn
+        FROM squares, range(20) e(epoch)""",
+    "walk": """SELECT segment, 0::BIGINT AS turn, [0.0, 0, 0, 0]::DOUBLE[] AS beta FROM traces UNION ALL
+        SELECT w.segment, w.turn + 1, list_transform(w.beta, lambda b, i: b - (list_dot_product(t.m[i][1:4], w.beta) - t.m[i][5]) / c.trace)
+        FROM walk w JOIN turns t ON t.segment = w.segment AND t.turn = w.turn + 1 JOIN traces c ON c.segment = w.segment""",
+    "epochs": """SELECT w.segment, t.epoch, w.beta FROM walk w JOIN turns t ON t.segment = w.segment AND t.turn = w.turn
+        QUALIFY row_number() OVER (PARTITION BY w.segment, t.epoch ORDER BY w.turn DESC) = 1""",
+}
+
+
+@query(
+    "x1_rounds_forecast",
+    with_views(
+        """SELECT v.segment, ds, round(y, 2) AS actual,
+             round(list_dot_product(beta, x[1:4]) * (hi_y - lo_y) + lo_y, 1) AS predicted
+           FROM vectors v JOIN epochs e ON v.segment = e.segment AND e.epoch = 19 WHERE is_test""",
+        "segment_dense",
+        extra=ROUND_CTES,
+        recursive=True,
+    ),
+)
+def x1_rounds(t: Tables) -> DataFrame:
+    prepared = _lag_rows(t)
+    found = lagged.predict(prepared, lagged.fit_rounds(prepared, **ROUNDS))
+    return rounded(rounded(found, 2, "actual"), 1, "predicted")
+
+
+@query(
+    "x12_rounds_history",
+    with_views(
+        """SELECT l.segment, epoch AS step, round(l.train, 7) AS "train/loss", round(l.test, 7) AS "val/loss",
+             round(l.test * pow(s.hi - s.lo, 2), 0) AS "val/mse", round(sqrt(l.test) * (s.hi - s.lo), 2) AS "val/rmse", round(l.mae * (s.hi - s.lo), 2) AS "val/mae"
+           FROM (SELECT e.segment, epoch, avg(pow(d, 2)) FILTER (NOT is_test) AS train, avg(pow(d, 2)) FILTER (is_test) AS test, avg(abs(d)) FILTER (is_test) AS mae
+                 FROM (SELECT e.segment, epoch, is_test, x[5] - list_dot_product(beta, x[1:4]) AS d FROM epochs e JOIN vectors v ON e.segment = v.segment) e
+                 GROUP BY 1, 2) l
+           JOIN (SELECT segment, any_value(lo_y) AS lo, any_value(CASE WHEN hi_y = lo_y THEN lo_y + 1 ELSE hi_y END) AS hi FROM vectors GROUP BY 1) s ON s.segment = l.segment""",
+        "segment_dense",
+        extra=ROUND_CTES,
+        recursive=True,
+    ),
+)
+def x12_rounds(t: Tables) -> DataFrame:
+    """Losses in the scale of the fit, errors in the units of the forecast; the last step is its model."""
+    prepared = _lag_rows(t)
+    found = lagged.history(prepared, lagged.fit_rounds(prepared, **ROUNDS), real_units=True)
+    return rounded(rounded(rounded(found, 7, "train/loss", "val/loss"), 2, "val/rmse", "val/mae"), 0, "val/mse")
+
+
 # --- additive forecasts ----------------------------------------------------------------
 
 PLAIN = additive.Spec()
@@ -815,6 +901,46 @@ def x6(t: Tables) -> DataFrame:
     return rounded(rounded(found, 2, "actual"), 0, "prediction", "p10", "p90")
 
 
+HORIZONS = (1, 7, 28)
+
+
+@query(
+    "x6_empirical_interval",
+    with_views(
+        """SELECT r.segment, r.horizon, r.day, round(actual, 2) AS actual, round(prediction, 2) AS prediction,
+             round(prediction + q10, 2) AS p_low, round(prediction + q90, 2) AS p_high,
+             round(prediction - 1.2815515655446004 * sd, 1) AS normal_low, round(prediction + 1.2815515655446004 * sd, 1) AS normal_high,
+             coalesce(n, 0) AS n_errors
+           FROM naive r LEFT JOIN spans s ON r.segment = s.segment AND r.horizon = s.horizon AND date_trunc('month', r.day) = s.month
+           WHERE year(r.day) = 2001""",
+        "segment_dense",
+        extra={
+            "naive": " UNION ALL ".join(
+                f"SELECT segment, {h} AS horizon, day, revenue AS actual, lag(revenue, {h}) OVER (PARTITION BY segment ORDER BY day) AS prediction FROM segment_dense"
+                for h in HORIZONS
+            ),
+            "known": "SELECT *, actual - prediction AS e FROM naive WHERE actual IS NOT NULL AND prediction IS NOT NULL",
+            "months": "SELECT DISTINCT date_trunc('month', day) AS month FROM naive WHERE year(day) = 2001",
+            "sorted": """SELECT segment, horizon, month, list(e ORDER BY e) AS es, count(*) AS n, stddev_pop(e) AS sd
+                FROM known JOIN months ON day < month GROUP BY ALL""",
+            "spans": """SELECT segment, horizon, month, n, sd, es[CAST(greatest(1, ceil(0.1::DOUBLE * n)) AS BIGINT)] AS q10,
+                es[CAST(greatest(1, ceil(0.9::DOUBLE * n)) AS BIGINT)] AS q90 FROM sorted""",
+        },
+    ),
+)
+def x6_empirical(t: Tables) -> DataFrame:
+    """Persistence at three horizons with intervals from the errors of the months before."""
+    wide = lags.lag_features(
+        views.segment_dense(t), "day", "revenue", HORIZONS, ["segment"], drop_incomplete=False, **DAILY
+    )
+    each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"lag_{h}").alias("prediction")) for h in HORIZONS]))
+    long = wide.select("segment", "day", F.col("revenue").alias("actual"), each.alias("f")).select("*", "f.*").drop("f")
+    found = intervals.earlier_intervals(blocks.settle(long), "day", "actual", "prediction", ["segment", "horizon"])
+    limits = ["actual", "prediction", "p_low", "p_high"]
+    tested = found.filter(F.year("day") == TEST_YEAR)
+    return rounded(rounded(tested, 2, *limits), 1, "normal_low", "normal_high")
+
+
 @query(
     "x11_evaluation",
     with_views(
