@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.models import importance, intervals, lagged
+from tidemill.models import additive, importance, intervals, lagged
+from tidemill.plans import household
 from tidemill.sources import sinks
 
 
@@ -231,3 +232,58 @@ def test_rounds_without_rows(spark):
     assert models.count() == 0 and lagged.history(empty, models).count() == 0
     alone = replace(empty, series_cols=[])
     assert lagged.fit_rounds(alone, batches=4, epochs=3).count() == 0
+
+
+SITE = household.Site(building="b", ts_col="ts", series_cols=("k",), layout={"block_rows": None})
+
+
+def _days(spark, n=150):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in ("a", "b"):
+        meter = rng.normal(size=n)
+        for i in range(n):
+            rows.append((k, i, float(30 + 2 * meter[i] + 5 * (i % 7 > 4)), float(meter[i]), i % 7 > 4, ("winter", "spring", "summer")[i // 50]))
+    df = spark.createDataFrame(rows, "k string, i int, energy_demand double, meter double, is_holiday_or_weekend boolean, season string")
+    return df.withColumn("ts", F.expr("date_add(DATE '2023-01-01', i)").cast("timestamp_ntz"))
+
+
+def test_sequence_experiment(spark):
+    df = _days(spark)
+    found = household.sequence_experiment(df.drop("i"), F.col("ts") >= "2023-04-20", SITE, steps=2, epochs=8, batches=4, seed=1)
+    predictions = found["predictions"].toPandas()
+    assert len(predictions) == df.where("ts >= '2023-04-20'").count() and predictions.predicted_kWh.notna().all()
+    rows = df.toPandas().set_index(["k", "ts"]).energy_demand
+    assert np.allclose(predictions.actual_kWh, [rows[k, d] for k, d in zip(predictions.k, predictions.date)])
+    # metrics = what the predictions say = the last step of the history, in one unit
+    metrics = {(r.k, r.metric): r.value for r in found["metrics"].collect()}
+    last = {(r.k, r.metric): r.value for r in found["history"].where("step = 7").collect()}
+    for (k, metric), value in metrics.items():
+        mine = predictions[predictions.k == k].error
+        assert value == pytest.approx({"val/mae": mine.abs().mean(), "val/mse": (mine**2).mean(), "val/rmse": np.sqrt((mine**2).mean())}[metric])
+        assert last[k, metric] == pytest.approx(value, rel=1e-9)
+    assert found["history"].count() == 2 * 8 * 5
+    assert {r.run for r in found["history"].select("run").distinct().collect()} == {"sequence_lr1.0_seq[1, 2]"}
+
+
+def test_contemporaneous_meters_explain_the_target(spark):
+    df = _days(spark).drop("i")
+    test = F.col("ts") >= "2023-04-20"
+    blind = household.lag_experiment(df, test, SITE, [1], epochs=2)["predictions"].toPandas()
+    seeing = household.lag_experiment(df, test, SITE, [1], contemporaneous=True, epochs=2)["predictions"].toPandas()
+    assert blind.error.abs().mean() > 1 and seeing.error.abs().max() < 1e-3
+
+
+def test_minmax_target_in_units_of_the_target(spark):
+    df = _days(spark).drop("i")
+    spec = additive.Spec(changepoints=3, yearly_order=0)
+    test = F.col("ts") >= "2023-05-20"
+    one = household.additive_experiment(df, test, SITE, spec)
+    two = household.additive_experiment(df, test, SITE, spec, target_scaling="minmax")
+    a, b = (x["predictions"].toPandas().sort_values(["k", "date"]).reset_index(drop=True) for x in (one, two))
+    assert np.allclose(a.actual_kWh, b.actual_kWh) and b.predicted_kWh.notna().all()
+    assert np.abs(a.predicted_kWh - b.predicted_kWh).max() < 0.5  # weak priors: nearly the same fit
+    served = two["served"].toPandas()
+    assert (served.p10 < served.prediction).all() and served.prediction.between(20, 45).all()
+    with pytest.raises(ValueError, match="minmax"):
+        household.additive_experiment(df, test, SITE, spec, target_scaling="log")

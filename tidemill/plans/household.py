@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, scalar
 from ..models import additive, evaluate, lagged, walkforward
-from ..operators import blocks, columns, encode, joins, quality, resample
-from ..sources import tables
+from ..operators import blocks, columns, encode, joins, quality, resample, scale
+from ..sources import sinks, tables
 
 
 @dataclass(frozen=True)
@@ -98,11 +98,12 @@ def features(table: DataFrame, site: Site, holidays: DataFrame, daily: bool) ->
 
 
 def write_feature_tables(hourly: DataFrame, daily: DataFrame, path: str, is_test: dict[str, Column]) -> dict[str, str]:
-    """Both resolutions with train and test as partition directories."""
-    return {
-        name: tables.write_splits(df, f"{path}/{name}", is_test[name])
-        for name, df in {"hourly": hourly, "daily": daily}.items()
-    }
+    """Both resolutions with train and test as partition directories, each in the place of an earlier one."""
+    written = {}
+    for name, df in {"hourly": hourly, "daily": daily}.items():
+        split = F.when(is_test[name], "test").otherwise("train")
+        written[name] = sinks.write_staged(df.withColumn("split", split), f"{path}/{name}", partition_by=["split"])
+    return written
 
 
 def additive_experiment(
@@ -113,16 +114,30 @@ def additive_experiment(
     resolution: str = "daily",
     arch: str = "additive",
     configured_name: str | None = None,
+    target_scaling: str = "absmax",
 ) -> dict[str, DataFrame]:
-    """Encode, walk forward one step at a time, and return predictions, metrics and served rows."""
+    """Encode, walk forward one step at a time, and return predictions, metrics and served rows.
+
+    The model sees the target over its largest training size (``absmax``), or from 0 to 1 by the
+    training rows' limits (``minmax``), which holds back its parts by the range instead.
+    Results are in the target's units either way.
+    """
+    if target_scaling not in ("absmax", "minmax"):
+        raise ValueError(f"target_scaling is absmax or minmax, not {target_scaling!r}")
     keys = list(site.series_cols)
     flagged = blocks.settle(table.withColumn("is_test", is_test))
     encoder = encode.fit_one_hot(flagged.filter(~F.col("is_test")), encode.CATEGORICAL[resolution])
     encoded = encode.encode_for_additive(flagged, encoder, site.ts_col, "energy_demand", keys, ["is_test"])
     known = columns.regressor_names(encoded.columns, ("ds", "y", "is_test", *keys))
+    scaler = None
+    if target_scaling == "minmax":
+        scaler = scale.fit_min_max(encoded.filter(~F.col("is_test")), ["y"], keys)
+        encoded = scaler.apply(encoded)
     folds = walkforward.walk_forward(
         encoded, "is_test", additive.with_regressors(spec, known), series_cols=keys, **site.layout
     )
+    if scaler is not None:
+        folds = scaler.stretch(scaler.invert(folds, "y", ["actual", "yhat"]), "y", {"sigma": 1})
     name = tables.run_name(
         F.lit(configured_name),
         tables.additive_run_name(
@@ -166,6 +181,44 @@ def lag_experiment(
     return _results(found, site.ts_col, "actual", "predicted", name, keys) | {"history": steps}
 
 
+def sequence_experiment(
+    table: DataFrame,
+    is_test: Column,
+    site: Site,
+    steps: int = 2,
+    resolution: str = "daily",
+    arch: str = "sequence",
+    rate: float = 1.0,
+    epochs: int = 50,
+    batches: int = 16,
+    seed: int = 0,
+    configured_name: str | None = None,
+) -> dict[str, DataFrame]:
+    """Encode, scale, cut windows, train in rounds of batches, and return predictions, metrics, history and models.
+
+    A row is predicted from the ``steps`` rows before it, with all their columns, and from its own
+    calendar columns, which are known ahead; test windows reach back into the training rows only where
+    those come just before. The history is that of the model that predicts: its last step has
+    the errors that ``metrics`` has, in the units of the target.
+    """
+    keys = list(site.series_cols)
+    flagged = blocks.settle(table.withColumn("is_test", is_test))
+    encoder = encode.fit_one_hot(flagged.filter(~F.col("is_test")), encode.CATEGORICAL[resolution])
+    encoded = encoder.apply(flagged)
+    fixed = {*keys, site.ts_col, "is_test", "energy_demand", *encoder.names}
+    past = ["energy_demand", *[c for c in encoded.columns if c not in fixed], *encoder.names]
+    prepared = lagged.prepare_sequences(
+        encoded, site.ts_col, "energy_demand", past, encoder.names, steps, "is_test", keys, **site.layout
+    )
+    models = lagged.fit_rounds(prepared, batches, epochs, rate, seed)
+    found = blocks.settle(lagged.predict(prepared, models))
+    generated = tables.lag_run_name(F.lit(arch), F.lit(rate), F.sequence(F.lit(1), F.lit(steps)))
+    name = tables.run_name(F.lit(configured_name), generated)
+    logged = lagged.history(prepared, models, real_units=True)
+    rows = tables.metric_rows(logged, name, F.col("step"), {m: m for m in tables.METRIC_NAMES}, keys)
+    return _results(found, site.ts_col, "actual", "predicted", name, keys) | {"history": rows, "models": models}
+
+
 def _results(
     found: DataFrame, ts_col: str, actual: str, predicted: str, name: Column, keys: list[str]
 ) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from ..functions import errors
 from ..models import additive
 from ..operators import blocks, dimensions
 from ..plans import household
+from ..session import scratch_path
 from . import views
 from .basics import HOLIDAYS, SOLAR
 from .registry import Tables, query, rounded
@@ -169,3 +170,65 @@ def flow_additive_experiment(t: Tables) -> DataFrame:
 def flow_lag_experiment(t: Tables) -> DataFrame:
     test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
     return household.lag_experiment(_daily(t), test, SITE, [1, 2])["predictions"]
+
+
+@query("flow_lag_contemporaneous")
+def flow_lag_contemporaneous(t: Tables) -> DataFrame:
+    """The lag experiment with the other meters' readings of the predicted day."""
+    test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    return household.lag_experiment(_daily(t), test, SITE, [1, 2], contemporaneous=True)["predictions"]
+
+
+@query("flow_sequence_experiment")
+def flow_sequence_experiment(t: Tables) -> DataFrame:
+    """Losses and errors of every epoch, and the predictions' errors as step -1: those of the last epoch."""
+    test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    found = household.sequence_experiment(_daily(t), test, SITE, steps=2)
+    return found["history"].unionByName(found["metrics"].withColumn("step", F.lit(-1).cast("bigint")))
+
+
+@query("flow_additive_minmax")
+def flow_additive_minmax(t: Tables) -> DataFrame:
+    test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    spec = additive.Spec(changepoint_prior_scale=0.01, seasonality_prior_scale=0.1)
+    return household.additive_experiment(_daily(t), test, SITE, spec, target_scaling="minmax")["predictions"]
+
+
+@query(
+    "flow_feature_tables",
+    with_views(
+        f"""SELECT 'hourly' AS resolution, CASE WHEN ts >= '{CUTOFF}' THEN 'test' ELSE 'train' END AS split,
+              count(*) AS n, round(sum(purchase), 2) AS total FROM hourly_used GROUP BY 1, 2
+            UNION ALL SELECT 'daily', CASE WHEN ts >= '{CUTOFF}' THEN 'test' ELSE 'train' END, count(*), round(sum(purchase), 2)
+            FROM daily_used GROUP BY 1, 2""",
+        "hourly_wide",
+        extra={
+            "cum": BASE["cum"],
+            "trimmed": BASE["trimmed"],
+            "hourly_used": """SELECT ts, purchase - lag(purchase) OVER (ORDER BY ts) AS purchase FROM trimmed
+                QUALIFY row_number() OVER (ORDER BY ts) > 1""",
+            "days": """SELECT unnest(generate_series((SELECT min(date_trunc('day', ts)::TIMESTAMP) FROM trimmed),
+                (SELECT max(date_trunc('day', ts)::TIMESTAMP) FROM trimmed), INTERVAL 1 DAY)) AS ts""",
+            "means": "SELECT date_trunc('day', ts)::TIMESTAMP AS ts, avg(purchase) AS purchase FROM trimmed GROUP BY 1",
+            "daily_used": """SELECT d.ts, purchase - lag(purchase) OVER (ORDER BY d.ts) AS purchase
+                FROM days d LEFT JOIN means m ON d.ts = m.ts QUALIFY row_number() OVER (ORDER BY d.ts) > 1""",
+        },
+    ),
+)
+def flow_feature_tables(t: Tables) -> DataFrame:
+    """Both feature tables written by split, and what a reader finds there."""
+    readings = household.building_readings(_household(t), SITE)
+    weather = household.country_weather(_weather(t), SITE)
+    made = {
+        name: household.features(household.merged(readings, weather, SITE, daily), SITE, _holidays(t), daily)
+        for name, daily in {"hourly": False, "daily": True}.items()
+    }
+    test = F.col("utc_timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    paths = household.write_feature_tables(made["hourly"], made["daily"], scratch_path(t.spark, "features"), dict.fromkeys(made, test))
+    found = [
+        t.spark.read.parquet(path)
+        .groupBy(F.lit(name).alias("resolution"), "split")
+        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("energy_demand"), 2).alias("total"))
+        for name, path in paths.items()
+    ]
+    return found[0].unionByName(found[1])
