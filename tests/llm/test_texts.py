@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import bwt, fingerprints, graph, minhash, repeats, search, warc
+from tidemill.session import write_settled
 
 
 def _set(text, k):
@@ -272,3 +273,40 @@ def test_audit_of_another_table(spark):
     assert [(r["page_id"], r["theirs"]) for r in gone] == [(17, None)]
     last = warc.audit(pages.where("false"), ours.where("page_id = 3")).collect()
     assert [(r["page_id"], r["ours"], r["their_start"]) for r in last] == [(3, None, 0)]
+
+
+def test_audit_by_id_reports_only_what_is_damaged(spark):
+    pages = [(i, f"u{i}", "x" * (i % 50)) for i in range(300)] + [(None, "n", "n"), (7, "again", "y"), (7, "again", "y")]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    clashing = pages.withColumns({c: F.lit(1) for c in ("record", "size", "sha", "node", "nth", "at", "ours", "_first", "_salt", "_one")})
+    ours = warc.records(pages)
+    cut = F.expr("IF(page_id = 280, substr(record, 1, 20), record)")
+    noted = ours.withColumns({c: F.lit(2) for c in ("size", "sha", "node", "nth", "at", "theirs", "_id", "_n")})
+
+    def found(replica, table=clashing):
+        return sorted((-1 if r["page_id"] is None else r["page_id"], r["ours"] is None, r["theirs"] is None) for r in warc.audit(table, replica, "id").collect())
+
+    assert found(noted) == []
+    assert found(ours.where("page_id <> 3 OR page_id IS NULL")) == [(3, False, True)]
+    assert found(ours.where("page_id IS NOT NULL")) == [(-1, False, True)]
+    assert found(ours.withColumn("record", cut)) == [(280, False, False)]
+    assert found(ours.union(ours.where("page_id = 9"))) == [(9, True, False)]
+    assert found(ours.union(ours.where("page_id = 9").withColumn("page_id", F.lit(1000)))) == [(1000, True, False)]
+    assert found(ours.where("page_id <> 7 OR page_id IS NULL").union(ours.where("page_id = 7").limit(2)))[0][0] == 7
+    assert len(found(ours.where("false"))) == 303 and len(found(ours, clashing.where("false"))) == 303
+    assert found(ours.where("false"), clashing.where("false")) == []
+    row = warc.audit(pages, ours.where("page_id <> 3 OR page_id IS NULL").withColumn("record", cut), "id").where("page_id = 280").first()
+    size = {r["page_id"]: len(r["record"]) for r in ours.where("page_id <> 7").collect()}
+    assert row["end"] - row["start"] == size[280] and row["their_end"] - row["their_start"] == 20
+    assert row["start"] - row["their_start"] == size[3]
+
+
+def test_descent_reads_only_stretches_under_differing_nodes(spark):
+    level = write_settled(spark.range(0, 100_000, 1, 20).select(F.col("id").alias("node")))
+    parents = spark.createDataFrame([(10,), (11,), (6249,)], "node long")
+    kept = level.where(warc._under(parents, level))
+    nodes = sorted(r["node"] for r in kept.collect())
+    wanted = {n for p in (10, 11, 6249) for n in range(p * 16, p * 16 + 16)}
+    assert wanted <= set(nodes) and len(nodes) <= 2 * 3125
+    assert "PushedFilters: [Or(" in kept._jdf.queryExecution().executedPlan().toString()
+    assert level.where(warc._under(parents.where("false"), level)).count() == 0

@@ -43,11 +43,17 @@ def records(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", record(F.col("url"), F.col("html")).alias("record"))
 
 
-def _level(below: DataFrame, number: int) -> DataFrame:
+def _level(below: DataFrame, relative: bool) -> DataFrame:
     ranges = ("start", "end", "their_start", "their_end")
+
+    def spanned(x: str) -> Column:
+        if relative and x.endswith("end"):  # lengths of the children, one after the other
+            return F.aggregate(f"c.{x}", F.lit(0).cast("long"), lambda s, v: s + F.coalesce(v, F.lit(0))).alias(x)
+        return (F.array_min if x.endswith("start") else F.array_max)(f"c.{x}").alias(x)
+
     children = F.array_sort(F.collect_list(F.struct("node", *ranges, "ours", "theirs")))
     grouped = below.groupBy(F.floor(F.col("node") / FAN).cast("long").alias("node")).agg(children.alias("c"))
-    grouped = grouped.select("node", "c", *((F.array_min if x.endswith("start") else F.array_max)(f"c.{x}").alias(x) for x in ranges))
+    grouped = grouped.select("node", "c", *map(spanned, ranges))
 
     def joined(side: str, start: str, end: str) -> Column:
         hashes = F.col(f"c.{side}")
@@ -57,11 +63,14 @@ def _level(below: DataFrame, number: int) -> DataFrame:
     return grouped.select("node", *ranges, joined("ours", "start", "end"), joined("theirs", "their_start", "their_end"))
 
 
-def trees(leaves: DataFrame) -> list[DataFrame]:
-    """Levels of both trees over ``node``, the ranges, ``ours``, ``theirs``; the last has one node."""
+def trees(leaves: DataFrame, relative: bool = False) -> list[DataFrame]:
+    """Levels of both trees over ``node``, the ranges, ``ours``, ``theirs``; the last has one node.
+
+    With ``relative`` a leaf's range is 0 to its length, and a node's 0 to the sum of its children's.
+    """
     levels = [leaves]
     while levels[-1].limit(2).count() > 1:
-        levels.append(write_settled(_level(levels[-1], len(levels)), "tree"))
+        levels.append(write_settled(_level(levels[-1], relative), "tree"))
     return levels
 
 
@@ -70,13 +79,43 @@ def _differs() -> Column:
     return ~(same & F.col("start").eqNullSafe(F.col("their_start")) & F.col("end").eqNullSafe(F.col("their_end")))
 
 
+RANGES = 32  # stretches of a level told apart before it is read
+
+
+def _under(found: DataFrame, below: DataFrame) -> Column:
+    """A filter on ``node`` that holds for all children of ``found``, for the scan of ``below`` to skip files by.
+
+    The level is cut into ``RANGES`` stretches, and those with a differing parent (``RANGES`` numbers at
+    most) are told to the scan, neighbours as one range.
+    """
+    width = -(-max(below.count(), 1) // RANGES)
+    first, last = F.col("node") * FAN, F.col("node") * FAN + (FAN - 1)
+    touched = F.explode(F.sequence(F.floor(first / width), F.floor(last / width))).alias("stretch")
+    stretches = sorted(r["stretch"] for r in found.select(touched).distinct().collect() if r["stretch"] < RANGES)
+    ranges: list[list[int]] = []
+    for at in stretches:
+        if ranges and ranges[-1][1] == at:
+            ranges[-1][1] = at + 1
+        else:
+            ranges.append([at, at + 1])
+    kept = F.lit(False)
+    for low, high in ranges:
+        kept = kept | ((F.col("node") >= low * width) & (F.col("node") < high * width))
+    return kept
+
+
 def descend(levels: list[DataFrame]) -> DataFrame:
-    """The leaves that differ, found from the root through differing nodes only."""
+    """The leaves that differ, found from the root through differing nodes only.
+
+    Of each level only the stretches with children of differing nodes are read, and only those children compared.
+    """
     found = levels[-1].where(_differs())
     for below in reversed(levels[:-1]):
+        found = write_settled(found.select("node"), "differing")
         parents = found.select(F.col("node").alias("_parent"))
         under = F.floor(F.col("node") / FAN).cast("long")
-        found = below.where(_differs()).join(parents, under == F.col("_parent"), "left_semi")
+        children = below.where(_under(found, below)).join(parents, under == F.col("_parent"), "left_semi")
+        found = children.where(_differs())
     return found
 
 
@@ -89,7 +128,46 @@ def _archived(rows: DataFrame, *more: Column) -> DataFrame:
     return placed.select(F.col(ROW).alias("node"), "page_id", (F.col(END) - F.col("size")).alias("start"), F.col(END).alias("end"), *placed.columns[2:-2])
 
 
-def audit(pages: DataFrame, replica: DataFrame | Callable[[Column], Column]) -> DataFrame:
+SALTS = 16
+
+
+def _copies(archive: DataFrame) -> DataFrame:
+    """``archive`` with ``nth``, the number from 0 of a row among those of its ``page_id``.
+
+    Only repeated ids are looked up, and each in ``SALTS`` places, as one may hold most rows.
+    """
+    many = archive.groupBy("page_id").agg(F.min("node").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    many = many.select(F.col("page_id").alias("_id"), "_first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("node") % SALTS == F.col("_salt"))
+    nth = F.when(F.col("_first").isNull(), F.lit(0)).otherwise(F.col("node") - F.col("_first")).cast("long")
+    return archive.join(many, same, "left").withColumn("nth", nth).drop("_id", "_first", "_salt")
+
+
+def _audit_by_id(own: DataFrame, other: DataFrame) -> DataFrame:
+    names = {x: f"their_{x}" for x in ("page_id", "nth", "start", "end")} | {"sha": "theirs"}
+    mine, others = _copies(own).drop("node"), _copies(other).drop("node").withColumnsRenamed(names)
+    same = F.col("page_id").eqNullSafe(F.col("their_page_id")) & (F.col("nth") == F.col("their_nth"))
+    both = mine.join(others, same, "full_outer")
+    is_ours = F.col("nth").isNotNull()
+    page_id = F.when(is_ours, F.col("page_id")).otherwise(F.col("their_page_id")).alias("page_id")
+    paired = both.select(
+        page_id, F.coalesce("nth", "their_nth").alias("nth"), F.col("sha").alias("ours"), "theirs",
+        F.col("start").alias("at"), F.col("their_start").alias("their_at"),
+        F.when(is_ours, F.lit(0)).cast("long").alias("start"), (F.col("end") - F.col("start")).alias("end"),
+        F.when(F.col("their_nth").isNotNull(), F.lit(0)).cast("long").alias("their_start"),
+        (F.col("their_end") - F.col("their_start")).alias("their_end"), F.lit(1).cast("long").alias("_one"),
+    )
+    paired = write_settled(paired, "leaves")
+    leaves = positions(paired, [F.col("page_id"), F.col("nth")], "_one").withColumnRenamed(ROW, "node").drop(END, "_one", "nth")
+    drop_settled(paired)
+    found = descend(trees(leaves, relative=True))
+    return found.select(
+        "page_id", F.col("at").alias("start"), (F.col("at") + F.col("end")).alias("end"), "ours", "theirs",
+        F.col("their_at").alias("their_start"), (F.col("their_at") + F.col("their_end")).alias("their_end"),
+    )
+
+
+def audit(pages: DataFrame, replica: DataFrame | Callable[[Column], Column], align: str = "place") -> DataFrame:
     """``page_id``, ``start``, ``end``, ``ours``, ``theirs``, ``their_start`` and ``their_end`` of each record that differs.
 
     Needs ``page_id``, ``url`` and ``html``. ``replica`` is a table of ``page_id`` and ``record``, an
@@ -99,7 +177,15 @@ def audit(pages: DataFrame, replica: DataFrame | Callable[[Column], Column]) ->
     has no record its hash and range are null; ``page_id`` is then the other side's. Null ids come
     last in an archive; repeated rows are records of their own; a null record is none. Equal trees
     and empty tables give an empty result.
+
+    ``align="id"`` (for tables) sets records of the same id side by side instead, copies of an id by their
+    hash, and trees cover lengths in place of offsets: a lost, additional, cut or longer record is reported
+    alone, and records that only moved are not.
     """
+    if align not in ("place", "id"):
+        raise ValueError(f"align is place or id, not {align!r}")
+    if isinstance(replica, DataFrame) and align == "id":
+        return _audit_by_id(_archived(records(pages)), _archived(replica.where("record IS NOT NULL")))
     if isinstance(replica, DataFrame):
         own = _archived(records(pages)).withColumnRenamed("sha", "ours")
         names = {"page_id": "their_id", "start": "their_start", "end": "their_end", "sha": "theirs"}
