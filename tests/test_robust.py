@@ -131,3 +131,20 @@ def test_settled_tables_keep_sizes(spark):
     df = write_settled(spark.range(1000).withColumn("x", F.lit(1)))
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,5)" in df.where("id > 5").select("id")._jdf.queryExecution().executedPlan().toString()
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_words_are_counted_in_the_row(spark, tmp_path):
+    """Only ids of several rows are summed up; where there are none, no word is shuffled."""
+    from collections import Counter
+
+    from tidemill.queries import catalog
+
+    rows = [(1, "b a  b\ta"), (2, ""), (3, None), (4, "é a E\n"), (5, " ")]
+    for name, more in (("once", []), ("several", [(1, "b c"), (None, "x y"), (None, "y"), (4, None), (6, "z")])):
+        spark.createDataFrame(rows + more, "doc_id long, text string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = catalog.QUERIES["c2_words"](spark, f"{tmp_path}/{name}")
+        want = Counter((d, w) for d, text in rows + more for w in (text or "").split())
+        assert {(r.doc_id, r.word): r.n for r in found.collect()} == want
+        assert found.count() == len(want)
+        final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert ("Exchange hashpartitioning" in final) == bool(more)

@@ -19,6 +19,19 @@ def words(column: str | Column) -> Column:
     return F.array_remove(F.split(column, r"\s+"), "")
 
 
+def run_ends(values: str) -> Column:
+    """For a column of sorted arrays: the positions after which a run of equal values ends."""
+    n = F.size(values)
+    ends = lambda i: (i > 0) & ((i == n) | (F.get(values, i - 1) != F.get(values, i)))
+    return F.filter(F.sequence(F.lit(0), n), ends)
+
+
+def run_counts(values: str, ends: str) -> Column:
+    """``value`` and ``n`` for each run of a column of sorted arrays, given its :func:`run_ends`."""
+    begin = lambda j: F.coalesce(F.get(ends, j - 1), F.lit(0))
+    return F.transform(ends, lambda i, j: F.struct(F.get(values, i - 1).alias("value"), (i - begin(j)).cast("long").alias("n")))
+
+
 def contains_ignoring_case(column: str | Column, text: str) -> Column:
     """Case-insensitive substring test; null counts as no match."""
     found = F.lower(column).contains(text.lower())

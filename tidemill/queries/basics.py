@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, scalar
 from ..operators import blocks, columns, dimensions, joins, lags, quality, resample
-from ..session import scratch_path
+from ..session import scratch_path, write_settled
 from ..sources import sinks, tables
 from . import views
 from .registry import Tables, big, query, rounded
@@ -864,8 +864,20 @@ def c1(t: Tables) -> DataFrame:
        WHERE word <> '' GROUP BY 1, 2""",
 )
 def c2(t: Tables) -> DataFrame:
-    split = t("documents").select("doc_id", F.explode(scalar.words("text")).alias("word"))
-    return split.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    # A row's words are counted in the row, which moves nothing; only ids that stand in several rows
+    # are summed up. They are written first: their size decides whether texts are shuffled to find them.
+    docs = t("documents").select("doc_id", "text")
+    several = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc_id").alias("id"))
+    several = write_settled(several, "several")
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    once, more = (_word_counts(docs.join(several, same, how)) for how in ("left_anti", "left_semi"))
+    return once.unionByName(more.groupBy("doc_id", "word").agg(F.sum("n").alias("n")))
+
+
+def _word_counts(docs: DataFrame) -> DataFrame:
+    words = docs.select("doc_id", F.sort_array(scalar.words("text")).alias("words"))
+    runs = words.withColumn("ends", scalar.run_ends("words"))
+    return runs.select("doc_id", F.inline(scalar.run_counts("words", "ends")).alias("word", "n"))
 
 
 @query(
