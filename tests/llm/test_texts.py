@@ -235,6 +235,45 @@ def test_search(spark, documents, odd, nothing, monkeypatch):
     assert search.search(empty, empty).count() == 0
 
 
+def test_search_asks_a_shard_in_batches(monkeypatch):
+    """Two languages: exact by bounds, far blocks left out, memory in proportion to the postings."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidemill.llm import textbytes
+
+    rng = np.random.default_rng(5)
+    n = 6_000
+    texts = [" ".join(f"{'ab'[i % 2]}{int(w)}" for w in 3_000 * rng.random(80) ** 4) for i in range(n)]
+    texts[7], texts[11], texts[2_000] = texts[5], None, texts[5]
+    data, starts = textbytes.buffer(pa.array(texts))
+    of, terms, counts = search._counted(data, starts)
+    row = search._shard(0, [np.arange(n)[::-1]], [terms], [of], [counts])
+    cells = {c: np.asarray(row.column(c)[0].values) for c in row.schema.names if c != "shard"}
+    tracemalloc.start()
+    shard = search.Shard(cells, 80.0)
+    asked = [i for i in range(0, 600) if i != 11]
+    words = [np.sort(terms[of == i]) for i in asked]
+    idf = np.log1p((n - shard.spread + 0.5) / (shard.spread + 0.5))
+    weights = [idf[np.searchsorted(shard.terms, w)] for w in words]
+    starts = np.concatenate(([0], np.cumsum([len(w) for w in words])))
+    rows = []
+    monkeypatch.setattr(search.np, "partition", lambda x, *a, whole=np.partition, **k: rows.append(x.shape[0] * (x.shape[1] - 10)) or whole(x, *a, **k))
+    found = {q: (ids, scores) for q, ids, scores in shard.top(starts, np.concatenate(words), np.concatenate(weights), 10)}
+    monkeypatch.undo()
+    assert tracemalloc.get_traced_memory()[1] < 100e6 + 60 * len(terms)
+    tracemalloc.stop()
+    assert sum(rows) < 0.7 * n * len(asked)
+    for q, (w, x) in enumerate(zip(words, weights)):
+        at = np.searchsorted(shard.terms, w)
+        shard.weight[at], shard.asked[at] = x, True
+        scores = shard._scores(np.arange(n))
+        shard.weight[at], shard.asked[at] = 0, False
+        best = np.lexsort((shard.ids, -scores))[:10]
+        assert np.array_equal(found[q][0], shard.ids[best]) and np.array_equal(found[q][1], scores[best])
+
+
 def test_audit(spark):
     pages = [(i, f"u{i}", "x" * (i % 50)) for i in range(300)] + [(None, None, None), (None, "u", None), (7, "u7", "x" * 7)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("ours", F.lit(1)).withColumn("node", F.lit(1))
