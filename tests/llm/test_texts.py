@@ -235,6 +235,13 @@ def test_search(spark, documents, odd, nothing, monkeypatch):
     assert search.search(empty, empty).count() == 0
 
 
+def test_search_with_queries_twice(spark, documents):
+    docs = documents.select(F.col("doc_id").alias("id"), "text").where("id < 150")
+    queries = docs.where("id % 20 = 0")
+    once, twice = (sorted(map(tuple, search.search(docs.union(docs), q).collect())) for q in (queries, queries.union(queries)))
+    assert once == twice
+
+
 def test_search_asks_a_shard_in_batches(monkeypatch):
     """Two languages: exact by bounds, far blocks left out, memory in proportion to the postings."""
     import tracemalloc
