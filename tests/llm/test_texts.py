@@ -5,10 +5,11 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import bwt, fingerprints, graph, minhash, repeats, search, warc
+from tidemill.llm import bwt, catalog, fingerprints, graph, minhash, repeats, search, warc
 from tidemill.session import write_settled
 
 
@@ -145,6 +146,50 @@ def test_repeats(spark, documents, length, core, collection, monkeypatch):
     assert sorted(tuple(r) for r in found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) == sorted(_repeats(rows, length))
 
 
+@pytest.mark.parametrize("shown,length", [(40, 60), (30, 100)])
+def test_repeats_shown(spark, documents, shown, length, monkeypatch):
+    """No shared string of the lesser length goes unseen, none of less than half of it is shown, and the rest is as without."""
+    monkeypatch.setattr(repeats, "HOT", 20)
+    rng = np.random.default_rng(6)
+    tangle = [(10_000 + i, "".join(rng.choice(["abcdefghij" * 3, "klmnopqrs" * 4, "tuv" * 9], rng.integers(1, 12)))) for i in range(40)]
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").limit(60).collect()] + tangle
+    rows += [(20_000 + i, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 2_000))) for i in range(20)]  # nothing shared
+    rows += [(None, tangle[0][1]), (20_200, None), (20_201, ""), (20_100, "q" * shown), (20_101, "q" * shown), (20_102, "z" * (shown - 1))]
+    found = repeats.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), length, length // 2, 50, shown=shown).collect()
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r[c] for c in columns) for r in found) == Counter(_repeats(rows, length))
+    by = defaultdict(list)
+    for r in found:
+        by[(r["doc_id"], r["kept_sha256"])].append(r["n_shared"])
+    at_least, at_most = _repeats(rows, shown), _repeats(rows, shown // 2)
+    for (d, n, a, _, _), (_, _, b, _, _), (_, _, _, _, kept) in zip(at_least, at_most, _repeats(rows, length)):
+        for n_shared in by[(d, kept)]:
+            assert (n_shared > 0) >= (a > 0) and n_shared <= b
+
+
+def test_marks_of_pieces():
+    """A text looked at in pieces has each anchor once, as if looked at whole."""
+    text = "".join(np.random.default_rng(8).choice(list("abcd"), 5_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text], "_h1": [1], "_h2": [2]})
+    whole, cut = (pa.Table.from_batches(repeats._mark_rows(40, 20, piece)(iter([batch]))).to_pylist() for piece in (1 << 20, 97))
+    assert whole == cut and len({r["at"] for r in cut}) == len(cut) > 200
+
+
+def test_op4_shows_passages_of_fifty_words(spark, tmp_path):
+    """A shared passage of 55 words below 400 bytes stays, as the contract says, but its documents show it."""
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 8))) for _ in range(4000)]
+    prose = lambda n: " ".join(rng.choice(words, n))
+    passages = [prose(55) for _ in range(6)]
+    assert all(250 < len(p) < 390 for p in passages)
+    rows = [(i, f"{prose(60)} {passages[i % 6]} {prose(80)}") for i in range(18)] + [(100 + i, prose(150)) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in catalog.QUERIES["op4_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert all(found[d]["n_removed"] == 0 and found[d]["n_bytes"] == len(t) for d, t in rows)
+    assert all(120 <= found[i]["n_shared"] <= len(passages[i % 6]) + 20 for i in range(18))
+    assert all(found[100 + i]["n_shared"] == 0 for i in range(30))
+
+
 def test_repeats_odd(odd, nothing):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     found = repeats.deduplicated(odd, piece=10_000).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()

@@ -18,6 +18,9 @@ without one suffix array over the corpus:
    grouped by content instead; that needs no bound.
 5. Windows go back to their texts, their union is what is removed.
 
+Passages too short to be removed can be shown, by anchors of shorter windows alone: equal windows
+have equal anchors, so a shared passage of a window's length has an anchor that stands twice.
+
 Texts are named by 128 bits and kept once, in a table bucketed by that name, so that the two
 steps that need them again do not shuffle them. What is removed from a text depends on its
 bytes only, so equal texts share the result; if a text occurs twice, all its windows do.
@@ -28,6 +31,7 @@ from __future__ import annotations
 import atexit
 import hashlib
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,6 +117,23 @@ def _anchor_rows(length: int, core: int, piece: int):
     return scan
 
 
+def _mark_rows(length: int, core: int, piece: int):
+    """Each anchor once, also if windows of two pieces of a text have it."""
+    rows = _anchor_rows(length, core, piece)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge = None
+        for batch in rows(batches):
+            batch = batch.select(["key", "_h1", "_h2", "at"])
+            if batch.num_rows and batch.slice(0, 1).to_pylist() == edge:
+                batch = batch.slice(1)
+            if batch.num_rows:
+                edge = batch.slice(batch.num_rows - 1).to_pylist()
+                yield batch
+
+    return scan
+
+
 def _stretches(length: int, core: int):
     """Cut the stretch of each anchor out of its text; ``sid`` names anchor and stretch."""
 
@@ -168,23 +189,32 @@ def order_collection(keys, lefts, rights, counts, length: int, core: int) -> lis
     """Which windows of each stretch are repeated, from the suffix order of the collection.
 
     Bytes that no other stretch of the anchor shares, going out from the core, can't be in a
-    repeated window; they are left out of the strings that are ordered.
+    repeated window; they are left out of the strings that are ordered. Strings that are equal then
+    repeat each other whole, one of them is ordered, and none if its anchor has no other.
     """
     number = {k: 257 + i for i, k in enumerate(dict.fromkeys(keys))}
     window = length - core + 1
     before, after = _shared(keys, [x[::-1] for x in lefts]), _shared(keys, rights)
     chosen = [i for i in range(len(keys)) if before[i] + after[i] + 1 >= window]
     symbols = lambda x: np.frombuffer(x, np.uint8).astype(np.uint16) + 1
-    strings = [
-        np.concatenate((symbols(lefts[i][len(lefts[i]) - before[i] :]), [number[keys[i]]], symbols(rights[i][: after[i]]))).astype(np.uint16)
-        for i in chosen
-    ]
+    alike: dict[tuple, list[int]] = {}
+    for i in chosen:
+        alike.setdefault((keys[i], lefts[i][len(lefts[i]) - before[i] :], rights[i][: after[i]]), []).append(i)
+    different = Counter(k for k, _, _ in alike)
     flags = [np.full(len(x) + len(y) + 2 - window, c > 1) for x, y, c in zip(lefts, rights, counts)]
+    for members in alike.values():
+        for i in members if len(members) > 1 else ():
+            begin = len(lefts[i]) - before[i]
+            flags[i][begin : begin + before[i] + after[i] + 2 - window] = True
+    ordered = [(k, x, y, members) for (k, x, y), members in alike.items() if different[k] > 1]
+    strings = [np.concatenate((symbols(x), [number[k]], symbols(y))).astype(np.uint16) for k, x, y, _ in ordered]
     _, lcp, places = bwt.build(strings)
     near = np.maximum(lcp, np.append(lcp[1:], 0))  # with the nearer neighbour
-    for i, s, p in zip(chosen, strings, places):
-        begin, many = len(lefts[i]) - before[i], len(s) - window + 1
-        flags[i][begin : begin + many] |= near[p[:many]] >= window
+    for (_, _, _, members), s, p in zip(ordered, strings, places):
+        many = len(s) - window + 1
+        for i in members:
+            begin = len(lefts[i]) - before[i]
+            flags[i][begin : begin + many] |= near[p[:many]] >= window
     return flags
 
 
@@ -240,8 +270,17 @@ def _windows(length: int, core: int):
     return each
 
 
-def _spans(length: int):
-    """What remains of each text: bytes, removed bytes, removed runs, checksum of the rest."""
+def _union(begin: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the maximal runs that strings of one size cover, given their begins."""
+    begin = np.sort(begin)
+    fresh = np.ones(len(begin), bool)
+    fresh[1:] = begin[1:] > begin[:-1] + size
+    return begin[fresh], begin[np.append(fresh[1:], True)] + size
+
+
+def _spans(length: int, least: int, mark: int):
+    """What remains of each text: bytes, removed bytes, removed runs, checksum of the rest; and the bytes
+    that marks cover (all, if a text of ``least`` bytes or more occurs twice)."""
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,8 +289,15 @@ def _spans(length: int):
             for row in range(batch.num_rows):
                 text = data[starts[row] : starts[row + 1]]
                 size = len(text)
-                runs = batch.column("runs")[row]
-                if batch.column("m")[row].as_py() > 1 and size >= length:
+                runs, marks, twice = batch.column("runs")[row], batch.column("marks")[row], batch.column("m")[row].as_py() > 1
+                if twice and size >= least:
+                    shared = size
+                elif marks.is_valid and len(marks.values):
+                    first, after = _union(np.asarray(marks.values), mark)
+                    shared = int((after - first).sum())
+                else:
+                    shared = 0
+                if twice and size >= length:
                     begin, end = np.zeros(1, np.int64), np.full(1, size)
                 elif runs.is_valid and len(runs.values):
                     found = runs.values
@@ -266,15 +312,15 @@ def _spans(length: int):
                 kept = hashlib.sha256()
                 for a, b in zip(np.append(0, end), np.append(begin, size)):
                     kept.update(text[a:b])
-                rows.append((size, int((end - begin).sum()), begin, end, kept.hexdigest()))
+                rows.append((size, int((end - begin).sum()), begin, end, kept.hexdigest(), shared))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_h1"), batch.column("_h2"),
                     pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.int64())),
-                    pa.array([r[4] for r in rows], pa.string()),
+                    pa.array([r[4] for r in rows], pa.string()), pa.array([r[5] for r in rows], pa.int64()),
                 ],
-                names=["_h1", "_h2", "n_bytes", "n_removed", "begins", "ends", "kept_sha256"],
+                names=["_h1", "_h2", "n_bytes", "n_removed", "begins", "ends", "kept_sha256", "n_shared"],
             )
 
     return close
@@ -314,13 +360,35 @@ def _hot(counts: DataFrame, rows: int) -> Column:
     return F.col("key").isin(keys) if keys else F.lit(False)
 
 
+def _standing_twice(anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The anchors whose ``key`` occurs twice or more, and the settled table of those keys."""
+    twice = write_settled(anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    hot = _hot(twice, anchors.count())
+    return anchors.where(hot).union(anchors.where(~hot).join(twice.where(~hot).select("key"), "key", "left_semi")), twice
+
+
+def _marks(texts: DataFrame, least: int, piece: int) -> DataFrame:
+    """For each text with any, where anchors of windows of ``least`` bytes begin that stand twice or more."""
+    rows = texts.where(F.octet_length("text") >= least).select("_h1", "_h2", "text")
+    marks = write_settled(rows.mapInArrow(_mark_rows(least, least // 2, piece), "key long, _h1 long, _h2 long, at long"), "marks")
+    found, twice = _standing_twice(marks)
+    found = write_settled(found.groupBy("_h1", "_h2").agg(F.collect_list("at").alias("marks")), "marked")
+    drop_settled(marks, twice)
+    return found
+
+
 def repeated_spans(
-    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE
+    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE, shown: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The distinct texts (``_h1``, ``_h2``, ``text``, ``m`` rows) and what is removed from each
-    (``n_bytes``, ``n_removed``, ``begins`` and ``ends`` of the removed runs, ``kept_sha256``)."""
+    (``n_bytes``, ``n_removed``, ``begins`` and ``ends`` of the removed runs, ``kept_sha256``).
+
+    With ``shown``, ``n_shared`` counts the bytes under anchors, strings of half that length, that
+    stand twice or more; it is above 0 in each text that shares a string of ``shown`` bytes.
+    """
     texts = docs.select(*text_key(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     texts = _bucketed(texts.groupBy("_h1", "_h2").agg(F.first("text").alias("text"), F.count("*").alias("m")), "_h1", "_h2")
+    marks = _marks(texts, shown, piece) if shown else None
     long = texts.where(F.octet_length("text") >= length)
     anchors = write_settled(
         long.select("_h1", "_h2", "text").mapInArrow(
@@ -328,9 +396,7 @@ def repeated_spans(
         ),
         "anchors",
     )
-    twice = write_settled(anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "twice")
-    hot = _hot(twice, anchors.count())
-    found = anchors.where(hot).union(anchors.where(~hot).join(twice.where(~hot).select("key"), "key", "left_semi"))
+    found, twice = _standing_twice(anchors)
     by_text = found.groupBy("_h1", "_h2").agg(F.collect_list(F.struct("key", "at", "first", "last")).alias("anchors"))
     pieces = write_settled(
         texts.select("_h1", "_h2", "text").join(by_text, ["_h1", "_h2"]).mapInArrow(
@@ -338,6 +404,7 @@ def repeated_spans(
         ),
         "stretches",
     )
+    drop_settled(anchors, twice)
     distinct = pieces.groupBy("key", "sid").agg(F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("m"))
     distinct = write_settled(distinct, "distinct")
     per_key = write_settled(distinct.groupBy("key").agg(F.count("*").alias("n")), "per-key")
@@ -366,27 +433,37 @@ def repeated_spans(
     moved = F.transform("runs", lambda r: F.struct((F.col("first") + r["from"]).alias("begin"), (F.col("first") + r["to"]).alias("end")))
     placed = pieces.select("sid", "_h1", "_h2", "first").join(runs, "sid").select("_h1", "_h2", moved.alias("runs"))
     placed = placed.groupBy("_h1", "_h2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    results = texts.join(placed, ["_h1", "_h2"], "left").mapInArrow(
-        _spans(length),
-        "_h1 long, _h2 long, n_bytes long, n_removed long, begins array<long>, ends array<long>, kept_sha256 string",
+    results = texts.join(placed, ["_h1", "_h2"], "left")
+    if shown:
+        results = results.join(marks, ["_h1", "_h2"], "left")
+    else:
+        results = results.withColumn("marks", F.lit(None).cast("array<long>"))
+    results = results.mapInArrow(
+        _spans(length, shown or length, (shown or length) // 2),
+        "_h1 long, _h2 long, n_bytes long, n_removed long, begins array<long>, ends array<long>, kept_sha256 string, n_shared long",
     )
     results = write_settled(results, "removed")
-    drop_settled(anchors, twice, distinct, per_key, pieces, runs)
+    drop_settled(distinct, per_key, pieces, runs, *([marks] if shown else []))
     return texts, results
 
 
 def deduplicated(
-    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE
+    docs: DataFrame, length: int = 400, core: int = CORE, collection: int = COLLECTION, piece: int = PIECE, shown: int | None = None
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` for each row.
 
+    With ``shown`` also ``n_shared``, which shows passages of that many bytes that stay: 0 if no
+    string of ``shown`` bytes also stands elsewhere; if above 0, strings of half of it do, and it
+    counts the bytes under those of them that are anchors.
+
     Needs ``doc_id`` and ``text``; other columns are ignored. A null text is empty. Texts
     shorter than ``length`` lose nothing. Repeated rows repeat each other, so all their windows
     are removed. A null ``doc_id`` is kept. An empty table gives an empty result.
     """
-    texts, results = repeated_spans(docs, length, core, collection, piece)
+    texts, results = repeated_spans(docs, length, core, collection, piece, shown)
     _drop_table(texts)
-    named = results.select("_h1", "_h2", "n_bytes", "n_removed", F.size("begins").cast("long").alias("n_spans"), "kept_sha256")
+    more = ["n_shared"] if shown else []
+    named = results.select("_h1", "_h2", "n_bytes", "n_removed", F.size("begins").cast("long").alias("n_spans"), "kept_sha256", *more)
     return docs.select("doc_id", *text_key()).join(named, ["_h1", "_h2"]).drop("_h1", "_h2")
 
 
