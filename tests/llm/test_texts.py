@@ -326,6 +326,91 @@ def test_search_asks_a_shard_in_batches(monkeypatch):
         assert np.array_equal(found[q][0], shard.ids[best]) and np.array_equal(found[q][1], scores[best])
 
 
+def _shard_of(rng, n, words):
+    """A shard of random texts: its documents' terms and counts, and the row."""
+    of = np.repeat(np.arange(n), words)
+    pair = np.unique(of * 5_000 + (5_000 * rng.random(n * words) ** 3).astype(np.int64), return_counts=True)
+    of, terms, counts = pair[0] // 5_000, pair[0] % 5_000 * 7, pair[1]
+    return of, terms, counts, search._shard(0, [np.arange(n)], [terms.copy()], [of.copy()], [counts.copy()])
+
+
+def test_search_index_is_narrow():
+    """Building a shard and making it ready take few bytes for a posting; its rows are stretches of it."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    tracemalloc.start()
+    of, terms, counts, row = _shard_of(rng, 8_000, 10)  # what is loaded at first use
+    of, terms, counts = (np.tile(x, 25) for x in (of, terms, counts))
+    of = np.sort(of)
+    lists = [np.array_split(x, 50) for x in (terms, of.astype(np.int32), counts.astype(np.int32))]
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    row = search._shard(0, [np.arange(8_000)], *lists)
+    assert tracemalloc.get_traced_memory()[1] - before < 45 * len(of)
+    cells = {c: np.asarray(row.column(c)[0].values) for c in row.schema.names if c != "shard"}
+    assert row.nbytes < 5 * len(of)
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    shard = search.Shard(cells, 80.0)
+    assert tracemalloc.get_traced_memory()[1] - before - shard.heavy.nbytes < 36 * len(of)
+    tracemalloc.stop()
+    parts = list(search._parts(row))
+    assert len(parts) == search.PARTS and max(p.nbytes for p in parts) < 2 * row.nbytes / search.PARTS
+    for batches in (parts, [pa.Table.from_batches(parts).combine_chunks().to_batches()[0]]):
+        (whole,) = search._whole(iter(batches))
+        assert all(np.array_equal(whole[c], cells[c]) for c in cells)
+    with pytest.raises(RuntimeError):
+        list(search._whole(iter(parts[1:])))
+
+
+def test_search_index_in_steps(monkeypatch):
+    of, terms, counts, row = _shard_of(np.random.default_rng(4), 700, 40)
+    cells = {c: np.asarray(row.column(c)[0].values) for c in row.schema.names if c != "shard"}
+    place = np.empty(700, np.int64)
+    place[cells["ids"]] = np.arange(700)  # ids are the numbers of the documents
+    by_term = np.lexsort((place[of], terms))
+    assert np.array_equal(cells["docs"], place[of][by_term]) and np.array_equal(cells["counts"], counts[by_term])
+    assert np.array_equal(np.repeat(cells["terms"], np.diff(cells["starts"])), terms[by_term])
+    assert np.array_equal(cells["sizes"], np.bincount(place[of], weights=counts))
+    monkeypatch.setattr(search, "STEP", 37)
+    shard, by_doc = search.Shard(cells, 30.0), np.lexsort((terms, place[of]))
+    assert np.array_equal(shard.terms[shard.doc_terms], terms[by_doc]) and np.array_equal(shard.doc_counts, counts[by_doc])
+    assert np.array_equal(np.diff(shard.doc_starts), np.bincount(place[of]))
+    for heavy, at in zip(shard.heavy, np.argsort(-shard.spread, kind="stable")):
+        own = slice(shard.starts[at], shard.starts[at + 1])
+        dense = np.zeros(len(heavy), np.float32)
+        dense[shard.docs[own]] = shard.part[own]
+        assert np.array_equal(heavy, dense)
+    # Documents and counts that do not fit 16 bits, nor both with the term one number.
+    n = 1 << 17
+    counts = np.arange(n) + (1 << 31) - 1 - n
+    row = search._shard(0, [np.arange(n)], [np.arange(n) * 3], [np.arange(n)], [counts])
+    (whole,) = search._whole(search._parts(row))
+    assert np.array_equal(whole["docs"], np.argsort(whole["ids"])) and np.array_equal(whole["counts"], counts)
+    assert np.array_equal(whole["terms"], np.arange(n) * 3) and np.array_equal(whole["starts"], np.arange(n + 1))
+
+
+def test_search_rows_and_files(spark, documents, monkeypatch):
+    """A shard comes in many rows, whatever their batches; results are in a few files, not one for each shard and block."""
+    docs = documents.select(F.col("doc_id").alias("id"), "text").where("id < 200")
+    queries = docs.where("id % 10 = 0")
+    want = sorted(map(tuple, search.search(docs, queries).collect()))
+    monkeypatch.setattr(search, "SHARD", 10_000)
+    monkeypatch.setattr(search, "TERMS", 300)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(batch)
+    spark.conf.set(batch, "5")
+    try:
+        rows, numbers = search.index(docs).agg(F.count(F.lit(1)), F.countDistinct("shard")).first()
+        assert numbers > 15 and rows == search.PARTS * numbers
+        found = search.search(docs, queries)
+        assert sorted((q, r, i, round(s, 9)) for q, r, i, s in found.collect()) == [(q, r, i, round(s, 9)) for q, r, i, s in want]
+        assert len(found.inputFiles()) < numbers
+    finally:
+        spark.conf.set(batch, old)
+
+
 def test_audit(spark):
     pages = [(i, f"u{i}", "x" * (i % 50)) for i in range(300)] + [(None, None, None), (None, "u", None), (7, "u7", "x" * 7)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("ours", F.lit(1)).withColumn("node", F.lit(1))
